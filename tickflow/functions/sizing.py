@@ -1,0 +1,25 @@
+"""Size-checked broadcast.
+
+Broadcasting is only safe for a side whose size is bounded. Dimension tables
+(lexicons, company lists, language summaries, the signal matrix) are small by
+construction, but they are arguments, so their size is checked before the hint
+is applied; beyond the limit the join is left to the planner (AQE picks a
+broadcast from measured runtime sizes, or falls back to a sort-merge join).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 200_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    """``broadcast(df)`` when its row count is within ``max_rows``, else ``df`` unchanged."""
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
