@@ -173,3 +173,154 @@ def q_sma_crossover(spark, sf_dir):
     ind = IND.indicators(FX.long_bars(spark, sf_dir), block="year")
     return FX.comparable(ind.select("symbol", "date", "short_above_long",
                                     F.col("position").cast("double").alias("position")))
+
+
+# --------------------------------------------------------------------------- payloads, envelopes, tables
+
+def _daily_payloads(bars: DataFrame) -> DataFrame:
+    """Daily bars as API payloads, one per symbol and month (ascending points)."""
+    point = F.struct(
+        F.col("date").cast("string").alias("datetime"),
+        F.col("close_price").cast("string").alias("open"),
+        F.col("close_price").cast("string").alias("high"),
+        F.col("close_price").cast("string").alias("low"),
+        F.col("close_price").cast("string").alias("close"),
+        F.col("volume").cast("string").alias("volume"))
+    return (bars.groupBy("symbol", F.date_trunc("month", F.col("date").cast("timestamp_ntz")).alias("m"))
+            .agg(F.sort_array(F.collect_list(point)).alias("values")).drop("m"))
+
+
+def _status_f_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revised daily bars: the same derivation over finished orders only."""
+    o = FX.table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "F")
+    return (o.groupBy(F.col("o_orderpriority").alias("symbol"),
+                      F.col("o_orderdate").cast("date").alias("date"))
+            .agg(F.max_by("o_totalprice", "o_orderkey").alias("close_price"),
+                 F.count(F.lit(1)).alias("volume")))
+
+
+SQL_LONG_BARS_TS = f"""{SQL_LONG_BARS}
+SELECT symbol, CAST(date AS TIMESTAMP) AS date, close_price, volume FROM long_bars"""
+
+SQL_STATUS_F = """upd AS (
+    SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS date,
+           arg_max(o_totalprice, o_orderkey) AS close_price, count(*) AS volume
+    FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2)"""
+
+
+@register("bars_from_payload", f"WITH {SQL_LONG_BARS_TS}")
+def q_bars_from_payload(spark, sf_dir):
+    return FX.comparable(B.from_api_payload(_daily_payloads(FX.long_bars(spark, sf_dir))))
+
+
+@register("quotes_from_payload", f"""WITH {SQL_TICKS},
+mb AS (
+    SELECT symbol, date_trunc('minute', datetime) AS bar_start,
+           arg_min(close, {{'t': datetime, 'e': event_id}}) AS open, max(close) AS high,
+           min(close) AS low, arg_max(close, {{'t': datetime, 'e': event_id}}) AS close,
+           CAST(count(*) AS DOUBLE) AS volume
+    FROM ticks GROUP BY 1, 2)
+SELECT symbol, bar_start AS datetime, open, high, low, close, volume FROM mb
+QUALIFY row_number() OVER (PARTITION BY symbol, date_trunc('hour', bar_start) ORDER BY bar_start DESC) = 1""")
+def q_quotes_from_payload(spark, sf_dir):
+    mb = B.resample(FX.ticks(spark, sf_dir), "1 minute", ts="datetime", price="close",
+                    volume="volume", tie="event_id")
+    point = F.struct(
+        F.date_format("bar_start", "yyyy-MM-dd HH:mm:ss").alias("datetime"),
+        *[F.col(c).cast("string").alias(c) for c in ("open", "high", "low", "close", "volume")])
+    # one payload per symbol and hour, newest point first (as the API returns it)
+    payloads = (mb.groupBy("symbol", F.date_trunc("hour", "bar_start").alias("h"))
+                .agg(F.sort_array(F.collect_list(point), asc=False).alias("values")).drop("h"))
+    return FX.comparable(B.typed_quotes(B.quotes_from_api_payload(payloads)))
+
+
+@register("envelope_roundtrip", f"WITH {SQL_LONG_BARS_TS}")
+def q_envelope_roundtrip(spark, sf_dir):
+    from tickflow.session import work_path
+    from tickflow.sources import schemas as SC
+    from tickflow.sources import topics as TP
+    topic = {"format": "file", "path": work_path(spark, "bar-topic")}
+    msgs = FX.long_bars(spark, sf_dir).select(
+        "symbol", "date", F.col("close_price").cast("string").alias("close_price"),
+        F.col("volume").cast("string").alias("volume"))
+    TP.write_topic(TP.encode(msgs, "symbol", timestamp=F.col("date").cast("timestamp")), topic)
+    back = TP.decode(TP.read_topic(spark, topic), SC.BAR_MESSAGE)
+    return FX.comparable(B.typed_bars(back))
+
+
+@register("bars_date_parts", f"""WITH {SQL_LONG_BARS}
+SELECT symbol, CAST(date AS TIMESTAMP) AS date, close_price,
+       CAST(year(date) AS BIGINT) AS year, CAST(month(date) AS BIGINT) AS month
+FROM long_bars""")
+def q_bars_date_parts(spark, sf_dir):
+    from tickflow.sources.tables import with_date_parts
+    parted = with_date_parts(FX.long_bars(spark, sf_dir), "date")
+    return FX.comparable(B.load_bars(parted).join(
+        parted.select("symbol", F.col("date").cast("timestamp").alias("date"), "year", "month"),
+        ["symbol", "date"]))
+
+
+@register("bars_latest_30", f"""WITH {SQL_LONG_BARS}
+SELECT symbol, CAST(date AS TIMESTAMP) AS date, close_price, volume FROM long_bars
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) <= 30""")
+def q_bars_latest_30(spark, sf_dir):
+    return FX.comparable(B.latest_bars(FX.long_bars(spark, sf_dir), 30))
+
+
+@register("bars_backfill_200", f"""WITH {SQL_LONG_BARS}
+SELECT symbol, CAST(date AS TIMESTAMP) AS date, close_price, volume FROM long_bars
+WHERE date <= DATE '2000-12-31'
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) <= 200""")
+def q_bars_backfill_200(spark, sf_dir):
+    return FX.comparable(B.backfill(FX.long_bars(spark, sf_dir), 200, end="2000-12-31"))
+
+
+@register("bars_merge_daily", f"""WITH {SQL_LONG_BARS}, {SQL_STATUS_F},
+new AS (SELECT * FROM upd WHERE date >= DATE '1997-07-01'),
+ex AS (SELECT * FROM long_bars WHERE date < DATE '1998-01-01')
+SELECT symbol, CAST(date AS TIMESTAMP) AS date, close_price, volume FROM new
+UNION ALL
+SELECT symbol, CAST(date AS TIMESTAMP) AS date, close_price, volume FROM ex
+WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.symbol = ex.symbol AND new.date = ex.date)""")
+def q_bars_merge_daily(spark, sf_dir):
+    existing = FX.long_bars(spark, sf_dir).filter(F.col("date") < F.lit("1998-01-01").cast("date"))
+    payloads = _daily_payloads(_status_f_bars(spark, sf_dir)
+                               .filter(F.col("date") >= F.lit("1997-07-01").cast("date")))
+    return FX.comparable(B.merge_daily(existing, B.from_api_payload(payloads)))
+
+
+@register("bars_replace_partition", f"""WITH {SQL_LONG_BARS}, {SQL_STATUS_F},
+load2 AS (SELECT * FROM upd WHERE year(date) = 1996)
+SELECT symbol, CAST(date AS TIMESTAMP) AS date, close_price, volume,
+       CAST(year(date) AS BIGINT) AS year, CAST(month(date) AS BIGINT) AS month FROM load2
+UNION ALL
+SELECT symbol, CAST(date AS TIMESTAMP) AS date, close_price, volume,
+       CAST(year(date) AS BIGINT) AS year, CAST(month(date) AS BIGINT) AS month FROM long_bars b
+WHERE NOT EXISTS (SELECT 1 FROM load2 WHERE load2.symbol = b.symbol
+                  AND year(load2.date) = year(b.date) AND month(load2.date) = month(b.date))""")
+def q_bars_replace_partition(spark, sf_dir):
+    from tickflow.session import work_path
+    from tickflow.sources import tables as TB
+    from tickflow.sources import topics as TP
+    path = work_path(spark, "bars")
+
+    def as_topic(bars, name):
+        topic = {"format": "file", "path": work_path(spark, name)}
+        msgs = bars.select("symbol", "date", F.col("close_price").cast("string").alias("close_price"),
+                           F.col("volume").cast("string").alias("volume"))
+        TP.write_topic(TP.encode(msgs, "symbol", timestamp=F.col("date").cast("timestamp")), topic)
+        return topic
+
+    J.load_bars(spark, as_topic(FX.long_bars(spark, sf_dir), "bars-load1"), path)
+    J.load_bars(spark, as_topic(_status_f_bars(spark, sf_dir)
+                                .filter(F.year("date") == 1996), "bars-load2"), path)
+    return FX.comparable(TB.read_table(spark, path).select(
+        "symbol", "date", "close_price", "volume", "year", "month"))
+
+
+@register("quotes_in_session", f"""WITH {SQL_TICKS}
+SELECT symbol, datetime, close FROM ticks
+WHERE strftime(timezone('Asia/Jerusalem', datetime AT TIME ZONE 'UTC'), '%H:%M:%S.%f')
+      BETWEEN '16:30:00.000000' AND '23:00:00.000000'""")
+def q_quotes_in_session(spark, sf_dir):
+    return B.in_session(FX.ticks(spark, sf_dir), "datetime").select("symbol", "datetime", "close")
