@@ -23,3 +23,15 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` when its row count is within ``max_rows``, else ``df`` unchanged."""
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+def collect_bounded(df: DataFrame, max_rows: int) -> list:
+    """Rows of a small dimension table (a lexicon, a label set), refusing more than ``max_rows``.
+
+    Used to ship a bounded parameter table inside the plan as a literal, so
+    the data it is applied to never has to move.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        raise ValueError(f"dimension table has more than {max_rows} rows")
+    return rows

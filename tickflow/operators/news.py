@@ -8,9 +8,10 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.functions.sizing import broadcast_if_small
+from tickflow.functions.sizing import broadcast_if_small, collect_bounded
 from tickflow.functions.text import WORD_TOKEN, clean_text, tokens
 
+MAX_LANGUAGES = 1000
 MESSAGE_COLUMNS = ["symbol", "title", "publishedAt", "description", "url", "source_name", "content"]
 
 
@@ -91,21 +92,27 @@ def match_symbols(df: DataFrame, companies: DataFrame, id_cols=("url",), suffix:
 # --------------------------------------------------------------------------- language
 
 def _trigrams(text_col) -> "F.Column":
-    """All overlapping character trigrams of the lower-cased text."""
+    """All overlapping character trigrams of the lower-cased text, in one regex pass.
+
+    A zero-width lookahead captures the three characters at every position,
+    so the cost is linear in the text (indexing a UTF-8 string by character
+    position would make it quadratic).
+    """
     t = F.lower(F.coalesce(text_col, F.lit("")))
-    n = F.char_length(t) - 2
-    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(t, i, 3))) \
-        .otherwise(F.array().cast("array<string>"))
+    return F.regexp_extract_all(t, F.lit("(?s)(?=(.{3}))"), 1)
 
 
-def train_language_profiles(docs: DataFrame, text: str = "text", lang: str = "lang"):
+def train_language_profiles(docs: DataFrame, text: str = "text", lang: str = "lang",
+                            path: str | None = None):
     """Multinomial naive Bayes on character trigrams, add-one smoothing (U2 training).
 
     Returns ``(weights, languages)``: ``weights(gram, lang, w)`` with
     ``w = ln(count + 1)`` for every trigram seen in a language, and
     ``languages(lang, prior, log_denom)`` with the log prior and
     ``ln(total grams of lang + vocabulary size)``. Whole texts are used.
-    Counting is a plain ``groupBy(lang, gram)`` with map-side combine.
+    Counting is a plain ``groupBy(lang, gram)`` with map-side combine. With
+    ``path`` the two tables are written there (the trained model) and read
+    back, so training runs once however often the profiles are used.
     """
     labelled = docs.filter(F.col(lang).isNotNull())
     grams = labelled.select(F.col(lang).alias("lang"), F.explode(_trigrams(F.col(text))).alias("gram"))
@@ -120,6 +127,11 @@ def train_language_profiles(docs: DataFrame, text: str = "text", lang: str = "la
                  .select("lang",
                          F.log(F.col("docs") / all_docs).alias("prior"),
                          F.log(F.coalesce(F.col("total"), F.lit(0)) + vocab).alias("log_denom")))
+    if path:
+        spark = docs.sparkSession
+        weights.write.mode("overwrite").parquet(f"{path}/weights")
+        languages.write.mode("overwrite").parquet(f"{path}/languages")
+        return spark.read.parquet(f"{path}/weights"), spark.read.parquet(f"{path}/languages")
     return weights, languages
 
 
@@ -130,16 +142,19 @@ def detect_language(df: DataFrame, weights: DataFrame, languages: DataFrame,
     score(doc, lang) = prior + sum over the doc's trigrams of
     ``ln((count + 1) / (total + V))``. Seen trigrams are joined to ``weights``
     on the gram; unseen ones only contribute the denominator, which is taken
-    from the per-language summary (a bounded table, attached as a scalar
-    subquery array instead of a product with every document).
+    from the per-language summary (a bounded label set, shipped in the plan
+    as a literal array instead of a product with every document).
     """
     grams = (df.select(id_col, F.explode(_trigrams(F.col(text))).alias("gram"))
              .groupBy(id_col, "gram").agg(F.count(F.lit(1)).alias("c")))
     seen = (grams.join(broadcast_if_small(weights, 2_000_000), "gram")
             .groupBy(id_col, "lang").agg(F.sum(F.col("c") * F.col("w")).alias("s"))
             .groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("lang", "s"))).alias("_seen")))
-    lang_array = languages.select(F.sort_array(F.collect_list(
-        F.struct("lang", "prior", "log_denom")))).scalar()
+    # the label set is small and bounded: ship it in the plan as a literal array
+    langs = sorted(collect_bounded(languages.select("lang", "prior", "log_denom"), MAX_LANGUAGES),
+                   key=lambda r: r["lang"])
+    lang_array = F.array(*[F.struct(F.lit(r["lang"]).alias("lang"), F.lit(float(r["prior"])).alias("prior"),
+                                    F.lit(float(r["log_denom"])).alias("log_denom")) for r in langs])
     n = F.greatest(F.char_length(F.lower(F.coalesce(F.col(text), F.lit("")))) - 2, F.lit(0))
     base = df.join(seen, id_col, "left")
     scores = F.transform(lang_array, lambda l: F.struct(

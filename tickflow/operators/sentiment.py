@@ -1,8 +1,8 @@
 """Lexicon sentiment score and the per symbol-day sentiment aggregate.
 
 The score is computed inside each row: the lexicon and modifier tables are
-turned into two maps by scalar subqueries (bounded, checked tables), and the
-tokens of a text are scored with higher-order functions. So scoring a
+bounded parameter tables (size-checked), shipped in the plan as two literal
+maps, and the tokens of a text are scored with higher-order functions. So scoring a
 document needs no explode, no shuffle and no join - a long text costs one
 task one row, and the work is spread exactly like the documents.
 """
@@ -12,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickflow.functions.sizing import row_count_at_most
+from tickflow.functions.sizing import collect_bounded
 from tickflow.functions.text import SENTIMENT_TOKEN, tokens
 
-MAX_LEXICON = 1_000_000
+MAX_LEXICON = 100_000
+TERM_DECIMAL = "decimal(18,6)"
+SUM_DECIMAL = "decimal(38,12)"
 
 # Default modifiers applied to the next token - negators halve
 # and flip the polarity, intensifiers scale it (in the style of public
@@ -31,11 +33,12 @@ def default_modifiers(spark: SparkSession) -> DataFrame:
 
 
 def _as_map(table: DataFrame, key: str, value: str):
-    """A (bounded) two-column table as one MAP value, via a scalar subquery."""
-    if not row_count_at_most(table, MAX_LEXICON):
-        raise ValueError(f"lexicon table larger than {MAX_LEXICON} rows")
+    """A bounded two-column table as a literal MAP (lower-cased keys, max value per key)."""
     dedup = table.groupBy(F.lower(F.col(key)).alias("k")).agg(F.max(value).alias("v"))
-    return dedup.select(F.map_from_entries(F.collect_list(F.struct("k", "v")))).scalar()
+    rows = [r for r in collect_bounded(dedup, MAX_LEXICON) if r["k"] is not None]
+    if not rows:
+        return F.create_map().cast("map<string,double>")
+    return F.map_from_arrays(F.lit([r["k"] for r in rows]), F.lit([float(r["v"]) for r in rows]))
 
 
 def score_column(text, lexicon: DataFrame, modifiers: DataFrame):
@@ -43,19 +46,21 @@ def score_column(text, lexicon: DataFrame, modifiers: DataFrame):
 
     Tokens are ``[a-z']+`` of the lower-cased text. Each lexicon token scores
     ``polarity x factor`` where ``factor`` comes from the previous token's
-    modifier (1 when none). Score = mean of the token scores, clipped to
+    modifier (1 when none); polarities and factors count to 6 decimals. Score = mean of the token scores, clipped to
     [-1, 1]; no lexicon token -> 0.0; null text -> null.
     """
     t = F.col(text) if isinstance(text, str) else text
     lex = _as_map(lexicon, "term", "polarity")
     mods = _as_map(modifiers, "term", "factor")
     toks = tokens(t, SENTIMENT_TOKEN)
+    # token scores and their sum are exact decimals, so a score that is truly 0
+    # stays 0 (its sign decides positive / negative / neutral downstream)
     vals = F.filter(
-        F.transform(toks, lambda tok, i: F.try_element_at(lex, tok)
-                    * F.coalesce(F.try_element_at(mods, F.get(toks, i - 1)), F.lit(1.0))),
+        F.transform(toks, lambda tok, i: F.try_element_at(lex, tok).cast(TERM_DECIMAL)
+                    * F.coalesce(F.try_element_at(mods, F.get(toks, i - 1)), F.lit(1.0)).cast(TERM_DECIMAL)),
         lambda x: x.isNotNull())
-    total = F.aggregate(vals, F.lit(0.0), lambda acc, x: acc + x)
-    mean = F.when(F.size(vals) > 0, total / F.size(vals)).otherwise(F.lit(0.0))
+    total = F.aggregate(vals, F.lit(0).cast(SUM_DECIMAL), lambda acc, x: (acc + x).cast(SUM_DECIMAL))
+    mean = F.when(F.size(vals) > 0, total.cast("double") / F.size(vals)).otherwise(F.lit(0.0))
     clipped = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), mean))
     return F.when(t.isNull(), F.lit(None)).otherwise(clipped).cast("float")
 

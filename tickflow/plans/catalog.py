@@ -324,3 +324,363 @@ WHERE strftime(timezone('Asia/Jerusalem', datetime AT TIME ZONE 'UTC'), '%H:%M:%
       BETWEEN '16:30:00.000000' AND '23:00:00.000000'""")
 def q_quotes_in_session(spark, sf_dir):
     return B.in_session(FX.ticks(spark, sf_dir), "datetime").select("symbol", "datetime", "close")
+
+
+# --------------------------------------------------------------------------- news
+
+SQL_NEWS = """news AS (
+    SELECT doc_id, source AS symbol, substr(text, 1, 80) AS title,
+           TIMESTAMP '2024-01-25' + to_minutes(CAST(doc_id AS BIGINT)) AS publishedAt,
+           substr(text, 81, 200) AS description,
+           'https://example.org/d/' || CAST(doc_id AS VARCHAR) AS url,
+           'documents' AS source_name, text AS content,
+           TIMESTAMP '2024-01-25' + to_minutes(CAST(doc_id AS BIGINT))
+               + to_seconds(CAST(doc_id % 7 AS BIGINT)) AS timestamp,
+           lang
+    FROM documents)"""
+
+WS = (r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+      r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
+
+
+def sql_clean(x: str) -> str:
+    return (f"trim(regexp_replace(replace(replace(regexp_replace(coalesce({x}, ''), "
+            f"'http[^{WS}]+', '', 'g'), chr(10), ' '), '\\', ''), '[{WS}]+', ' ', 'g'))")
+
+
+def _page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw web pages as articles: a backslash after every paragraph end and a
+    no-break space after every paragraph start are injected into the body."""
+    p = FX.table(spark, sf_dir, "pages")
+    body = F.replace(F.replace(F.col("html"), F.lit("</p>"), F.lit("</p>\\")),
+                     F.lit("<p>"), F.lit("<p> "))
+    return p.select(
+        "page_id", F.lit("pages").alias("symbol"), F.col("url").alias("title"),
+        F.lit(None).cast("timestamp").alias("publishedAt"),
+        F.substring(body, 1, 300).alias("description"), "url",
+        F.struct(F.regexp_extract("url", "//([^/]+)", 1).alias("name")).alias("source"),
+        body.alias("content"))
+
+
+@register("news_normalize_clean", f"""WITH pa AS (
+    SELECT page_id, url AS title, url, regexp_extract(url, '//([^/]+)', 1) AS source_name,
+           replace(replace(html, '</p>', '</p>\\'), '<p>', '<p>' || chr(160)) AS body
+    FROM pages)
+SELECT page_id, title, {sql_clean('substr(body, 1, 300)')} AS description, url, source_name,
+       {sql_clean('body')} AS content
+FROM pa""")
+def q_news_normalize_clean(spark, sf_dir):
+    from tickflow.operators import news as N
+    arts = _page_articles(spark, sf_dir)
+    norm = N.normalize(arts.drop("page_id").withColumn("url", F.col("url")))
+    keyed = arts.select("page_id", "url").join(norm, "url")
+    return keyed.select("page_id", "title", "description", "url", "source_name", "content")
+
+
+@register("news_dedupe_title", f"""WITH {SQL_NEWS}
+SELECT doc_id, symbol, title, publishedAt, url FROM news
+QUALIFY row_number() OVER (PARTITION BY symbol, lower(title) ORDER BY publishedAt, url) = 1""")
+def q_news_dedupe_title(spark, sf_dir):
+    from tickflow.operators import news as N
+    n = FX.news(spark, sf_dir).select("doc_id", "symbol", "title", "publishedAt", "url")
+    return N.dedupe(n)
+
+
+MARK_CUT = "2024-01-25 08:00:00"
+FETCH_AS_OF = "2024-01-25 20:00:00"
+
+
+@register("news_fetch_window", f"""WITH {SQL_NEWS},
+marks AS (SELECT symbol, max(publishedAt) AS last_published_at FROM news
+          WHERE publishedAt < TIMESTAMP '{MARK_CUT}' GROUP BY symbol),
+syms AS (SELECT DISTINCT symbol FROM news),
+win AS (
+    SELECT s.symbol, m.last_published_at,
+           CASE WHEN m.last_published_at > TIMESTAMP '{FETCH_AS_OF}' - INTERVAL 1 DAY
+                THEN m.last_published_at + INTERVAL 1 MINUTE
+                ELSE CAST(CAST(TIMESTAMP '{FETCH_AS_OF}' AS DATE) - INTERVAL 1 DAY AS TIMESTAMP) END
+               AS window_from
+    FROM syms s LEFT JOIN marks m USING (symbol))
+SELECT w.symbol, w.last_published_at, w.window_from, max(n.publishedAt) AS next_mark,
+       count(n.doc_id) AS fetched
+FROM win w LEFT JOIN news n ON n.symbol = w.symbol AND n.publishedAt >= w.window_from
+GROUP BY 1, 2, 3""")
+def q_news_fetch_window(spark, sf_dir):
+    from tickflow.operators import incremental as I
+    from tickflow.session import work_path
+    n = FX.news(spark, sf_dir)
+    path = work_path(spark, "marks")
+    # previous run's marks, stored and read back (IO14)
+    I.save_marks(I.next_mark(n.filter(F.col("publishedAt") < F.lit(MARK_CUT).cast("timestamp_ntz"))), path)
+    marks = I.load_marks(spark, path)
+    win = I.news_window(n.select("symbol").distinct().join(marks, "symbol", "left"), FETCH_AS_OF)
+    fetched = n.join(win.select("symbol", "window_from"), "symbol").filter(
+        F.col("publishedAt") >= F.col("window_from"))
+    stats = fetched.groupBy("symbol").agg(F.max("publishedAt").alias("next_mark"),
+                                          F.count(F.lit(1)).alias("fetched"))
+    out = win.join(stats, "symbol", "left").select(
+        "symbol", "last_published_at", "window_from", "next_mark",
+        F.coalesce("fetched", F.lit(0)).alias("fetched"))
+    return FX.comparable(out)
+
+
+@register("news_match_symbols", f"""WITH {SQL_NEWS},
+art AS (SELECT url, regexp_extract_all(lower(concat_ws(' ', coalesce(title, ''), coalesce(description, ''))),
+                                       '[a-z0-9]+') AS toks FROM news),
+comp AS (SELECT symbol, list_distinct(regexp_extract_all(lower(company), '[a-z0-9]+')) AS ctoks
+         FROM (VALUES {', '.join(f"('{s}', '{c}')" for s, c in FX.COMPANIES)}) c(symbol, company))
+SELECT a.url, c.symbol FROM art a, comp c
+WHERE list_contains(a.toks, lower(c.symbol))
+   OR (len(c.ctoks) > 0 AND list_has_all(a.toks, c.ctoks) AND list_contains(a.toks, '{FX.COMPANY_SUFFIX}'))""")
+def q_news_match_symbols(spark, sf_dir):
+    from tickflow.operators import news as N
+    return N.match_symbols(FX.news(spark, sf_dir), FX.companies(spark), id_cols=("url",),
+                           suffix=FX.COMPANY_SUFFIX)
+
+
+STORED_CUT = "2024-01-25 08:00:00"
+
+
+@register("news_incremental", f"""WITH {SQL_NEWS},
+stored AS (SELECT * FROM news WHERE timestamp < TIMESTAMP '{STORED_CUT}' AND lang = 'en'),
+marks AS (SELECT symbol, max(timestamp) AS m FROM stored GROUP BY symbol),
+new AS (SELECT n.* FROM news n LEFT JOIN marks USING (symbol) WHERE m IS NULL OR n.timestamp > m),
+allrows AS (SELECT * FROM stored UNION ALL SELECT * FROM new)
+SELECT symbol, url, publishedAt, timestamp, CAST(year(timestamp) AS BIGINT) AS year,
+       CAST(month(timestamp) AS BIGINT) AS month, CAST(day(timestamp) AS BIGINT) AS day
+FROM allrows""")
+def q_news_incremental(spark, sf_dir):
+    from tickflow.session import work_path
+    from tickflow.sources import tables as TB
+    from tickflow.sources import topics as TP
+    n = FX.news(spark, sf_dir)
+    path = work_path(spark, "news")
+    first = n.filter((F.col("timestamp") < F.lit(STORED_CUT).cast("timestamp_ntz")) & (F.col("lang") == "en"))
+    TB.append_partitions(TB.with_date_parts(first.select(*J.NEWS_COLUMNS), "timestamp", day=True),
+                         path, ["symbol", "year", "month", "day"])
+    topic = {"format": "file", "path": work_path(spark, "news-topic")}
+    TP.write_topic(TP.encode(n, "symbol", timestamp="timestamp", value_cols=[
+        "symbol", "title", "publishedAt", "description", "url", "source_name", "content"]), topic)
+    J.load_news(spark, topic, path, stored=TB.read_table(spark, path))
+    out = TB.read_table(spark, path).select("symbol", "url", "publishedAt", "timestamp", "year", "month", "day")
+    return FX.comparable(out)
+
+
+@register("news_day_partition", f"""WITH {SQL_NEWS}
+SELECT symbol, url, timestamp, CAST(year(timestamp) AS BIGINT) AS year,
+       CAST(month(timestamp) AS BIGINT) AS month, CAST(day(timestamp) AS BIGINT) AS day
+FROM news WHERE CAST(timestamp AS DATE) = DATE '2024-01-25'""")
+def q_news_day_partition(spark, sf_dir):
+    from tickflow.session import work_path
+    from tickflow.sources import tables as TB
+    path = work_path(spark, "news-days")
+    n = FX.news(spark, sf_dir).select(*J.NEWS_COLUMNS)
+    TB.append_partitions(TB.with_date_parts(n, "timestamp", day=True), path,
+                         ["symbol", "year", "month", "day"])
+    day = TB.read_day(spark, path, "2024-01-25")
+    return FX.comparable(day.select("symbol", "url", "timestamp", "year", "month", "day"))
+
+
+SQL_LANGUAGE = f"""{SQL_NEWS},
+ldocs AS (SELECT lang, lower(text) AS t FROM documents WHERE lang IS NOT NULL),
+lgrams AS (SELECT lang, substr(t, i, 3) AS g FROM ldocs, range(1, length(t) - 1) r(i)),
+lcounts AS (SELECT g, lang, count(*) AS n FROM lgrams GROUP BY 1, 2),
+lv AS (SELECT count(DISTINCT g) AS v FROM lcounts),
+ltot AS (SELECT lang, sum(n) AS total FROM lcounts GROUP BY lang),
+lnd AS (SELECT lang, count(*) AS docs FROM ldocs GROUP BY lang),
+lall AS (SELECT count(*) AS a FROM ldocs),
+langs AS (SELECT lnd.lang, ln(lnd.docs / lall.a) AS prior, ln(coalesce(ltot.total, 0) + lv.v) AS log_denom
+          FROM lnd LEFT JOIN ltot USING (lang), lv, lall),
+ttl AS (SELECT url, lower(coalesce(title, '')) AS t FROM news),
+tg AS (SELECT url, substr(t, i, 3) AS g, count(*) AS c FROM ttl, range(1, length(t) - 1) r(i) GROUP BY 1, 2),
+tseen AS (SELECT tg.url, lc.lang, sum(tg.c * ln(lc.n + 1)) AS s FROM tg JOIN lcounts lc USING (g) GROUP BY 1, 2),
+tscore AS (SELECT t.url, l.lang,
+                  l.prior - greatest(length(t.t) - 2, 0) * l.log_denom + coalesce(s.s, 0) AS score
+           FROM ttl t CROSS JOIN langs l LEFT JOIN tseen s ON s.url = t.url AND s.lang = l.lang),
+tbest AS (SELECT url, lang FROM tscore QUALIFY row_number() OVER (PARTITION BY url ORDER BY score DESC, lang) = 1),
+detected AS (SELECT n.url, n.lang,
+                    CASE WHEN length(lower(coalesce(n.title, ''))) > 2 THEN b.lang END AS language
+             FROM news n LEFT JOIN tbest b USING (url))"""
+
+
+def _detected(spark, sf_dir):
+    from tickflow.operators import news as N
+    from tickflow.session import work_path
+    weights, languages = N.train_language_profiles(FX.table(spark, sf_dir, "documents"),
+                                                   path=work_path(spark, "language-profiles"))
+    n = FX.news(spark, sf_dir)
+    return N.detect_language(n.select("url", "lang", "title"), weights, languages, id_col="url")
+
+
+@register("news_language", f"""WITH {SQL_LANGUAGE}
+SELECT url, lang, language, coalesce(language = 'en', false) AS is_english FROM detected""")
+def q_news_language(spark, sf_dir):
+    d = _detected(spark, sf_dir)
+    return d.select("url", "lang", "language",
+                    F.coalesce(F.col("language") == "en", F.lit(False)).alias("is_english"))
+
+
+# --------------------------------------------------------------------------- sentiment
+
+SQL_LEXICON = f"""lex AS (SELECT * FROM (VALUES {', '.join(f"('{t}', {p})" for t, p in FX.LEXICON)}) x(term, polarity)),
+mods AS (SELECT * FROM (VALUES {', '.join(f"('{t}', {p})" for t, p in FX.MODIFIERS)}) x(term, factor))"""
+
+
+def sql_scores(src: str, id_col: str, text_col: str) -> str:
+    """CTE ``scores(id, sentiment_score FLOAT)`` for the texts of ``src``."""
+    return f"""{SQL_LEXICON},
+sd AS (SELECT {id_col} AS sid, {text_col} AS stext,
+              regexp_extract_all(lower({text_col}), '[a-z'']+') AS toks FROM {src}),
+st AS (SELECT sid, toks[i] AS tok, CASE WHEN i > 1 THEN toks[i - 1] END AS prev
+       FROM sd, range(1, len(toks) + 1) r(i)),
+sv AS (SELECT sid, CAST(lex.polarity AS DECIMAL(18, 6)) * CAST(coalesce(mods.factor, 1.0) AS DECIMAL(18, 6)) AS val
+       FROM st JOIN lex ON st.tok = lex.term LEFT JOIN mods ON st.prev = mods.term),
+sagg AS (SELECT sid, CAST(sum(val) AS DOUBLE) / count(*) AS m FROM sv GROUP BY sid),
+scores AS (SELECT sd.sid,
+                  CASE WHEN sd.stext IS NULL THEN NULL
+                       ELSE CAST(greatest(-1.0, least(1.0, coalesce(sagg.m, 0.0))) AS FLOAT) END
+                      AS sentiment_score
+           FROM sd LEFT JOIN sagg USING (sid))"""
+
+
+def _scored_english_news(spark, sf_dir):
+    from tickflow.operators import sentiment as SE
+    n = FX.news(spark, sf_dir).filter(F.col("lang") == "en")
+    return SE.score(n, FX.lexicon(spark), FX.modifiers(spark))
+
+
+@register("sentiment_score", f"""WITH {sql_scores('documents', 'doc_id', 'text')}
+SELECT sid AS doc_id, round(CAST(sentiment_score AS DOUBLE), 4) AS sentiment_score FROM scores""")
+def q_sentiment_score(spark, sf_dir):
+    from tickflow.operators import sentiment as SE
+    d = FX.table(spark, sf_dir, "documents")
+    s = SE.score(d, FX.lexicon(spark), FX.modifiers(spark), text="text")
+    return FX.rounded(s.select("doc_id", "sentiment_score"), ["sentiment_score"])
+
+
+SQL_DAY_SENTIMENT = f"""{SQL_NEWS}, {sql_scores("(SELECT * FROM news WHERE lang = 'en')", 'doc_id', 'content')},
+enriched AS (SELECT n.symbol, CAST(n.timestamp AS DATE) AS day, s.sentiment_score
+             FROM news n JOIN scores s ON s.sid = n.doc_id),
+sagg2 AS (
+    SELECT symbol, day,
+           count(*) FILTER (WHERE sentiment_score > 0) AS positive_count,
+           avg(sentiment_score) FILTER (WHERE sentiment_score > 0) AS positive_avg_score,
+           count(*) FILTER (WHERE sentiment_score < 0) AS negative_count,
+           avg(sentiment_score) FILTER (WHERE sentiment_score < 0) AS negative_avg_score,
+           count(*) FILTER (WHERE sentiment_score = 0) AS neutral_count,
+           count(*) AS total_count
+    FROM enriched GROUP BY 1, 2),
+day_sent AS (
+    SELECT symbol, day, positive_count, positive_count / total_count * 100 AS positive_percentage,
+           positive_avg_score, negative_count, negative_count / total_count * 100 AS negative_percentage,
+           negative_avg_score, neutral_count
+    FROM sagg2),
+day_signal AS (
+    SELECT *, CASE
+        WHEN (positive_percentage > 50 AND positive_avg_score > 0.3) OR positive_percentage = 100 THEN 'buy'
+        WHEN positive_percentage > 55 AND positive_avg_score > 0.6 THEN 'strong_buy'
+        WHEN (negative_percentage > 50 AND negative_avg_score < -0.3) OR negative_percentage = 100 THEN 'sell'
+        WHEN negative_percentage > 55 AND negative_avg_score < -0.6 THEN 'strong_sell'
+        ELSE 'hold' END AS sentiment_signal
+    FROM day_sent)"""
+
+
+@register("sentiment_aggregate", f"""WITH {SQL_DAY_SENTIMENT}
+SELECT symbol, CAST(day AS TIMESTAMP) AS day, positive_count, round(positive_percentage, 4) AS positive_percentage,
+       round(positive_avg_score, 4) AS positive_avg_score, negative_count,
+       round(negative_percentage, 4) AS negative_percentage, round(negative_avg_score, 4) AS negative_avg_score,
+       neutral_count
+FROM day_sent""")
+def q_sentiment_aggregate(spark, sf_dir):
+    from tickflow.operators import sentiment as SE
+    e = _scored_english_news(spark, sf_dir).withColumn("day", F.to_date("timestamp"))
+    agg = SE.aggregate(e, keys=("symbol", "day"))
+    return FX.comparable(FX.rounded(agg, ["positive_percentage", "positive_avg_score",
+                                          "negative_percentage", "negative_avg_score"]))
+
+
+@register("sentiment_signal", f"""WITH {SQL_DAY_SENTIMENT}
+SELECT symbol, CAST(day AS TIMESTAMP) AS day, positive_count, negative_count, neutral_count, sentiment_signal
+FROM day_signal""")
+def q_sentiment_signal(spark, sf_dir):
+    s = J.day_sentiment(_scored_english_news(spark, sf_dir))
+    return FX.comparable(s.select("symbol", "day", "positive_count", "negative_count", "neutral_count",
+                                  "sentiment_signal"))
+
+
+# --------------------------------------------------------------------------- combined + serving
+
+SQL_COMBINED = f"""{SQL_TICKS}, {SQL_HISTORY}, {sql_indicators('history', 30)}, {SQL_SNAPSHOT},
+{SQL_SMA_SIGNALS}, {SQL_DAY_SENTIMENT},
+combined AS (
+    SELECT s.symbol, s.datetime, s.open, s.high, s.low, s.close, s.volume, s.short_term_avg,
+           s.long_term_avg, s.short_above_long, s.is_significant, s.signal AS sma_signal,
+           d.sentiment_signal,
+           CASE WHEN d.sentiment_signal IS NULL THEN s.signal
+                ELSE coalesce(m.combined, s.signal) END AS combined_signal
+    FROM sma_signals s
+    LEFT JOIN day_signal d ON d.symbol = s.symbol AND d.day = CAST(s.datetime AS DATE)
+    LEFT JOIN (VALUES {', '.join(f"('{a}', '{b}', '{v}')" for a, row in __import__('tickflow.operators.signals', fromlist=['x']).COMBINED_MATRIX.items() for b, v in zip(('strong_buy', 'buy', 'hold', 'sell', 'strong_sell'), row))}) m(sma, sent, combined)
+      ON m.sma = s.signal AND m.sent = d.sentiment_signal)"""
+
+
+def _combined_frame(spark, sf_dir):
+    sma = _sma_signal_frame(spark, sf_dir)
+    sent = J.day_sentiment(_scored_english_news(spark, sf_dir))
+    return J.combined_signals(sma, sent)
+
+
+@register("combined_signal", f"""WITH {SQL_COMBINED}
+SELECT symbol, datetime, close, round(short_term_avg, 4) AS short_term_avg,
+       round(long_term_avg, 4) AS long_term_avg, sma_signal, sentiment_signal, combined_signal
+FROM combined""")
+def q_combined_signal(spark, sf_dir):
+    c = _combined_frame(spark, sf_dir)
+    return FX.rounded(c.select("symbol", "datetime", "close", "short_term_avg", "long_term_avg",
+                               "sma_signal", "sentiment_signal", "combined_signal"),
+                      ["short_term_avg", "long_term_avg"])
+
+
+@register("signals_latest_3", f"""WITH {SQL_COMBINED}
+SELECT symbol, datetime, close, sma_signal, sentiment_signal, combined_signal FROM combined
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) <= 3""")
+def q_signals_latest_3(spark, sf_dir):
+    from tickflow.operators import serving as SV
+    c = _combined_frame(spark, sf_dir)
+    # requests as a user would type them: padded, upper-case
+    requests = c.select(F.concat(F.lit("  "), F.upper("symbol"), F.lit(" ")).alias("symbol")).distinct()
+    top = SV.latest_signals(c, 3, requests=requests)
+    return top.select("symbol", "datetime", "close", "sma_signal", "sentiment_signal", "combined_signal")
+
+
+def _sql_iso(x: str) -> str:
+    return (f"CASE WHEN strftime({x}, '%f') = '000000' THEN strftime({x}, '%Y-%m-%dT%H:%M:%S') "
+            f"ELSE strftime({x}, '%Y-%m-%dT%H:%M:%S.%f') END")
+
+
+@register("signal_card", f"""WITH {SQL_COMBINED},
+top AS (SELECT * FROM combined QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) <= 3)
+SELECT symbol, datetime,
+       'Symbol: ' || symbol || chr(10) || 'Time: ' || {_sql_iso('datetime')} || chr(10) ||
+       'Price: ' || CAST(close AS VARCHAR) || chr(10) || 'SMA_Signal: ' || coalesce(sma_signal, 'None') ||
+       chr(10) || 'Sentiment_Signal: ' || coalesce(sentiment_signal, 'None') || chr(10) ||
+       'combined_Signal: ' || coalesce(combined_signal, 'None') AS card
+FROM top""")
+def q_signal_card(spark, sf_dir):
+    from tickflow.operators import serving as SV
+    return SV.signal_card(SV.latest_signals(_combined_frame(spark, sf_dir), 3))
+
+
+CHART_AS_OF = "2024-01-29"
+
+
+@register("chart_series", f"""WITH {SQL_COMBINED},
+win AS (SELECT * FROM combined WHERE datetime >= TIMESTAMP '{CHART_AS_OF} 09:30:00'),
+means AS (SELECT symbol, avg(close) AS avg_close FROM win GROUP BY symbol)
+SELECT w.symbol, w.datetime, w.open, w.high, w.low, w.close, round(m.avg_close, 4) AS avg_close,
+       'Average Price: $' || CAST(round(CAST(m.avg_close AS DECIMAL(38, 10)), 2) AS VARCHAR) AS avg_label
+FROM win w JOIN means m USING (symbol)""")
+def q_chart_series(spark, sf_dir):
+    from tickflow.operators import serving as SV
+    s = SV.chart_series(_combined_frame(spark, sf_dir), SV.session_start(CHART_AS_OF))
+    return FX.rounded(s, ["avg_close"])

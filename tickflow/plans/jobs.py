@@ -83,6 +83,9 @@ def load_news(spark: SparkSession, topic: dict, path: str, stored: DataFrame | N
     marks = None
     if stored is not None:
         marks = I.high_watermark(stored, "timestamp")
+        # start offset (IO4): the oldest per-symbol maximum, one value; the strict
+        # per-symbol filter below removes what is read twice
+        since = marks.agg(F.min("max_timestamp")).first()[0]
     msgs = TP.decode(TP.read_topic(spark, topic, since), SC.NEWS_MESSAGE, keep_ts="timestamp")
     new = I.newer_than(msgs, marks, "timestamp") if marks is not None else msgs
     out = TB.with_date_parts(new.select(*NEWS_COLUMNS), "timestamp", day=True)

@@ -86,19 +86,24 @@ def decode(df: DataFrame, schema: T.StructType, keep_ts: str | None = None) -> D
     return out
 
 
-def encode(df: DataFrame, key: str = "symbol", timestamp: Column | str | None = None) -> DataFrame:
+def encode(df: DataFrame, key: str = "symbol", timestamp: Column | str | None = None,
+           value_cols: list[str] | None = None) -> DataFrame:
     """Columns -> topic record (IO13): key = the key column, value = JSON of all columns.
 
     Null fields are left out of the JSON (Spark's default), which ``decode``
     reads back as null. ``timestamp`` sets the record time of a file-backed
-    topic (default: the time of writing, like a broker would).
+    topic (default: the time of writing, like a broker would); ``value_cols``
+    limits the JSON to those columns.
     """
     ts = F.current_timestamp() if timestamp is None else (
         F.col(timestamp) if isinstance(timestamp, str) else timestamp)
+    # zone-less timestamps are written as UTC instants, so they decode into TIMESTAMP fields
+    fields = [F.col(f.name).cast("timestamp").alias(f.name)
+              if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name)
+              for f in df.schema.fields if value_cols is None or f.name in value_cols]
     return df.select(
         F.col(key).cast("string").cast("binary").alias("key"),
-        F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_OPTIONS)
-        .cast("binary").alias("value"),
+        F.to_json(F.struct(*fields), JSON_OPTIONS).cast("binary").alias("value"),
         ts.cast("timestamp").alias("timestamp"),
     )
 
