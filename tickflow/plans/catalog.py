@@ -684,3 +684,113 @@ def q_chart_series(spark, sf_dir):
     from tickflow.operators import serving as SV
     s = SV.chart_series(_combined_frame(spark, sf_dir), SV.session_start(CHART_AS_OF))
     return FX.rounded(s, ["avg_close"])
+
+
+# --------------------------------------------------------------------------- streaming
+
+def _quote_topic(spark: SparkSession, sf_dir: str) -> dict:
+    """All ticks as quote messages on a file-backed topic; arrival time = tick time."""
+    from tickflow.session import work_path
+    from tickflow.sources import topics as TP
+    topic = {"format": "file", "path": work_path(spark, "quote-topic")}
+    msgs = FX.ticks(spark, sf_dir).select("symbol", "datetime", "open", "high", "low", "close", "volume")
+    TP.write_topic(TP.encode(msgs, "symbol", timestamp="datetime"), topic)
+    return topic
+
+
+def _run_s1(spark, sf_dir) -> dict:
+    from tickflow.session import work_path
+    from tickflow.streaming import jobs as SJ
+    out = {"format": "file", "path": work_path(spark, "sma-topic")}
+    snap = J.indicator_snapshot(FX.history_bars(spark, sf_dir), lookback=30)
+    SJ.stream_sma_signals(spark, _quote_topic(spark, sf_dir), out, snap, work_path(spark, "ckpt-s1"),
+                          work_path(spark, "snapshot"), start=FX.LIVE_START, wait=True)
+    return out
+
+
+def _run_s2(spark, sf_dir) -> dict:
+    from tickflow.session import work_path
+    from tickflow.streaming import jobs as SJ
+    sma_topic = _run_s1(spark, sf_dir)
+    out = {"format": "file", "path": work_path(spark, "combined-topic")}
+    sent = J.day_sentiment(_scored_english_news(spark, sf_dir))
+    SJ.stream_combined_signals(spark, sma_topic, out, sent, work_path(spark, "ckpt-s2"),
+                               work_path(spark, "day-sentiment"), start=FX.LIVE_START, wait=True)
+    return out
+
+
+@register("stream_sma_signals", ORACLE["sma_signal"])
+def q_stream_sma_signals(spark, sf_dir):
+    from tickflow.operators import signals as SG
+    from tickflow.sources import schemas as SC
+    from tickflow.sources import topics as TP
+    out = _run_s1(spark, sf_dir)
+    back = SG.typed_signals(TP.decode(TP.read_topic(spark, out), SC.SMA_SIGNAL_MESSAGE))
+    return FX.comparable(FX.rounded(back, ["short_term_avg", "long_term_avg"]))
+
+
+@register("stream_combined_signals", ORACLE["combined_signal"])
+def q_stream_combined_signals(spark, sf_dir):
+    from tickflow.operators import signals as SG
+    from tickflow.sources import schemas as SC
+    from tickflow.sources import topics as TP
+    out = _run_s2(spark, sf_dir)
+    back = SG.typed_signals(TP.decode(TP.read_topic(spark, out), SC.COMBINED_SIGNAL_MESSAGE))
+    back = back.select("symbol", "datetime", "close", "short_term_avg", "long_term_avg",
+                       "sma_signal", "sentiment_signal", "combined_signal")
+    return FX.comparable(FX.rounded(back, ["short_term_avg", "long_term_avg"]))
+
+
+@register("stream_signal_sink", f"""WITH {SQL_COMBINED}
+SELECT symbol, {_sql_iso('datetime')} AS kafka_datetime, {_sql_iso('datetime')} AS datetime,
+       open, high, low, close, volume, round(short_term_avg, 4) AS short_term_avg,
+       round(long_term_avg, 4) AS long_term_avg, short_above_long, is_significant,
+       sma_signal, sentiment_signal, combined_signal
+FROM combined""")
+def q_stream_signal_sink(spark, sf_dir):
+    from tickflow.operators.serving import DOCUMENT_COLUMNS
+    from tickflow.session import work_path
+    from tickflow.sources import tables as TB
+    from tickflow.streaming import jobs as SJ
+    path = work_path(spark, "signal-documents")
+    SJ.stream_signal_sink(spark, _run_s2(spark, sf_dir), path, work_path(spark, "ckpt-s3"), wait=True)
+    docs = TB.read_table(spark, path).select(*DOCUMENT_COLUMNS)
+    return FX.comparable(FX.rounded(docs, ["short_term_avg", "long_term_avg"]))
+
+
+@register("stream_resample", f"""WITH {SQL_TICKS}
+SELECT symbol, date_trunc('day', datetime) AS bar_start,
+       date_trunc('day', datetime) + INTERVAL 1 DAY AS bar_end,
+       arg_min(close, {{'t': datetime, 'e': event_id}}) AS open, max(close) AS high,
+       min(close) AS low, arg_max(close, {{'t': datetime, 'e': event_id}}) AS close,
+       CAST(count(*) AS DOUBLE) AS volume
+FROM ticks GROUP BY 1, 2, 3
+HAVING date_trunc('day', datetime) + INTERVAL 1 DAY
+       <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+def q_stream_resample(spark, sf_dir):
+    from tickflow.session import work_path
+    from tickflow.streaming import jobs as SJ
+    src = work_path(spark, "tick-files")
+    t = FX.ticks(spark, sf_dir).withColumn("datetime", F.col("datetime").cast("timestamp"))
+    t.write.parquet(src)
+    stream = spark.readStream.schema(t.schema).parquet(src)
+    out = work_path(spark, "stream-bars")
+    SJ.stream_resample(stream, out, work_path(spark, "ckpt-s5"), interval="1 day", watermark="1 hour",
+                       tie="event_id", wait=True)
+    return FX.comparable(spark.read.parquet(out))
+
+
+@register("stream_dedupe", f"""WITH {SQL_NEWS}
+SELECT DISTINCT symbol, lower(title) AS title_key FROM news""")
+def q_stream_dedupe(spark, sf_dir):
+    from tickflow.session import work_path
+    from tickflow.streaming import jobs as SJ
+    src = work_path(spark, "news-files")
+    FX.news(spark, sf_dir).select("symbol", "title", "publishedAt", "url").write.parquet(src)
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    out, ckpt = work_path(spark, "news-dedupe"), work_path(spark, "ckpt-s6")
+    q = (SJ.dedupe_stream(stream).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    # which copy survives depends on arrival order; the surviving keys do not
+    return spark.read.parquet(out).select("symbol", "title_key")
