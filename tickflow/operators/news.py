@@ -110,13 +110,20 @@ def train_language_profiles(docs: DataFrame, text: str = "text", lang: str = "la
     ``w = ln(count + 1)`` for every trigram seen in a language, and
     ``languages(lang, prior, log_denom)`` with the log prior and
     ``ln(total grams of lang + vocabulary size)``. Whole texts are used.
-    Counting is a plain ``groupBy(lang, gram)`` with map-side combine. With
-    ``path`` the two tables are written there (the trained model) and read
-    back, so training runs once however often the profiles are used.
+    Counting is a plain ``groupBy(lang, gram)`` with map-side combine; the
+    counts are materialised once (under ``path`` when given - the trained
+    model - else as a reliable checkpoint) and both tables derive from them.
     """
     labelled = docs.filter(F.col(lang).isNotNull())
     grams = labelled.select(F.col(lang).alias("lang"), F.explode(_trigrams(F.col(text))).alias("gram"))
     counts = grams.groupBy("gram", "lang").agg(F.count(F.lit(1)).alias("n"))
+    # the counts feed three results below: compute them once
+    spark = docs.sparkSession
+    if path:
+        counts.write.mode("overwrite").parquet(f"{path}/counts")
+        counts = spark.read.parquet(f"{path}/counts")
+    else:
+        counts = counts.checkpoint()
     weights = counts.select("gram", "lang", F.log(F.col("n") + 1).alias("w"))
     # vocabulary size and document total are single values: scalar subqueries
     vocab = counts.select("gram").distinct().agg(F.count(F.lit(1))).scalar()
@@ -128,10 +135,8 @@ def train_language_profiles(docs: DataFrame, text: str = "text", lang: str = "la
                          F.log(F.col("docs") / all_docs).alias("prior"),
                          F.log(F.coalesce(F.col("total"), F.lit(0)) + vocab).alias("log_denom")))
     if path:
-        spark = docs.sparkSession
-        weights.write.mode("overwrite").parquet(f"{path}/weights")
         languages.write.mode("overwrite").parquet(f"{path}/languages")
-        return spark.read.parquet(f"{path}/weights"), spark.read.parquet(f"{path}/languages")
+        languages = spark.read.parquet(f"{path}/languages")
     return weights, languages
 
 

@@ -41,34 +41,37 @@ def _as_map(table: DataFrame, key: str, value: str):
     return F.map_from_arrays(F.lit([r["k"] for r in rows]), F.lit([float(r["v"]) for r in rows]))
 
 
-def score_column(text, lexicon: DataFrame, modifiers: DataFrame):
-    """Polarity of a text in [-1, 1] as FLOAT (U1 with the J4 lexicon lookup).
+def score(df: DataFrame, lexicon: DataFrame, modifiers: DataFrame, text: str = "content",
+          out: str = "sentiment_score") -> DataFrame:
+    """Add ``sentiment_score`` FLOAT in [-1, 1] to every row (U1 with the J4 lexicon lookup).
 
     Tokens are ``[a-z']+`` of the lower-cased text. Each lexicon token scores
     ``polarity x factor`` where ``factor`` comes from the previous token's
-    modifier (1 when none); polarities and factors count to 6 decimals. Score = mean of the token scores, clipped to
-    [-1, 1]; no lexicon token -> 0.0; null text -> null.
+    modifier (1 when none); polarities and factors count to 6 decimals.
+    Score = mean of the token scores, clipped to [-1, 1]; no lexicon token ->
+    0.0; null text -> null.
+
+    The token array and the token scores are separate projections, so each is
+    computed once per row (a lambda that looked back into an inline token
+    expression would re-tokenise the text for every token).
     """
-    t = F.col(text) if isinstance(text, str) else text
     lex = _as_map(lexicon, "term", "polarity")
     mods = _as_map(modifiers, "term", "factor")
-    toks = tokens(t, SENTIMENT_TOKEN)
+    toks = F.col("_toks")
+    scored = (df.withColumn("_toks", tokens(F.col(text), SENTIMENT_TOKEN))
+              .withColumn("_vals", F.filter(
+                  F.transform(toks, lambda tok, i: F.try_element_at(lex, tok).cast(TERM_DECIMAL)
+                              * F.coalesce(F.try_element_at(mods, F.get(toks, i - 1)),
+                                           F.lit(1.0)).cast(TERM_DECIMAL)),
+                  lambda x: x.isNotNull())))
     # token scores and their sum are exact decimals, so a score that is truly 0
     # stays 0 (its sign decides positive / negative / neutral downstream)
-    vals = F.filter(
-        F.transform(toks, lambda tok, i: F.try_element_at(lex, tok).cast(TERM_DECIMAL)
-                    * F.coalesce(F.try_element_at(mods, F.get(toks, i - 1)), F.lit(1.0)).cast(TERM_DECIMAL)),
-        lambda x: x.isNotNull())
+    vals = F.col("_vals")
     total = F.aggregate(vals, F.lit(0).cast(SUM_DECIMAL), lambda acc, x: (acc + x).cast(SUM_DECIMAL))
     mean = F.when(F.size(vals) > 0, total.cast("double") / F.size(vals)).otherwise(F.lit(0.0))
     clipped = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), mean))
-    return F.when(t.isNull(), F.lit(None)).otherwise(clipped).cast("float")
-
-
-def score(df: DataFrame, lexicon: DataFrame, modifiers: DataFrame, text: str = "content",
-          out: str = "sentiment_score") -> DataFrame:
-    """Add ``sentiment_score`` FLOAT to every row."""
-    return df.withColumn(out, score_column(text, lexicon, modifiers))
+    value = F.when(F.col(text).isNull(), F.lit(None)).otherwise(clipped).cast("float")
+    return scored.withColumn(out, value).drop("_toks", "_vals")
 
 
 def aggregate(enriched: DataFrame, keys=("symbol", "day"), col: str = "sentiment_score") -> DataFrame:

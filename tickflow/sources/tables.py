@@ -37,10 +37,22 @@ def read_day(spark: SparkSession, path: str, as_of) -> DataFrame:
                     & (F.col("day") == d.day)))
 
 
+def cluster_for_write(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Cluster rows by the output partition columns before a partitioned write.
+
+    Without it every task writes a file into every partition it touches
+    (tasks x partitions small files). ``rebalance`` is AQE's partitioning for
+    writes: rows stay clustered by the partition columns, and a skewed
+    partition (one hot symbol-day) is split over several tasks at runtime
+    instead of landing in one.
+    """
+    return df.hint("rebalance", *partition_by)
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Partitioned overwrite that replaces only the partitions present in ``df`` (IO8)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).parquet(path))
+    (cluster_for_write(df, partition_by).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
 
 
 def replace_bars(df: DataFrame, path: str) -> None:
@@ -55,7 +67,8 @@ def append_partitions(df: DataFrame, path: str, partition_by: list[str]) -> bool
     """
     if df.isEmpty():
         return False
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    (cluster_for_write(df, partition_by).write.mode("append")
+     .partitionBy(*partition_by).parquet(path))
     return True
 
 
