@@ -94,3 +94,22 @@ def test_window_plan_shuffles_once_per_block(spark):
     plan = IND.indicators(df, block="year")._jdf.queryExecution().executedPlan().toString()
     assert "Window" in plan
     assert "WindowGroupLimit" in plan      # tails trimmed before the shuffle
+
+
+def test_shuffled_input_and_union_of_single_symbol_runs(spark):
+    rows = random_bars(23, ["p", "q", "r"], 150)
+    flat = [(s, d, c) for s, series in rows.items() for d, c in series]
+    schema = "symbol string, date date, close_price double"
+    ordered = spark.createDataFrame(flat, schema)
+    shuffled = spark.createDataFrame(random.Random(5).sample(flat, len(flat)), schema).repartition(7)
+
+    def key(df):
+        return sorted((r.symbol, r.date, round(r.sma_short, 9), round(r.sma_long, 9), r.position)
+                      for r in IND.indicators(df, block="month").collect())
+
+    together = key(ordered)
+    assert together == key(shuffled)
+    singles = []
+    for s in rows:
+        singles += key(ordered.filter(F.col("symbol") == s))
+    assert together == sorted(singles)

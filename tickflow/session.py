@@ -54,11 +54,13 @@ def apply_defaults(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a private one only when none is configured."""
     sc = spark.sparkContext
-    root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tickflow-ckpt-")
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tickflow-ckpt-")
+    # setCheckpointDir adds a fresh sub-folder each time: call it once only
     sc.setCheckpointDir(root)
-    return sc.getCheckpointDir() or root
+    return sc.getCheckpointDir()
 
 
 def work_path(spark: SparkSession, name: str) -> str:
