@@ -794,3 +794,33 @@ def q_stream_dedupe(spark, sf_dir):
     q.awaitTermination()
     # which copy survives depends on arrival order; the surviving keys do not
     return spark.read.parquet(out).select("symbol", "title_key")
+
+
+@register("news_prepare", f"""WITH {SQL_LANGUAGE},
+marks AS (SELECT symbol, max(publishedAt) AS last_published_at FROM news
+          WHERE publishedAt < TIMESTAMP '{MARK_CUT}' GROUP BY symbol),
+win AS (
+    SELECT s.symbol,
+           CASE WHEN m.last_published_at > TIMESTAMP '{FETCH_AS_OF}' - INTERVAL 1 DAY
+                THEN m.last_published_at + INTERVAL 1 MINUTE
+                ELSE CAST(CAST(TIMESTAMP '{FETCH_AS_OF}' AS DATE) - INTERVAL 1 DAY AS TIMESTAMP) END
+               AS window_from
+    FROM (SELECT DISTINCT symbol FROM news) s LEFT JOIN marks m USING (symbol)),
+fetched AS (SELECT n.* FROM news n JOIN win w ON n.symbol = w.symbol AND n.publishedAt >= w.window_from),
+eng AS (SELECT f.* FROM fetched f JOIN detected d USING (url) WHERE d.language = 'en'),
+dd AS (SELECT * FROM eng
+       QUALIFY row_number() OVER (PARTITION BY symbol, lower(coalesce(title, '')) ORDER BY publishedAt, url) = 1)
+SELECT symbol, title, publishedAt, {sql_clean('description')} AS description, url, source_name,
+       {sql_clean('content')} AS content
+FROM dd""")
+def q_news_prepare(spark, sf_dir):
+    from tickflow.operators import incremental as I
+    from tickflow.operators import news as N
+    from tickflow.session import work_path
+    n = FX.news(spark, sf_dir)
+    marks = I.next_mark(n.filter(F.col("publishedAt") < F.lit(MARK_CUT).cast("timestamp_ntz")))
+    weights, languages = N.train_language_profiles(FX.table(spark, sf_dir, "documents"),
+                                                   path=work_path(spark, "language-profiles"))
+    articles = n.select("symbol", "title", "publishedAt", "description", "url", "source_name", "content")
+    msgs, _ = J.prepare_news(articles, marks, FETCH_AS_OF, weights, languages)
+    return FX.comparable(msgs)
