@@ -36,6 +36,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # local data is small: let AQE keep a few partitions instead of merging a
+        # shuffle into one task (which then writes every partition folder alone)
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
         builder = builder.config(k, v)
