@@ -64,9 +64,9 @@ def typed_quotes(df: DataFrame) -> DataFrame:
     return out.withColumn("datetime", F.try_to_timestamp(F.col("datetime").cast("string")))
 
 
-def load_bars(df: DataFrame) -> DataFrame:
-    """Stored bars -> indicator input (P5): ``symbol, date TIMESTAMP, close_price``."""
-    return df.select("symbol", F.to_timestamp("date").alias("date"), "close_price")
+def load_bars(df: DataFrame, keep=()) -> DataFrame:
+    """Stored bars -> indicator input (P5): ``symbol, date TIMESTAMP, close_price`` (+ ``keep``)."""
+    return df.select("symbol", F.to_timestamp("date").alias("date"), "close_price", *keep)
 
 
 # --------------------------------------------------------------------------- filters

@@ -15,11 +15,12 @@ MAX_LANGUAGES = 1000
 MESSAGE_COLUMNS = ["symbol", "title", "publishedAt", "description", "url", "source_name", "content"]
 
 
-def normalize(df: DataFrame) -> DataFrame:
+def normalize(df: DataFrame, keep=()) -> DataFrame:
     """Raw article (+ ``symbol``) -> news message columns (P8 + P7).
 
     Missing fields become ''; ``source.name`` becomes ``source_name``;
     description and content are cleaned, the title is kept as it is.
+    ``keep`` names extra columns (ids) passed through unchanged.
     """
     def text(c):
         return F.coalesce(F.col(c).cast("string"), F.lit(""))
@@ -30,6 +31,7 @@ def normalize(df: DataFrame) -> DataFrame:
     else:
         source = F.lit("")
     return df.select(
+        *keep,
         "symbol",
         text("title").alias("title"),
         (F.col("publishedAt") if "publishedAt" in df.columns else F.lit("")).alias("publishedAt"),

@@ -255,9 +255,7 @@ FROM long_bars""")
 def q_bars_date_parts(spark, sf_dir):
     from tickflow.sources.tables import with_date_parts
     parted = with_date_parts(FX.long_bars(spark, sf_dir), "date")
-    return FX.comparable(B.load_bars(parted).join(
-        parted.select("symbol", F.col("date").cast("timestamp").alias("date"), "year", "month"),
-        ["symbol", "date"]))
+    return FX.comparable(B.load_bars(parted, keep=("year", "month")))
 
 
 @register("bars_latest_30", f"""WITH {SQL_LONG_BARS}
@@ -371,10 +369,8 @@ SELECT page_id, title, {sql_clean('substr(body, 1, 300)')} AS description, url,
 FROM pa""")
 def q_news_normalize_clean(spark, sf_dir):
     from tickflow.operators import news as N
-    arts = _page_articles(spark, sf_dir)
-    norm = N.normalize(arts.drop("page_id").withColumn("url", F.col("url")))
-    keyed = arts.select("page_id", "url").join(norm, "url")
-    return keyed.select("page_id", "title", "description", "url", "source_name", "content")
+    norm = N.normalize(_page_articles(spark, sf_dir), keep=("page_id",))
+    return norm.select("page_id", "title", "description", "url", "source_name", "content")
 
 
 @register("news_dedupe_title", f"""WITH {SQL_NEWS}
