@@ -56,7 +56,12 @@ def apply_defaults(spark: SparkSession) -> None:
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a private one only when none is configured."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        sc = None
+    if sc is None:
+        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tickflow-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current
