@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickflow.functions.timeutil import ts_lit
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -130,9 +132,9 @@ def backfill(df: DataFrame, n: int = 200, start=None, end=None, key: str = "symb
     """Bounded back-fill (T4): the last ``n`` bars per key within [start, end]."""
     out = df
     if start is not None:
-        out = out.filter(F.col(order) >= F.lit(start).cast(df.schema[order].dataType))
+        out = out.filter(F.col(order) >= ts_lit(start, df.schema[order].dataType))
     if end is not None:
-        out = out.filter(F.col(order) <= F.lit(end).cast(df.schema[order].dataType))
+        out = out.filter(F.col(order) <= ts_lit(end, df.schema[order].dataType))
     return latest_bars(out, n, key, order)
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickflow.functions.timeutil import ts_lit
+
 MARK_SCHEMA = T.StructType([
     T.StructField("symbol", T.StringType()),
     T.StructField("last_published_at", T.TimestampType()),
@@ -17,7 +19,7 @@ MARK_SCHEMA = T.StructType([
 
 def since(df: DataFrame, col: str, start) -> DataFrame:
     """Arrival cut-off (F1): rows with ``col >= start`` (an explicit instant, never the clock)."""
-    return df.filter(F.col(col) >= F.lit(start).cast(df.schema[col].dataType))
+    return df.filter(F.col(col) >= ts_lit(start, df.schema[col].dataType))
 
 
 def high_watermark(df: DataFrame, col: str = "timestamp", keys=("symbol",),
@@ -36,7 +38,7 @@ def newer_than(df: DataFrame, marks: DataFrame, col: str = "timestamp", keys=("s
     joined = df.join(marks.select(*keys, F.col(mark_col).alias("_mark")), list(keys), "left")
     mark = F.col("_mark")
     if default is not None:
-        mark = F.coalesce(mark, F.lit(default).cast(df.schema[col].dataType))
+        mark = F.coalesce(mark, ts_lit(default, df.schema[col].dataType))
     return joined.filter(mark.isNull() | (F.col(col) > mark)).drop("_mark")
 
 
@@ -46,7 +48,7 @@ def news_window(marks: DataFrame, as_of, mark_col: str = "last_published_at") ->
     mark later than ``as_of - 1 day`` -> mark + 1 minute; otherwise (or no
     mark) -> midnight of the day before ``as_of``.
     """
-    as_of_ts = F.lit(as_of).cast("timestamp_ntz")
+    as_of_ts = ts_lit(as_of)
     mark = F.col(mark_col).cast("timestamp_ntz")
     default = F.date_sub(F.to_date(as_of_ts), 1).cast("timestamp_ntz")
     recent = mark > as_of_ts - F.expr("INTERVAL 1 DAY")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickflow.functions.text import iso_format
+from tickflow.functions.timeutil import ts_lit
 
 DOCUMENT_COLUMNS = ["symbol", "kafka_datetime", "datetime", "open", "high", "low", "close", "volume",
                     "short_term_avg", "long_term_avg", "short_above_long", "is_significant",
@@ -74,7 +75,7 @@ def chart_series(df: DataFrame, start, key: str = "symbol", ts: str = "datetime"
     table; AQE broadcasts it from its measured size) rather than an
     unpartitioned-order window over a whole symbol.
     """
-    win = df.filter(F.col(ts) >= F.lit(start).cast(df.schema[ts].dataType))
+    win = df.filter(F.col(ts) >= ts_lit(start, df.schema[ts].dataType))
     means = win.groupBy(key).agg(F.avg("close").alias("avg_close"))
     out = win.join(means, key)
     return out.select(key, ts, "open", "high", "low", "close", "avg_close",

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickflow.functions.timeutil import ts_lit
 from tickflow.operators import bars as B
 from tickflow.session import apply_defaults
 
@@ -54,7 +55,7 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def history_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = ticks(spark, sf_dir).filter(F.col("datetime") < F.lit(LIVE_START).cast("timestamp_ntz"))
+    t = ticks(spark, sf_dir).filter(F.col("datetime") < ts_lit(LIVE_START))
     day = B.resample(t, "1 day", ts="datetime", price="close", volume="volume", tie="event_id")
     return day.select("symbol", F.col("bar_start").alias("date"), "close", "volume") \
         .withColumnRenamed("close", "close_price")
@@ -62,7 +63,7 @@ def history_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def live_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = ticks(spark, sf_dir)
-    return t.filter(F.col("datetime") >= F.lit(LIVE_START).cast("timestamp_ntz"))
+    return t.filter(F.col("datetime") >= ts_lit(LIVE_START))
 
 
 def long_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,7 +76,7 @@ def long_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    published = F.timestamp_add("MINUTE", F.col("doc_id"), F.lit(LIVE_START).cast("timestamp_ntz"))
+    published = F.timestamp_add("MINUTE", F.col("doc_id"), ts_lit(LIVE_START))
     return d.select(
         "doc_id",
         F.col("source").alias("symbol"),

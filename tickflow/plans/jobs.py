@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickflow.functions.timeutil import ts_lit
 from tickflow.operators import bars as B
 from tickflow.operators import incremental as I
 from tickflow.operators import indicators as IND
@@ -85,7 +86,7 @@ def load_news(spark: SparkSession, topic: dict, path: str, stored: DataFrame | N
         marks = I.high_watermark(stored, "timestamp")
         # start offset (IO4): the oldest per-symbol maximum, one value; the strict
         # per-symbol filter below removes what is read twice
-        since = marks.agg(F.min("max_timestamp")).first()[0]
+        since = marks.agg(F.date_format(F.min("max_timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
     msgs = TP.decode(TP.read_topic(spark, topic, since), SC.NEWS_MESSAGE, keep_ts="timestamp")
     new = I.newer_than(msgs, marks, "timestamp") if marks is not None else msgs
     out = TB.with_date_parts(new.select(*NEWS_COLUMNS), "timestamp", day=True)
@@ -103,7 +104,7 @@ def enrich_news(news_day: DataFrame, enriched_day: DataFrame | None, day_start,
         marks = I.high_watermark(enriched_day, "timestamp")
         new = I.newer_than(news_day, marks, "timestamp", default=day_start)
     else:
-        new = news_day.filter(F.col("timestamp") > F.lit(day_start).cast(news_day.schema["timestamp"].dataType))
+        new = news_day.filter(F.col("timestamp") > ts_lit(day_start, news_day.schema["timestamp"].dataType))
     scored = SE.score(new.select(*NEWS_COLUMNS), lexicon, modifiers)
     return TB.with_date_parts(scored, "timestamp", day=True)
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickflow.functions.timeutil import ts_lit
 from tickflow.sources.schemas import TOPIC
 
 # JSON timestamp layout used on every topic we write: ISO-8601 with
@@ -53,7 +54,7 @@ def read_topic(spark: SparkSession, cfg: dict, since=None) -> DataFrame:
         return reader.load().select("key", "value", "timestamp")
     df = spark.read.schema(TOPIC).parquet(cfg["path"])
     if since is not None:
-        df = df.filter(F.col("timestamp") >= F.lit(since).cast("timestamp"))
+        df = df.filter(F.col("timestamp") >= ts_lit(since, "timestamp"))
     return df
 
 
