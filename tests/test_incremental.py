@@ -44,3 +44,26 @@ def test_marks_roundtrip(spark, tmp_path):
     I.save_marks(I.next_mark(fetched), path)
     got = I.load_marks(spark, path).collect()
     assert len(got) == 1 and got[0].last_published_at.hour == 12
+
+
+def test_cutoffs_do_not_depend_on_driver_time_zone(spark):
+    import os
+    import time
+
+    from tickflow.functions.timeutil import ts_text
+    rows = spark.createDataFrame([(dt.datetime(2024, 1, 25, 0, 0),), (dt.datetime(2024, 1, 24, 23, 59),)],
+                                 "kafka_timestamp timestamp_ntz")
+    old = os.environ.get("TZ")
+    try:
+        for zone in ("America/New_York", "Asia/Tokyo", "UTC"):
+            os.environ["TZ"] = zone
+            time.tzset()
+            assert I.since(rows, "kafka_timestamp", dt.datetime(2024, 1, 25)).count() == 1, zone
+    finally:
+        if old is None:
+            os.environ.pop("TZ", None)
+        else:
+            os.environ["TZ"] = old
+        time.tzset()
+    aware = dt.datetime(2024, 1, 25, 2, 0, tzinfo=dt.timezone(dt.timedelta(hours=2)))
+    assert ts_text(aware) == "2024-01-25 00:00:00"
