@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tickflow.operators import bars as B
 from tickflow.operators import indicators as IND
+from tickflow.operators.signals import COMBINED_MATRIX, SIGNALS
 from tickflow.plans import fixtures as FX
 from tickflow.plans import jobs as J
 
@@ -606,6 +607,9 @@ def q_sentiment_signal(spark, sf_dir):
 
 # --------------------------------------------------------------------------- combined + serving
 
+SQL_MATRIX_ROWS = ", ".join(f"('{sma}', '{sent}', '{val}')" for sma, row in COMBINED_MATRIX.items()
+                            for sent, val in zip(SIGNALS, row))
+
 SQL_COMBINED = f"""{SQL_TICKS}, {SQL_HISTORY}, {sql_indicators('history', 30)}, {SQL_SNAPSHOT},
 {SQL_SMA_SIGNALS}, {SQL_DAY_SENTIMENT},
 combined AS (
@@ -616,7 +620,7 @@ combined AS (
                 ELSE coalesce(m.combined, s.signal) END AS combined_signal
     FROM sma_signals s
     LEFT JOIN day_signal d ON d.symbol = s.symbol AND d.day = CAST(s.datetime AS DATE)
-    LEFT JOIN (VALUES {', '.join(f"('{a}', '{b}', '{v}')" for a, row in __import__('tickflow.operators.signals', fromlist=['x']).COMBINED_MATRIX.items() for b, v in zip(('strong_buy', 'buy', 'hold', 'sell', 'strong_sell'), row))}) m(sma, sent, combined)
+    LEFT JOIN (VALUES {SQL_MATRIX_ROWS}) m(sma, sent, combined)
       ON m.sma = s.signal AND m.sent = d.sentiment_signal)"""
 
 
