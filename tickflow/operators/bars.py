@@ -88,6 +88,18 @@ def in_session(df: DataFrame, ts: str = "datetime", tz: str = "Asia/Jerusalem",
 
 # --------------------------------------------------------------------------- resample
 
+def _order_key(ts: str, tie: str) -> Column:
+    """``(ts, tie)`` as one exact, order-preserving DECIMAL(38,0):
+    ``epoch micros * 10^20 + (tie + 2^63)``.
+
+    A struct ordering would force a sort-based aggregation over every tick;
+    a fixed-width key keeps ``min_by`` / ``max_by`` in hash aggregation.
+    """
+    micros = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(38,0)")
+    shifted = F.col(tie).cast("decimal(38,0)") + F.lit(str(2 ** 63)).cast("decimal(38,0)")
+    return (micros * F.lit(str(10 ** 20)).cast("decimal(38,0)") + shifted).cast("decimal(38,0)")
+
+
 def resample(df: DataFrame, interval: str, ts: str = "datetime", price: str = "close",
              volume: str | None = "volume", key: str = "symbol",
              tie: str | None = None, watermark: str | None = None) -> DataFrame:
@@ -102,7 +114,7 @@ def resample(df: DataFrame, interval: str, ts: str = "datetime", price: str = "c
     src = df
     if watermark:
         src = src.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
-    order = F.struct(F.col(ts), F.col(tie)) if tie else F.col(ts)
+    order = _order_key(ts, tie) if tie else F.col(ts)
     vol = F.sum(volume).cast("double") if volume else F.count(F.lit(1))
     return (src.groupBy(key, F.window(ts, interval).alias("bar"))
             .agg(F.min_by(price, order).alias("open"),
