@@ -30,3 +30,15 @@ def test_entry_smoke(spark):
     from __spark_entry__ import entry
     df = entry(spark)
     assert df.count() >= 0 and "signal" in df.columns
+
+
+@pytest.mark.parametrize("sf,expected", [
+    ("/root/testdata/sf0.001", {"strong_buy": 33, "buy": 19, "hold": 62, "sell": 9, "strong_sell": 55}),
+    ("/root/testdata/sf0.01", {"strong_buy": 335, "buy": 102, "hold": 1024, "sell": 84, "strong_sell": 461}),
+])
+def test_sma_signal_counts_match_fixture_table(spark, sf, expected):
+    """The SMA signal counts published in FIXTURES.md §2 (derived there independently)."""
+    from __spark_entry__ import queries
+    got = {r.signal: r.n for r in queries()["sma_signal"](spark, sf).groupBy("signal").count()
+           .withColumnRenamed("count", "n").collect()}
+    assert got == expected
