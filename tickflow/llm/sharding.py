@@ -105,13 +105,14 @@ def split_capacities(capacities: Column, children: Column, seed: int) -> Column:
 def communication_matrix(counts: DataFrame, n_rows: int, n_shards: int, levels: int, seed: int, fan_out: int = FAN_OUT) -> DataFrame:
     """(block, capacities): rows that each block sends to each shard; ``counts`` has (block, n)."""
     sizes = [n_rows // n_shards + (1 if j < n_rows % n_shards else 0) for j in range(n_shards)]
-    spark = counts.sparkSession
-    nodes = spark.range(1).select(F.lit(0).cast("long").alias("node"), F.array(*[F.lit(s).cast("long") for s in sizes]).alias("capacities"))
+    whole = F.array(*[F.lit(s).cast("long") for s in sizes])
+    nodes = None
     for level in range(1, levels + 1):
         width = fan_out ** (levels - level)
         kids = (counts.groupBy(F.expr(f"block div {width}").alias("child")).agg(F.sum("n").alias("n"))
                 .groupBy(F.expr(f"child div {fan_out}").alias("node")).agg(F.array_sort(F.collect_list(F.struct("child", "n"))).alias("children")))
-        nodes = (nodes.join(kids, "node").select(F.explode(split_capacities(F.col("capacities"), F.col("children"), seed * 64 + level)).alias("c"))
+        nodes = kids.withColumn("capacities", whole) if nodes is None else nodes.join(kids, "node")
+        nodes = (nodes.select(F.explode(split_capacities(F.col("capacities"), F.col("children"), seed * 64 + level)).alias("c"))
                  .select(F.col("c.child").alias("node"), "c.capacities"))
     return nodes.withColumnRenamed("node", "block")
 
