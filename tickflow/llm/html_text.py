@@ -212,7 +212,7 @@ def table_lines(rows: list[list[str]]) -> list[str]:
 
 def render(root: Node) -> str:
     """Visible text of a tree."""
-    writers, tables, lists = [Writer()], [], []
+    writers, tables, lists, deep = [Writer()], [], [], 0
     todo: list = [root]
     while todo:
         x = todo.pop()
@@ -237,6 +237,8 @@ def render(root: Node) -> str:
                 w.block(tag in SPACED)
                 if tag == "pre":
                     w.pre -= 1
+                elif tag == "deep":
+                    deep -= 1
                 elif tag in ("ul", "ol", "menu", "dir"):
                     lists.pop()
                     if lists:
@@ -253,7 +255,7 @@ def render(root: Node) -> str:
         if tag == "hr":
             w.block(True)
             continue
-        if tag in ("td", "th") and tables and tables[-1] and len(tables) <= DEEP:
+        if tag in ("td", "th") and tables and tables[-1] and not deep:
             writers.append(Writer())
             todo.append((tag, "cell"))
         elif tag in BLOCK:
@@ -264,8 +266,9 @@ def render(root: Node) -> str:
                 tables.append([])
                 todo.append((tag, None))
             else:
-                todo.append(("div" if tag in ("table", "td", "th") else tag, saved))
-            if tag == "tr" and tables:
+                deep += tag == "table"
+                todo.append(("deep" if tag == "table" else "div" if tag in ("td", "th") else tag, saved))
+            if tag == "tr" and tables and not deep:
                 tables[-1].append([])
             elif tag == "pre":
                 w.pre += 1

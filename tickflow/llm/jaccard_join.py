@@ -10,7 +10,8 @@ Pivots alone cannot start on a whole corpus: unrelated texts all lie at a distan
 pivot, so that each is a boundary document of each region (README has figures). The first regions are
 those of single shingles, nearest first: shingles are ordered by their length (long ones are rare),
 and of a set of n only the first n - ceil(n p / 100) + 1 can be the first that it shares with a linked
-set, so the set is put into these regions. Regions are then joined recursively and exactly:
+set, so the set is put into these regions. The empty set is a first pivot: linked sets differ little in size,
+so a region is cut into size classes, with the sets near a boundary in both. Regions are then joined recursively and exactly:
 
 Distances to pivots are first taken in a coarser metric: of two sets' histograms over ``BUCKETS`` hash
 buckets, the weighted Jaccard distance is a metric too and never above the sets' own distance, so every
@@ -51,9 +52,11 @@ from tickflow.llm.common import map_in_arrow, read_table, shared_table
 from tickflow.llm.components import components
 
 #: Sizes of one class differ by less than this factor.
-CLASS_RATIO = 1.25
+CLASS_RATIO = 1.4
 #: Buckets of a set's histogram.
 BUCKETS = 128
+#: Pivots of a region in the first round of the recursion; each round has eight times as many.
+PIVOTS = 64
 #: Regions of more nodes are dealt anew by parts of their sets.
 REGION = 32
 #: Word hashes that a worker keeps; above, it starts afresh.
@@ -111,24 +114,27 @@ def size_classes(percent: int, top: int) -> list[tuple[int, int]]:
     return out
 
 
+def own_classes(n: int, percent: int) -> list[tuple[int, int]]:
+    """(class, parts) of a set of size n: its own, and the next where a larger partner can be."""
+    classes = size_classes(percent, 2 * n + 2)
+    own = max(i for i, (low, _) in enumerate(classes) if low <= n)
+    return [(c, classes[c][1]) for c in (own, own + 1) if classes[c][1] > 1 and (c == own or 100 * n >= percent * classes[c][0])]
+
+
 def first_regions(hashes: np.ndarray, percent: int) -> np.ndarray:
-    """The shingles of which one is the first that the set shares with any linked, different set."""
+    """The shingles of which one is the first that the set shares with any linked, different set, by size class."""
     n = len(hashes)
-    return hashes[:n + (-n * percent // 100) + 1].view(np.int64)
+    head = hashes[:n + (-n * percent // 100) + 1]
+    out = [_mix(head * _A + np.uint64(c) * _B) for c, _ in own_classes(n, percent)] if n else []
+    return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
 
 
 def part_regions(hashes: np.ndarray, percent: int) -> np.ndarray:
     """One number for each part of the set, over its size class and, where a partner can be there, the next."""
-    n = len(hashes)
-    classes = size_classes(percent, 2 * n + 2)
-    own = max(i for i, (low, _) in enumerate(classes) if low <= n)
     spread = np.sort(_mix(hashes))
     sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_mix(spread * _C), dtype=np.uint64)))
     out = []
-    for c in (own, own + 1):
-        low, parts = classes[c]
-        if parts <= 1 or c > own and 100 * n < percent * low:
-            continue
+    for c, parts in own_classes(len(hashes), percent):
         # parts are ranges of the sorted hashes
         part = ((spread >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         ends = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
@@ -274,9 +280,8 @@ class Join:
 
     def search(self, rows: DataFrame) -> None:
         """Join every region of ``rows`` (region, node), recursively, until each holds one component."""
-        pivots_each = 1
+        pivots_each = PIVOTS
         while not rows.isEmpty():
-            pivots_each *= 8
             salt = F.pmod(F.xxhash64("node", F.lit(pivots_each)), F.lit(pivots_each)).alias("_salt")
             chosen = rows.groupBy("region", salt).agg(F.min("node").alias("pivot")).select("region", "pivot")
             asked = shared_table(rows.join(chosen, "region").filter("node <> pivot"), "asked")
@@ -285,6 +290,7 @@ class Join:
             far = asked.join(still, "region", "left_semi").join(self.both_ways(), ["node", "pivot"]).select("region", "node", "pivot", "d")
             rows = shared_table(_split(rows.join(still, "region", "left_semi"), far, self.e).distinct(), "regions")
             rows = self.unresolved(rows)
+            pivots_each *= 8
 
 
 def linked_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
