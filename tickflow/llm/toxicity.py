@@ -35,6 +35,8 @@ DIM = 1 << 17
 FOLDS = 3
 #: Features whose weight of evidence is not this many standard errors from none are left out.
 EVIDENCE = 9.0
+#: Features of fewer training rows are left out.
+SEEN = 5
 THRESHOLD = 0.6
 WORDS_KEPT = 200_000
 PREFIXES = (4, 5)
@@ -61,7 +63,7 @@ def document_features(text: str | None, known: _Features) -> np.ndarray:
 
 def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     lens = np.fromiter(map(len, rows), np.int64, len(rows))
-    return (np.concatenate(rows) if rows else np.empty(0, np.int64)), np.repeat(np.arange(len(rows)), lens)
+    return (np.concatenate(rows) if rows else np.empty(0, np.int32)), np.repeat(np.arange(len(rows), dtype=np.int32), lens)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -78,9 +80,9 @@ class Linear:
         self.bias, self.weights, self.dense = float(np.log(rate / (1 - rate))), np.zeros(DIM), np.zeros(dense.shape[1])
         if positive == 0 or positive == n:
             return
-        seen, hit = np.bincount(flat, minlength=DIM), np.bincount(flat, weights=y[owner], minlength=DIM)
+        seen, hit = np.bincount(flat, minlength=DIM), np.bincount(flat[(y > 0)[owner]], minlength=DIM)
         spread = np.sqrt(np.maximum(seen * rate * (1 - rate), 1e-12))
-        keep = (np.abs(hit - seen * rate) > EVIDENCE * spread) & (seen >= 5)
+        keep = (np.abs(hit - seen * rate) > EVIDENCE * spread) & (seen >= SEEN)
         index = np.cumsum(keep) - 1
         mask = keep[flat]
         f, o = index[flat[mask]], owner[mask]
@@ -148,7 +150,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, categories: list[str], sam
 
 def fit(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int = SAMPLE) -> list[Linear]:
     got = training_rows(docs, labels, categories, sample).toPandas().sort_values("doc_id", kind="stable")
-    return fit_chain([np.asarray(f, np.int64) for f in got["features"]], got[[f"_c{k}" for k in range(len(categories))]].to_numpy(), got["fold"].to_numpy())
+    seen = np.zeros(DIM, np.int64)
+    for f in got["features"]:
+        seen[f] += 1  # a row's features are distinct
+    rows = [f[seen[f] >= SEEN].astype(np.int32) for f in got.pop("features")]
+    return fit_chain(rows, got[[f"_c{k}" for k in range(len(categories))]].to_numpy(), got["fold"].to_numpy())
 
 
 def score(docs: DataFrame, chain: list[Linear], categories: list[str], threshold: float = THRESHOLD) -> DataFrame:
