@@ -149,12 +149,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, categories: list[str], sam
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int = SAMPLE) -> list[Linear]:
-    got = training_rows(docs, labels, categories, sample).toPandas().sort_values("doc_id", kind="stable")
-    seen = np.zeros(DIM, np.int64)
-    for f in got["features"]:
-        seen[f] += 1  # a row's features are distinct
-    rows = [f[seen[f] >= SEEN].astype(np.int32) for f in got.pop("features")]
-    return fit_chain(rows, got[[f"_c{k}" for k in range(len(categories))]].to_numpy(), got["fold"].to_numpy())
+    got = training_rows(docs, labels, categories, sample).toArrow().sort_by("doc_id").combine_chunks()
+    features = got["features"].combine_chunks()
+    flat, ends = np.asarray(features.values), np.asarray(features.offsets)
+    seen = np.bincount(flat, minlength=DIM)  # a row's features are distinct
+    rows = [f[seen[f] >= SEEN] for f in (flat[i:j] for i, j in zip(ends[:-1], ends[1:]))]
+    given = np.column_stack([np.asarray(got[f"_c{k}"]) for k in range(len(categories))])
+    return fit_chain(rows, given, np.asarray(got["fold"]))
 
 
 def score(docs: DataFrame, chain: list[Linear], categories: list[str], threshold: float = THRESHOLD) -> DataFrame:
