@@ -1,5 +1,6 @@
 """Batch jobs not covered by a registered query on their own: B2 and B4."""
 
+import pytest
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -57,3 +58,22 @@ def test_day_sentiment_and_combined(spark):
     got = {(r.symbol, r.datetime.day): (r.sentiment_signal, r.combined_signal)
            for r in J.combined_signals(sma, J.day_sentiment(enriched)).collect()}
     assert got == {("A", 5): ("buy", "strong_buy"), ("B", 5): ("sell", "hold"), ("A", 6): (None, "sell")}
+
+
+def test_text_start_becomes_kafka_milliseconds():
+    from tickflow.sources.topics import _millis
+    assert _millis("2024-01-25 08:00:00.000000") == 1706169600000 == _millis("1706169600000")
+
+
+def test_marks_hide_no_failure_but_a_missing_table(spark, tmp_path):
+    from tickflow.operators import incremental as I
+    assert I.load_marks(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(Exception):
+        I.load_marks(spark, "nosuchfs://host/marks").count()
+
+
+def test_fractional_volume_is_kept(spark):
+    from tickflow.operators import bars as B
+    rows = [("a", "2024-01-02", "1.5", "1234.0"), ("a", "2024-01-03", "1.5", "x")]
+    got = B.typed_bars(spark.createDataFrame(rows, "symbol string, date string, close_price string, volume string")).collect()
+    assert [r.volume for r in got] == [1234, None]

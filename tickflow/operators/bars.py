@@ -48,13 +48,14 @@ def typed_bars(df: DataFrame) -> DataFrame:
     """Bar message -> typed bar (P1): ``date`` DATE, ``close_price`` DOUBLE, ``volume`` BIGINT.
 
     ``try_cast`` turns malformed numbers into nulls instead of failing the job
-    (Spark is ANSI by default); BIGINT keeps volumes above 2^31-1.
+    (Spark is ANSI by default); BIGINT keeps volumes above 2^31-1, and a fractional
+    volume text loses its fraction.
     """
     return df.select(
         "symbol",
         F.col("date").cast("string").try_cast("date").alias("date"),
         F.col("close_price").cast("string").try_cast("double").alias("close_price"),
-        F.col("volume").cast("string").try_cast("bigint").alias("volume"),
+        F.col("volume").cast("string").try_cast("decimal(38,6)").try_cast("bigint").alias("volume"),
     )
 
 

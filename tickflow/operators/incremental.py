@@ -3,8 +3,8 @@
 
 from __future__ import annotations
 
-import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,7 +66,9 @@ def load_marks(spark: SparkSession, path: str) -> DataFrame:
     """Stored ingest marks (IO14); an absent table reads as no marks."""
     try:
         return spark.read.schema(MARK_SCHEMA).parquet(path)
-    except Exception:  # missing folder: first run
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # only a missing folder is a first run
+            raise
         return spark.createDataFrame([], MARK_SCHEMA)
 
 
@@ -75,9 +77,3 @@ def save_marks(marks: DataFrame, path: str) -> None:
     (marks.select("symbol", F.col("last_published_at").cast("timestamp").alias("last_published_at"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("symbol").parquet(path))
-
-
-def as_datetime(x) -> _dt.datetime:
-    if isinstance(x, _dt.datetime):
-        return x
-    return _dt.datetime.fromisoformat(str(x))

@@ -28,10 +28,6 @@ DEFAULT_MODIFIERS = [
 ]
 
 
-def default_modifiers(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DEFAULT_MODIFIERS, "term string, factor double")
-
-
 def _as_map(table: DataFrame, key: str, value: str):
     """A bounded two-column table as a literal MAP (lower-cased keys, max value per key)."""
     dedup = table.groupBy(F.lower(F.col(key)).alias("k")).agg(F.max(value).alias("v"))

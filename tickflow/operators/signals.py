@@ -111,14 +111,6 @@ def attach_sentiment(signals: DataFrame, sentiment: DataFrame, keys=("symbol", "
     return signals.join(side, on=list(keys), how="left")
 
 
-def with_sma_signal(df: DataFrame) -> DataFrame:
-    return df.withColumn("signal", sma_signal())
-
-
-def with_combined_signal(df: DataFrame) -> DataFrame:
-    return df.withColumn("combined_signal", combined_signal())
-
-
 def typed_signals(df: DataFrame) -> DataFrame:
     """Signal message strings -> types (P2 + P3): prices and averages DOUBLE, flags BOOLEAN."""
     out = df

@@ -79,11 +79,14 @@ def prepare_news(articles: DataFrame, marks: DataFrame, as_of, weights: DataFram
     return msgs, nxt
 
 
-def load_news(spark: SparkSession, topic: dict, path: str, stored: DataFrame | None = None) -> bool:
+def load_news(spark: SparkSession, topic: dict, path: str, stored: DataFrame | None = None,
+              symbols: list[str] | None = None) -> bool:
     """News topic -> rows newer than the stored per-symbol maximum -> day partitions.
 
     ``stored`` is the current table (None on a first run). Returns False when
-    there was nothing new to append.
+    there was nothing new to append. The topic is read from the oldest stored
+    maximum on only when all ``symbols`` asked for have one; a symbol without stored
+    rows needs the topic from its start.
     """
     since = None
     marks = None
@@ -91,7 +94,10 @@ def load_news(spark: SparkSession, topic: dict, path: str, stored: DataFrame | N
         marks = I.high_watermark(stored, "timestamp")
         # start offset (IO4): the oldest per-symbol maximum, one value; the strict
         # per-symbol filter below removes what is read twice
-        since = marks.agg(F.date_format(F.min("max_timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+        if symbols:
+            oldest = marks.filter(F.col("symbol").isin(symbols)).agg(
+                F.count(F.lit(1)).alias("n"), F.date_format(F.min("max_timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("since")).first()
+            since = oldest["since"] if oldest["n"] == len(set(symbols)) else None
     msgs = TP.decode(TP.read_topic(spark, topic, since), SC.NEWS_MESSAGE, keep_ts="timestamp")
     new = I.newer_than(msgs, marks, "timestamp") if marks is not None else msgs
     out = TB.with_date_parts(new.select(*NEWS_COLUMNS), "timestamp", day=True)

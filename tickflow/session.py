@@ -61,16 +61,24 @@ def checkpoint_root(spark: SparkSession) -> str:
     except Exception:  # Spark Connect sessions have no SparkContext
         sc = None
     if sc is None:
-        return spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tickflow-ckpt-")
+        return spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark)
     current = sc.getCheckpointDir()
     if current:
         return current
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tickflow-ckpt-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark)
     # setCheckpointDir adds a fresh sub-folder each time: call it once only
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir()
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """A folder of our own, in local mode only: executors elsewhere could not see it."""
+    master = spark.conf.get("spark.master", "local")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="tickflow-ckpt-")
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root for one table or query."""
     root = checkpoint_root(spark)

@@ -72,15 +72,18 @@ def append_partitions(df: DataFrame, path: str, partition_by: list[str]) -> bool
     return True
 
 
-def signal_sink(path: str, partition_by: str = "batch_id"):
+def signal_sink(path: str, partition_by: str = "batch_id", run_id=None):
     """Idempotent ``foreachBatch`` writer for signal documents (IO11, S4).
 
     Each micro-batch lands in its own ``batch_id`` partition with dynamic
     overwrite, so a batch re-run after a failure replaces its own output
-    instead of duplicating it.
+    instead of duplicating it. ``run_id()`` names the streaming query (its id lives in
+    the checkpoint), so that a new checkpoint, whose batches count from 0 again, adds
+    partitions of its own.
     """
     def _write(batch: DataFrame, batch_id: int) -> None:
-        (batch.withColumn(partition_by, F.lit(int(batch_id)))
+        keys = {**({"run_id": F.lit(run_id())} if run_id else {}), partition_by: F.lit(int(batch_id))}
+        (batch.withColumns(keys)
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_by).parquet(path))
+         .partitionBy(*keys).parquet(path))
     return _write

@@ -33,7 +33,8 @@ def _millis(ts) -> int:
         if ts.tzinfo is None:
             ts = ts.replace(tzinfo=_dt.timezone.utc)
         return int(ts.timestamp() * 1000)
-    return int(ts)
+    text = str(ts)
+    return int(text) if text.lstrip("-").isdigit() else _millis(_dt.datetime.fromisoformat(text))
 
 
 def read_topic(spark: SparkSession, cfg: dict, since=None) -> DataFrame:

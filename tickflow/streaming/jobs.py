@@ -13,6 +13,8 @@ broadcast (AQE does not re-plan inside micro-batches).
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,9 +98,17 @@ def stream_signal_sink(spark: SparkSession, combined_topic: dict, path: str, che
     raw = TP.decode(TP.stream_topic(spark, combined_topic, "earliest"), SC.COMBINED_SIGNAL_MESSAGE,
                     keep_ts="kafka_timestamp")
     docs = SV.signal_document(SG.typed_signals(raw))
-    q = (docs.writeStream.foreachBatch(TB.signal_sink(path))
+    known, started = {}, threading.Event()
+
+    def run_id() -> str:
+        started.wait(60)
+        return known["id"]
+
+    q = (docs.writeStream.foreachBatch(TB.signal_sink(path, run_id=run_id))
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(**(trigger or {"availableNow": True})).start())
+    known["id"] = str(q.id)
+    started.set()
     return _run(q, wait)
 
 
@@ -115,12 +125,17 @@ def stream_resample(ticks: DataFrame, path: str, checkpoint: str, interval: str
 
 
 def dedupe_stream(news: DataFrame, watermark: str = "1 day", keys=("symbol",), title: str = "title",
-                  ts: str = "publishedAt") -> DataFrame:
+                  ts: str = "publishedAt", arrival: str = "timestamp") -> DataFrame:
     """Drop repeated titles (case-insensitive) per key within the watermark.
 
     State per title key is kept until the watermark passes it, so memory is
-    bounded by the titles of one watermark span, not by the whole stream.
+    bounded by the titles of one watermark span, not by the whole stream. The watermark
+    follows the ``arrival`` column where there is one (else ``ts``): articles that arrive
+    in another order than they were published are late by neither.
     """
     keyed = (news.withColumn(ts, F.col(ts).cast("timestamp"))
              .withColumn("title_key", F.lower(F.coalesce(F.col(title), F.lit("")))))
+    if arrival in keyed.columns:
+        keyed = keyed.withColumn(arrival, F.col(arrival).cast("timestamp"))
+        ts = arrival
     return keyed.withWatermark(ts, watermark).dropDuplicatesWithinWatermark([*keys, "title_key"])
