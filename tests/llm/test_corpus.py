@@ -136,7 +136,6 @@ def brute_components(texts, k, percent):
 
 @pytest.mark.parametrize("k,percent", [(3, 90), (5, 80)])
 def test_jaccard_join_equals_brute_force(spark, k, percent, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "REGION", 4)
     monkeypatch.setattr(jaccard_join, "PIVOTS", 2)
     rng = np.random.default_rng(k)
     passage = [f"passage{i}" for i in range(30)]

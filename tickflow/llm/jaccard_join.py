@@ -8,27 +8,25 @@ Jaccard distance d = 1 - J is a metric, so pivots prune: with e the largest dist
 
 Pivots alone cannot start on a whole corpus: unrelated texts all lie at a distance near 1 from every
 pivot, so that each is a boundary document of each region (README has figures). The first regions are
-those of single shingles, nearest first: shingles are ordered by their length (long ones are rare),
-and of a set of n only the first n - ceil(n p / 100) + 1 can be the first that it shares with a linked
-set, so the set is put into these regions. The empty set is a first pivot: linked sets differ little in size,
-so a region is cut into size classes, with the sets near a boundary in both. Regions are then joined recursively and exactly:
-
-Distances to pivots are first taken in a coarser metric: of two sets' histograms over ``BUCKETS`` hash
-buckets, the weighted Jaccard distance is a metric too and never above the sets' own distance, so every
-window holds there as well. Only pairs within e there are compared exactly, on their whole sets.
-
-1. Equal sets are one node.
-2. In every region the smallest node is the pivot; distances to it give links.
-3. A region whose nodes are now in one component is done. In a larger one (over ``REGION`` nodes, say
-   all documents that quote one passage) nodes are dealt anew: linked sets of sizes a and b differ in
-   at most (a + b)(100 - p) / (100 + p) shingles, so they agree wholly on at least one of more parts
-   than that into which a hash cuts the shingle space, and each node goes to one region per part.
-4. Regions draw more pivots (eight times as many a round), split into Voronoi regions with replicated
-   boundaries wherever that separates them, and go on without the pivots until each has one component.
-   Nothing is capped: a region of g unrelated nodes ends with all of them compared.
-
-Shingles are compared as 64-bit hashes. Skew: copies are collapsed before regions are built; rows in
-regions are two numbers; components and minima are pre-aggregated.
+therefore balls that unrelated sets seldom share. The empty set is the first pivot: linked sets differ
+little in size, so sizes are cut into classes, with the sets near a boundary in both. Two linked sets of a class differ in at
+most D shingles; a hash cuts the shingle space into T > D parts, so that they agree wholly on at least
+T - D of them, and every part of a set that is not empty is a region. Where a set has T - D empty parts
+or more, all agreement could be on empty ones: such a set also joins the regions of its first
+n - ceil(n p / 100) + 1 shingles, of which two linked sets share one. Regions are then joined recursively and exactly:
+
+1. Equal sets are one node. A region of a single node is done.
+2. Each node is compared with the smallest pivot of its regions; links make components. A region
+   whose nodes are in one component is done; in the others, all nodes are compared with its own pivot,
+   and regions with the same pivot become one.
+3. Regions that hold several components still draw more pivots (eight times as many a round), split into
+   Voronoi regions with replicated boundaries wherever that separates them, and go on without the pivots
+   until each has one component. Nothing is capped: a region of g unrelated nodes ends with all of
+   them compared.
+
+Shingles are compared as 64-bit hashes, on whole sets. Skew: copies are collapsed before regions are
+built; rows in regions are two numbers; components and minima are pre-aggregated, and the rows of a hot
+region or pivot meet one row in a join, which AQE splits.
 
 Defined results: null, empty and wordless texts have an empty set and link with nothing; a text of
 fewer words than a shingle has its whole word sequence as one shingle; equal sets always link; null
@@ -39,6 +37,9 @@ table gives an empty result; ``drop_near_duplicates`` keeps all columns whatever
 
 from __future__ import annotations
 
+import bisect
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,12 +54,8 @@ from tickflow.llm.components import components
 
 #: Sizes of one class differ by less than this factor.
 CLASS_RATIO = 1.4
-#: Buckets of a set's histogram.
-BUCKETS = 128
 #: Pivots of a region in the first round of the recursion; each round has eight times as many.
-PIVOTS = 64
-#: Regions of more nodes are dealt anew by parts of their sets.
-REGION = 32
+PIVOTS = 16
 #: Word hashes that a worker keeps; above, it starts afresh.
 WORDS_KEPT = 400_000
 #: A split into Voronoi regions is used when it replicates rows by less than this factor.
@@ -74,73 +71,68 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class _Words(dict):
-    """Hash of each word; the six lowest bits hold its length."""
+    """Hash of each word."""
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
-        value = self[word] = xxhash.xxh3_64_intdigest(word) & ~63 | min(len(word), 63)
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 
 
 def shingle_set(text: str | None, k: int, words: _Words) -> np.ndarray:
-    """Sorted distinct hashes of the text's k-word shingles (A-Z lowered, split at ASCII white space).
-
-    The highest eight bits fall with the shingle's length: long shingles come first.
-    """
+    """Sorted distinct hashes of the text's k-word shingles (A-Z lowered, split at ASCII white space)."""
     found = (text or "").encode().lower().split()
     if not found:
         return np.empty(0, np.uint64)
     h = np.fromiter(map(words.__getitem__, found), np.uint64, len(found))
     size = min(k, len(h))
     out = np.full(len(h) - size + 1, size, np.uint64)
-    length = np.zeros(len(out), np.uint64)
     for j in range(size):
-        word = h[j:len(out) + j]
-        out = _mix(out * _A + word * _B + _C)
-        length += word & np.uint64(63)
-    out = (out >> np.uint64(8)) | (np.uint64(255) - np.minimum(length, np.uint64(255))) << np.uint64(56)
+        out = _mix(out * _A + h[j:len(out) + j] * _B + _C)
     out.sort()
     return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
-def size_classes(percent: int, top: int) -> list[tuple[int, int]]:
-    """(smallest size, parts) of each class up to size ``top``; parts 1 means that only equal sets link."""
+@functools.cache
+def size_classes(percent: int) -> list[tuple[int, int, int]]:
+    """(smallest size, D, T) of each class; D = 0 means that only equal sets link."""
     ratio, out, low = max(CLASS_RATIO, 100 / percent), [], 1
-    while low <= top:
-        following = max(low + 1, int(np.ceil(low * ratio)))
-        out.append((low, 2 * (following - 1) * (100 - percent) // (100 + percent) + 1))
+    while low < 1 << 40:
+        following = max(low + 1, math.ceil(low * ratio))
+        differ = 2 * (following - 1) * (100 - percent) // (100 + percent)
+        # about twice as many spare parts as a set of this class has empty ones
+        out.append((low, differ, differ + math.ceil(2 * (differ + 1) * math.exp(-low / (differ + 1)))))
         low = following
-    out.append((low, 0))
     return out
 
 
-def own_classes(n: int, percent: int) -> list[tuple[int, int]]:
-    """(class, parts) of a set of size n: its own, and the next where a larger partner can be."""
-    classes = size_classes(percent, 2 * n + 2)
-    own = max(i for i, (low, _) in enumerate(classes) if low <= n)
-    return [(c, classes[c][1]) for c in (own, own + 1) if classes[c][1] > 1 and (c == own or 100 * n >= percent * classes[c][0])]
+@functools.lru_cache(maxsize=100_000)
+def own_classes(n: int, percent: int) -> list[tuple[int, int, int]]:
+    """(class, D, T) of a set of size n: its own, and the next where a larger partner can be."""
+    classes = size_classes(percent)
+    own = bisect.bisect_right(classes, n, key=lambda c: c[0]) - 1
+    return [(c, *classes[c][1:]) for c in (own, own + 1) if classes[c][1] > 0 and (c == own or 100 * n >= percent * classes[c][0])]
 
 
 def first_regions(hashes: np.ndarray, percent: int) -> np.ndarray:
-    """The shingles of which one is the first that the set shares with any linked, different set, by size class."""
+    """Regions of which any linked, different set has at least one too."""
     n = len(hashes)
-    head = hashes[:n + (-n * percent // 100) + 1]
-    out = [_mix(head * _A + np.uint64(c) * _B) for c, _ in own_classes(n, percent)] if n else []
-    return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
-
-
-def part_regions(hashes: np.ndarray, percent: int) -> np.ndarray:
-    """One number for each part of the set, over its size class and, where a partner can be there, the next."""
-    spread = np.sort(_mix(hashes))
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_mix(spread * _C), dtype=np.uint64)))
+    found = own_classes(n, percent) if n else []
+    if not found:
+        return np.empty(0, np.int64)
+    places = (hashes >> np.uint64(32)).astype(np.int64)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_mix(hashes * _C), dtype=np.uint64)))
     out = []
-    for c, parts in own_classes(len(hashes), percent):
+    for c, differ, parts in found:
         # parts are ranges of the sorted hashes
-        part = ((spread >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        ends = np.searchsorted(part, np.arange(parts + 1, dtype=np.uint64))
-        inside = sums[ends[1:]] - sums[ends[:-1]]
-        out.append(_mix(inside * _A + _mix(np.arange(parts, dtype=np.uint64) + np.uint64(c << 32))))
-    return np.concatenate(out).view(np.int64) if out else np.empty(0, np.int64)
+        number = np.arange(parts + 1, dtype=np.int64)
+        ends = np.searchsorted(places, ((number << 32) + parts - 1) // parts)
+        filled = ends[1:] > ends[:-1]
+        inside = (sums[ends[1:]] - sums[ends[:-1]])[filled]
+        out.append(_mix(inside * _A + _mix(number[:-1][filled].astype(np.uint64) + np.uint64(c << 32))))
+        if len(inside) <= differ:
+            out.append(_mix(hashes[:n + (-n * percent // 100) + 1] * _B + np.uint64(c)))
+    return np.concatenate(out).view(np.int64)
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -167,15 +159,13 @@ def _each_set(docs: DataFrame, k: int, fields: list[T.StructField], make) -> Dat
 
 
 def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(doc_id, n, digest, regions, histogram) of every row; digest is null for empty sets."""
+    """(doc_id, n, digest, regions) of every row; digest is null for empty sets."""
     def make(sets: list[np.ndarray]) -> list[pa.Array]:
         import xxhash
         return [pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                _lists([first_regions(s, percent) for s in sets]),
-                _lists([np.bincount((s % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS) for s in sets]).cast(pa.list_(pa.int32()))]
-    fields = [T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("regions", T.ArrayType(T.LongType())),
-              T.StructField("histogram", T.ArrayType(T.IntegerType()))]
+                _lists([first_regions(s, percent) for s in sets])]
+    fields = [T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("regions", T.ArrayType(T.LongType()))]
     return _each_set(docs, k, fields, make)
 
 
@@ -188,32 +178,14 @@ def _sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     return _each_set(wanted, k, fields, make)
 
 
-def _deal_anew(nodes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(region, node): ``nodes`` in regions by parts of their sets; all together, as one passage makes many regions of the same nodes."""
-    def make(sets: list[np.ndarray]) -> list[pa.Array]:
-        return [_lists([part_regions(s, percent) for s in sets])]
-
-    wanted = docs.join(nodes, F.col("doc_id") == F.col("node"), "left_semi").select(F.col("doc_id").alias("node"), "text")
-    parts = _each_set(wanted, k, [T.StructField("parts", T.ArrayType(T.LongType()))], make)
-    return parts.select(F.explode("parts").alias("region"), "node")
-
-
-def _coarse(pairs: DataFrame, histograms: DataFrame, percent: int) -> DataFrame:
-    """(node, pivot, d): weighted Jaccard distance of the histograms of every pair that sizes alone do not part."""
-    a = histograms.select("node", F.col("n").alias("_na"), F.col("histogram").alias("_a"))
-    b = histograms.select(F.col("node").alias("pivot"), F.col("n").alias("_nb"), F.col("histogram").alias("_b"))
-    common = F.aggregate(F.zip_with("_a", "_b", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-    return (pairs.join(a, "node").join(b, "pivot").select("node", "pivot", common.alias("_c"), (F.col("_na") + F.col("_nb")).alias("_sum"))
-            .select("node", "pivot", (1 - F.col("_c") / (F.col("_sum") - F.col("_c"))).alias("d")))
-
-
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(u, v): the pairs that link, by their whole sets."""
+def _distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, pivot, d, linked) of every pair, by whole sets."""
     a = sets.select("node", F.col("n").alias("_na"), F.col("shingles").alias("_a"))
     b = sets.select(F.col("node").alias("pivot"), F.col("n").alias("_nb"), F.col("shingles").alias("_b"))
     common = F.size(F.array_intersect("_a", "_b")).cast("long")
     return (pairs.join(a, "node").join(b, "pivot").select("node", "pivot", common.alias("_c"), (F.col("_na") + F.col("_nb")).alias("_sum"))
-            .filter(F.col("_c") * 100 >= (F.col("_sum") - F.col("_c")) * percent).select(F.col("node").alias("u"), F.col("pivot").alias("v")))
+            .select("node", "pivot", (1 - F.col("_c") / (F.col("_sum") - F.col("_c"))).alias("d"),
+                    (F.col("_c") * 100 >= (F.col("_sum") - F.col("_c")) * percent).alias("linked")))
 
 
 def _split(rows: DataFrame, far: DataFrame, e: float) -> DataFrame:
@@ -236,47 +208,30 @@ def _split(rows: DataFrame, far: DataFrame, e: float) -> DataFrame:
 class Join:
     """Distances taken so far, the links found and the components that they make."""
 
-    def __init__(self, docs: DataFrame, histograms: DataFrame, k: int, percent: int):
-        self.docs, self.histograms, self.k, self.percent = docs, histograms, k, percent
-        self.e = (100 - percent) / 100
-        self.known = self.sets = self.roots = None
+    def __init__(self, sets: DataFrame, percent: int):
+        self.sets, self.percent, self.e = sets, percent, (100 - percent) / 100
+        self.known = self.roots = None
 
     def compare(self, pairs: DataFrame) -> None:
         """Distances of the pairs (node > pivot) that are not known yet; new links join components."""
         if self.known is not None:
             pairs = pairs.join(self.known.select("node", "pivot"), ["node", "pivot"], "left_anti")
-        fresh = shared_table(_coarse(pairs, self.histograms, self.percent), "distances")
+        fresh = shared_table(_distances(pairs, self.sets, self.percent), "distances")
         self.known = fresh if self.known is None else self.known.unionByName(fresh)
-        close = self._apart(fresh.filter(F.col("d") <= self.e + 1e-9).select("node", "pivot"))
-        nodes = close.select("node").union(close.select("pivot")).distinct()
-        if self.sets is not None:
-            nodes = nodes.join(self.sets, "node", "left_anti")
-        sets = shared_table(_sets(self.docs, shared_table(nodes, "nodes"), self.k), "sets")
-        self.sets = sets if self.sets is None else self.sets.unionByName(sets)
-        links = shared_table(_links(close, self.sets, self.percent), "links")
+        links = fresh.filter("linked").select(F.col("node").alias("u"), F.col("pivot").alias("v"))
         if self.roots is None:
             self.roots = components(links)
         elif not links.isEmpty():
-            self.roots = components(links.select("u", "v").union(self.roots))
-
-    def _apart(self, pairs: DataFrame) -> DataFrame:
-        """``pairs`` whose two nodes are not in one component yet."""
-        if self.roots is None:
-            return pairs
-        b = self.roots.select(F.col("node").alias("pivot"), F.col("root").alias("_b"))
-        return (pairs.join(self.roots.withColumnRenamed("root", "_a"), "node", "left").join(b, "pivot", "left")
-                .filter(F.coalesce("_a", "node") != F.coalesce("_b", "pivot")).select("node", "pivot"))
+            self.roots = components(links.union(self.roots))
 
     def both_ways(self) -> DataFrame:
         return self.known.select("node", "pivot", "d").union(self.known.select("pivot", "node", "d"))
 
-    def open_regions(self, rows: DataFrame) -> DataFrame:
-        """Regions that hold more than one component."""
-        labelled = rows.join(self.roots, "node", "left").withColumn("_root", F.coalesce("root", "node"))
-        return labelled.groupBy("region").agg(F.min("_root").alias("_a"), F.max("_root").alias("_b")).filter("_a < _b").select("region")
-
     def unresolved(self, rows: DataFrame) -> DataFrame:
-        return shared_table(rows.join(self.open_regions(rows), "region", "left_semi"), "open")
+        """The rows (region, node, ...) of regions that hold more than one component."""
+        labelled = rows.join(self.roots, "node", "left").withColumn("_root", F.coalesce("root", "node"))
+        several = labelled.groupBy("region").agg(F.min("_root").alias("_a"), F.max("_root").alias("_b")).filter("_a < _b").select("region")
+        return shared_table(rows.join(several, "region", "left_semi"), "open")
 
     def search(self, rows: DataFrame) -> None:
         """Join every region of ``rows`` (region, node), recursively, until each holds one component."""
@@ -286,10 +241,10 @@ class Join:
             chosen = rows.groupBy("region", salt).agg(F.min("node").alias("pivot")).select("region", "pivot")
             asked = shared_table(rows.join(chosen, "region").filter("node <> pivot"), "asked")
             self.compare(asked.select(F.greatest("node", "pivot").alias("node"), F.least("node", "pivot").alias("pivot")).distinct())
-            still = shared_table(self.open_regions(rows), "open")
-            far = asked.join(still, "region", "left_semi").join(self.both_ways(), ["node", "pivot"]).select("region", "node", "pivot", "d")
-            rows = shared_table(_split(rows.join(still, "region", "left_semi"), far, self.e).distinct(), "regions")
-            rows = self.unresolved(rows)
+            still = self.unresolved(rows)
+            far = (asked.join(still.select("region").distinct(), "region", "left_semi")
+                   .join(self.both_ways(), ["node", "pivot"]).select("region", "node", "pivot", "d"))
+            rows = self.unresolved(shared_table(_split(still, far, self.e).distinct(), "regions"))
             pivots_each *= 8
 
 
@@ -305,24 +260,20 @@ def linked_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     thin = found.filter("digest is not null").select("doc_id", "digest").join(same, "digest")
     others = shared_table(thin.filter("doc_id <> node").select("doc_id").distinct(), "copies")
     nodes = found.filter("doc_id is not null").join(others, "doc_id", "left_anti").select(F.col("doc_id").alias("node"), F.explode("regions").alias("region"))
-    pivot = F.min("node").over(Window.partitionBy("region").orderBy("node"))
-    rows = shared_table(nodes.withColumn("pivot", pivot).filter("pivot < node"), "regions")
-
-    histograms = found.select(F.col("doc_id").alias("node"), "n", "histogram").join(
-        shared_table(rows.select("node").union(rows.select("pivot")).distinct(), "nodes"), "node", "left_semi")
-    join = Join(docs, shared_table(histograms.dropDuplicates(["node"]), "histograms"), k, percent)
-    join.compare(rows.select("node", "pivot").distinct())
-    first = join.unresolved(rows.select("region", "node"))
-    sizes = first.groupBy("region").count()
-    small = first.join(sizes.filter(F.col("count") <= REGION), "region", "left_semi")
-    large = first.join(sizes.filter(F.col("count") > REGION), "region", "left_semi")
-    dealt = _deal_anew(shared_table(large.select("node").distinct(), "nodes"), docs, k, percent)
-    dealt = shared_table(dealt.withColumn("pivot", F.min("node").over(Window.partitionBy("region").orderBy("node"))).filter("pivot < node"), "regions")
-    join.compare(dealt.select("node", "pivot").distinct())
-    join.search(join.unresolved(small.unionByName(dealt.select("region", "node"))))
-
-    roots = join.roots
-    named = (same.select("digest", "node", "n_copies").join(roots, "node", "left").withColumn("_root", F.coalesce("root", "node")))
+    shared = shared_table(nodes.groupBy("region").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).filter("pivot < _last").select("region", "pivot"), "pivots")
+    rows = shared_table(nodes.join(shared, "region").filter("pivot < node").select("region", "node", "pivot"), "regions")
+
+    members = shared_table(rows.select("node").union(rows.select("pivot")).distinct(), "nodes")
+    join = Join(shared_table(_sets(docs, members, k), "sets"), percent)
+    join.compare(rows.groupBy("node").agg(F.min("pivot").alias("pivot")))
+    both = rows.select("region", "node").union(shared.select("region", F.col("pivot").alias("node")))
+    left = join.unresolved(both)
+    join.compare(rows.join(left.select("region").distinct(), "region", "left_semi").select("node", "pivot").distinct())
+    # regions with one pivot hold much the same nodes (parts of one passage): they become one, whose pivot has met all its nodes
+    merged = left.join(shared, "region").filter("pivot <> node").select(F.col("pivot").alias("region"), "node").distinct()
+    join.search(join.unresolved(shared_table(merged, "merged")))
+
+    named = same.join(join.roots, "node", "left").withColumn("_root", F.coalesce("root", "node"))
     return (found.join(named, "digest", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("_root", "doc_id").alias("component_id"), F.coalesce("n_copies", F.lit(0)).alias("n_copies")))
 
