@@ -34,7 +34,7 @@ SAMPLE = 12_000
 DIM = 1 << 17
 FOLDS = 3
 #: Features whose weight of evidence is not this many standard errors from none are left out.
-EVIDENCE = 9.0
+EVIDENCE = 6.0
 #: Features of fewer training rows are left out.
 SEEN = 5
 THRESHOLD = 0.6
@@ -73,7 +73,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 class Linear:
     """Logistic model over binary features and a few dense inputs; features without evidence have weight 0."""
 
-    def __init__(self, rows: list[np.ndarray], dense: np.ndarray, y: np.ndarray, rounds: int = 150, penalty: float = 1e-3):
+    def __init__(self, rows: list[np.ndarray], dense: np.ndarray, y: np.ndarray, rounds: int = 150, penalty: float = 1e-2):
         flat, owner = _flat(rows)
         n, positive = len(y), y.sum()
         rate = (positive + 1) / (n + 2)
