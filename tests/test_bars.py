@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tickflow.operators import bars as B
 from tickflow.sources import schemas as SC
+from tickflow.sources import tables as TB
 
 
 def pt(d, c, v="10"):
@@ -62,3 +63,14 @@ def test_latest_and_backfill(spark):
     assert sorted(r.date.day for r in B.latest_bars(df, 3).collect()) == [28, 29, 30]
     got = sorted(r.date.day for r in B.backfill(df, 5, start="2024-01-03", end="2024-01-20").collect())
     assert got == [16, 17, 18, 19, 20]
+
+
+def test_symbols_that_look_numeric_stay_text(spark, tmp_path):
+    path, day = str(tmp_path / "bars"), dt.date(2024, 1, 2)
+    df = spark.createDataFrame([("0700", day, 1.5, 10), ("0005", day, 2.5, 20)], "symbol string, date date, close_price double, volume bigint")
+    TB.replace_bars(df, path)
+    got = TB.read_table(spark, path)
+    assert {f.name: f.dataType.simpleString() for f in got.schema} == {
+        "symbol": "string", "date": "date", "close_price": "double", "volume": "bigint", "year": "int", "month": "int"}
+    assert sorted((r.symbol, r.close_price, r.year) for r in got.collect()) == [("0005", 2.5, 2024), ("0700", 1.5, 2024)]
+    assert got.filter("symbol = '0700'").count() == 1

@@ -6,11 +6,20 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet table read (IO6); partition columns come from the folder names."""
-    return spark.read.parquet(path)
+    """Parquet table read (IO6); partition columns come from the folder names.
+
+    A symbol is text even where every folder name looks like a number (``symbol=0700``),
+    which Spark's inference of partition types would read as an integer.
+    """
+    found = spark.read.parquet(path)
+    if all(f.name != "symbol" or isinstance(f.dataType, T.StringType) for f in found.schema):
+        return found
+    fields = [T.StructField("symbol", T.StringType()) if f.name == "symbol" else f for f in found.schema]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def with_date_parts(df: DataFrame, col: str | Column, day: bool = False) -> DataFrame:
@@ -32,7 +41,7 @@ def read_day(spark: SparkSession, path: str, as_of) -> DataFrame:
     d = as_of.date() if isinstance(as_of, _dt.datetime) else as_of
     if isinstance(d, str):
         d = _dt.date.fromisoformat(d[:10])
-    return (spark.read.parquet(path)
+    return (read_table(spark, path)
             .filter((F.col("year") == d.year) & (F.col("month") == d.month)
                     & (F.col("day") == d.day)))
 
