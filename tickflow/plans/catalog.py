@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tickflow.operators import bars as B
 from tickflow.operators import indicators as IND
-from tickflow.operators.signals import COMBINED_MATRIX, SIGNALS
 from tickflow.plans import fixtures as FX
 from tickflow.plans import jobs as J
 
@@ -607,8 +606,20 @@ def q_sentiment_signal(spark, sf_dir):
 
 # --------------------------------------------------------------------------- combined + serving
 
-SQL_MATRIX_ROWS = ", ".join(f"('{sma}', '{sent}', '{val}')" for sma, row in COMBINED_MATRIX.items()
-                            for sent, val in zip(SIGNALS, row))
+# Combined signal by (SMA signal, sentiment signal), all 25 cells written out
+# here, apart from the operator's table that they check.
+SQL_MATRIX_ROWS = """
+    ('strong_buy', 'strong_buy', 'strong_buy'), ('strong_buy', 'buy', 'strong_buy'),
+    ('strong_buy', 'hold', 'buy'), ('strong_buy', 'sell', 'buy'), ('strong_buy', 'strong_sell', 'hold'),
+    ('buy', 'strong_buy', 'strong_buy'), ('buy', 'buy', 'buy'),
+    ('buy', 'hold', 'buy'), ('buy', 'sell', 'hold'), ('buy', 'strong_sell', 'hold'),
+    ('hold', 'strong_buy', 'buy'), ('hold', 'buy', 'hold'),
+    ('hold', 'hold', 'hold'), ('hold', 'sell', 'hold'), ('hold', 'strong_sell', 'sell'),
+    ('sell', 'strong_buy', 'hold'), ('sell', 'buy', 'hold'),
+    ('sell', 'hold', 'sell'), ('sell', 'sell', 'sell'), ('sell', 'strong_sell', 'strong_sell'),
+    ('strong_sell', 'strong_buy', 'hold'), ('strong_sell', 'buy', 'sell'),
+    ('strong_sell', 'hold', 'sell'), ('strong_sell', 'sell', 'strong_sell'),
+    ('strong_sell', 'strong_sell', 'strong_sell')"""
 
 SQL_COMBINED = f"""{SQL_TICKS}, {SQL_HISTORY}, {sql_indicators('history', 30)}, {SQL_SNAPSHOT},
 {SQL_SMA_SIGNALS}, {SQL_DAY_SENTIMENT},
