@@ -157,6 +157,23 @@ def test_jaccard_join_equals_brute_force(spark, k, percent, monkeypatch):
     assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [i for i, r in enumerate(roots) if r == i]
 
 
+def test_jaccard_join_pivots_of_other_regions(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PIVOTS", 2)
+    monkeypatch.setattr(jaccard_join, "SPLIT_GAIN", 1e9)  # every region splits
+    rng = np.random.default_rng(11)
+    sets = []
+    for _ in range(30):  # two near copies each, unrelated to the others
+        base = rng.integers(0, 1 << 40, 40).tolist()
+        sets += [base, base[:-1] + [int(rng.integers(0, 1 << 40))]]
+    home = [[2 * c, 2 * c + 1] + [int(x) for x in rng.choice(60, 6, replace=False)] for c in range(30)]
+    small = [[int(x) for x in rng.choice(60, 2, replace=False)] for _ in range(60)]
+    rows = [(r, n) for r, ns in enumerate(home + small) for n in set(ns)]
+    table = spark.createDataFrame([(i, len(s), s) for i, s in enumerate(sets)], "node bigint, n bigint, shingles array<bigint>").cache()
+    join = jaccard_join.Join(table, 90)
+    join.search(spark.createDataFrame(rows, "region bigint, node bigint").cache())
+    assert {r.node: r.root for r in join.roots.collect()} == {2 * c + 1: 2 * c for c in range(30)}
+
+
 def test_jaccard_join_edges(spark):
     docs = frame(spark, [(1, "a b c d", "s"), (1, "a b c d", "s"), (None, "a b c d", "s"), (2, None, "s")])
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in jaccard_join.linked_components(docs, 3, 90).collect())

@@ -199,10 +199,10 @@ def _split(rows: DataFrame, far: DataFrame, e: float) -> DataFrame:
     splits = (after.join(before, "region").filter((F.col("_after") < F.lit(SPLIT_GAIN) * F.col("_before")) & (F.col("_first") < F.col("_last")))
               .select("region", F.lit(True).alias("_splits")))
     whole = rows.join(splits, "region", "left_anti").select("region", "node")
-    parts = near.join(splits, "region").select(F.xxhash64("region", "pivot").alias("region"), "node")
-    pivots = far.select(F.col("pivot").alias("node")).distinct()
+    # a pivot has met the nodes of its own region only: elsewhere it stays
     done = far.select("region", F.col("pivot").alias("node")).distinct()
-    return whole.join(done, ["region", "node"], "left_anti").unionByName(parts.join(pivots, "node", "left_anti"))
+    parts = near.join(splits, "region").join(done, ["region", "node"], "left_anti").select(F.xxhash64("region", "pivot").alias("region"), "node")
+    return whole.join(done, ["region", "node"], "left_anti").unionByName(parts)
 
 
 class Join:
