@@ -85,6 +85,17 @@ def test_html(page, text):
     assert html_text.page_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<html><head><title>T</title><p>Hello", "Hello"), ("<head><meta charset=utf-8>\n<title>T</title>\nHello <b>you</b>", "Hello you"),
+    ("<head><noscript><img src=x></noscript><style>p {}</style><title>T</title><link rel=x><body>Hello", "Hello"), ("<head><head><div>Hello</div>", "Hello"),
+    ("<head><title>T</title></head>Hello", "Hello"), ("<head> <title>T</title> ", ""),
+    ("<div style='backface-visibility:hidden'>x</div>y", "x\ny"), ("<p style='-webkit-backface-visibility: hidden; color: red'>x", "x"),
+    ("<p style='/* display: none */ color: red'>x", "x"), ("<p style='color: red; VISIBILITY : hidden'>x", ""), ("<p style='/* a */display:none!important'>x", ""),
+])
+def test_html_implied_head_and_whole_properties(page, text):
+    assert html_text.page_text(page) == text
+
+
 def test_html_frame(spark):
     pages = spark.createDataFrame([(1, None, "k"), (2, "<p>x", "k"), (2, "<p>x", "k"), (3, "<div>" * 5000 + "deep", "k"), (4, "<table><tr><td>" * 40 + "deep", "k")], "page_id bigint, html string, text string")
     got = [(r.page_id, r.text.replace(" ", "")) for r in html_text.extract(pages).orderBy("page_id").collect()]

@@ -1,6 +1,6 @@
 """Layout-aware text of web pages.
 
-Each page is parsed into a tree (a small builder with implied end tags and implied table rows) and the
+Each page is parsed into a tree (a small builder with implied end tags, heads and table rows) and the
 tree is rendered as a reader sees it: hidden elements and their content are left out, blocks stand on
 lines of their own, paragraphs are set off by an empty line, list items are bulleted or numbered and
 indented, the cells of a table are padded to the columns' widths, and preformatted text keeps its spacing.
@@ -47,11 +47,14 @@ ENDS = {
     "body": ({"head"}, set()), "rp": ({"rp", "rt"}, {"ruby"}), "rt": ({"rp", "rt"}, {"ruby"}),
 }
 SCOPE = frozenset("table td th caption html body".split())
+# start tags that leave an open head open; any other, and text, ends it
+HEAD = frozenset("head base link meta title noscript noframes style script template".split())
 
 DEEP = 8
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*+"|'[^']*+'|[^>"'])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S)
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
-_HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
+_HIDDEN = re.compile(r"(?:\A|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))(?![-\w])", re.I)
 _SPACE = re.compile(r"[ \t\n\f\r]+")
 
 
@@ -66,7 +69,7 @@ def _element(tag: str, attributes: str) -> Node:
     hidden, start = tag in INVISIBLE, 1
     if not hidden and attributes and ("hidden" in (low := attributes.lower()) or "style" in low or tag in ("ol", "dialog", "details")):
         given = {k.lower(): html.unescape((v or "").strip("\"'")) for k, v in _ATTR.findall(attributes)}
-        hidden = "hidden" in given or bool(_HIDDEN.search(given.get("style", ""))) or tag == "dialog" and "open" not in given
+        hidden = "hidden" in given or bool(_HIDDEN.search(_COMMENT.sub(" ", given.get("style", "")))) or tag == "dialog" and "open" not in given
         if tag == "ol" and re.fullmatch(r"-?\d{1,9}", given.get("start", "")):
             start = int(given["start"])
     elif tag == "dialog":
@@ -95,9 +98,18 @@ def build(page: str) -> Node:
         stack[-1].children.append(node)
         stack.append(node)
 
+    def end_head() -> None:
+        while stack[-1].tag == "head":
+            stack.pop()
+
+    def add_text(piece: str) -> None:
+        if stack[-1].tag == "head" and piece.strip(" \t\n\f\r"):
+            end_head()
+        stack[-1].children.append(html.unescape(piece))
+
     for m in iter(lambda: _TAG.search(page, at), None):
         if m.start() > at:
-            stack[-1].children.append(html.unescape(page[at:m.start()]))
+            add_text(page[at:m.start()])
         at = m.end()
         end, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if not tag:
@@ -113,6 +125,8 @@ def build(page: str) -> Node:
             continue
         if tag == "html":
             continue
+        if tag not in HEAD:
+            end_head()
         if tag in ENDS:
             close(*ENDS[tag])
         if tag in CLOSES_P:
@@ -131,7 +145,7 @@ def build(page: str) -> Node:
         else:
             add(node)
     if at < len(page):
-        stack[-1].children.append(html.unescape(page[at:]))
+        add_text(page[at:])
     return root
 
 
