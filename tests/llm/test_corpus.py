@@ -182,6 +182,19 @@ def test_jaccard_join_edges(spark):
     assert jaccard_join.linked_components(docs.limit(0), 3, 90).count() == 0
 
 
+def test_jaccard_join_sets_under_shared_ids(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    docs = frame(spark, [(3, b, "s"), (5, a, "s"), (5, b, "s"), (6, a + " z", "s"), (None, c, "s"), (None, c + " z", "s"),
+                         (None, d, "s"), (8, d + " z", "s"), (None, None, "s"), (9, None, "s"), (9, "one two", "s")])
+    docs = docs.withColumnRenamed("source", "_id")
+    got = sorted((r.doc_id or 0, r.n_shingles, r.component_id or 0) for r in jaccard_join.linked_components(docs, 3, 90).collect())
+    assert got == [(0, 0, 0), (0, 38, 0), (0, 38, 8), (0, 39, 0), (3, 38, 3), (5, 38, 3), (5, 38, 3), (6, 39, 3), (8, 39, 8), (9, 0, 9), (9, 1, 9)]
+    left = jaccard_join.drop_near_duplicates(docs, 3, 90)
+    rows = [(r.doc_id, r.text) for r in left.collect()]
+    assert left.columns == docs.columns and len(rows) == 7 and {(3, b), (5, a), (8, d + " z"), (None, None), (9, None), (9, "one two")} < set(rows)
+    assert len({(None, c), (None, c + " z")} & set(rows)) == 1
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 7), (60, 61), (61, 62), (62, 60), (5, 5)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}

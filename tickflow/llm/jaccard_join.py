@@ -28,11 +28,16 @@ Shingles are compared as 64-bit hashes, on whole sets. Skew: copies are collapse
 built; rows in regions are two numbers; components and minima are pre-aggregated, and the rows of a hot
 region or pivot meet one row in a join, which AQE splits.
 
+A node is a distinct set, known by the number of one of its rows, so neither null nor repeated doc_ids
+lose a set; doc_ids come in again when components are named.
+
 Defined results: null, empty and wordless texts have an empty set and link with nothing; a text of
 fewer words than a shingle has its whole word sequence as one shingle; equal sets always link; null
-doc_ids take part and are never the smallest unless a component has no other; rows repeated under one
-doc_id are one document if their sets are equal, else they are linked through their doc_id; an empty
-table gives an empty result; ``drop_near_duplicates`` keeps all columns whatever their names.
+doc_ids take part, link nothing by themselves and are never the smallest unless a component has no other;
+rows repeated under one doc_id are one document if their sets are equal, else ``linked_components`` links
+them through their doc_id; an empty table gives an empty result. ``drop_near_duplicates`` goes by texts
+alone, so a text without a near copy stays whatever else its doc_id holds; it keeps all columns whatever
+their names.
 """
 
 from __future__ import annotations
@@ -158,24 +163,28 @@ def _each_set(docs: DataFrame, k: int, fields: list[T.StructField], make) -> Dat
     return map_in_arrow(docs, run, T.StructType(kept + fields))
 
 
+def _digests(sets: list[np.ndarray]) -> pa.Array:
+    import xxhash
+    return pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary())
+
+
 def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """(doc_id, n, digest, regions) of every row; digest is null for empty sets."""
     def make(sets: list[np.ndarray]) -> list[pa.Array]:
-        import xxhash
-        return [pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
-                _lists([first_regions(s, percent) for s in sets])]
+        return [pa.array([len(s) for s in sets], pa.int64()), _digests(sets), _lists([first_regions(s, percent) for s in sets])]
     fields = [T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("regions", T.ArrayType(T.LongType()))]
     return _each_set(docs, k, fields, make)
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
-    """(node, n, shingles) of the wanted nodes."""
+    """(node, n, shingles) of the wanted ``nodes`` (node, id, digest); a node may come more than once."""
     def make(sets: list[np.ndarray]) -> list[pa.Array]:
-        return [pa.array([len(s) for s in sets], pa.int64()), _lists([s.view(np.int64) for s in sets])]
-    fields = [T.StructField("n", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))]
-    wanted = docs.join(nodes, F.col("doc_id") == F.col("node"), "left_semi").select(F.col("doc_id").alias("node"), "text")
-    return _each_set(wanted, k, fields, make)
+        return [pa.array([len(s) for s in sets], pa.int64()), _digests(sets), _lists([s.view(np.int64) for s in sets])]
+    fields = [T.StructField("n", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("shingles", T.ArrayType(T.LongType()))]
+    wanted = docs.join(nodes.select("id").distinct(), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    found = _each_set(wanted, k, fields, make).withColumnRenamed("digest", "_digest")
+    return (found.join(nodes, (F.col("_digest") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("id")))
+            .select("node", "n", "shingles"))
 
 
 def _distances(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -248,23 +257,27 @@ class Join:
             pivots_each *= 8
 
 
-def linked_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, n_copies (rows with its very set).
+def _linked_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (row, doc_id, n, digest) and distinct sets (digest, node, n_copies, least, root), linked by their texts alone.
 
-    ``docs``: doc_id (integer), text. Two documents link when 100 * intersection >= percent * union.
+    ``least``: the smallest doc_id of the set; ``root``: the smallest node of its component.
     """
-    docs = docs.select("doc_id", "text")
-    found = shared_table(describe(docs, k, percent), "shingles")
-    same = shared_table(found.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("n_copies")), "equal")
-    # one row per distinct set: only the ids of the other rows meet the table with the regions
-    thin = found.filter("digest is not null").select("doc_id", "digest").join(same, "digest")
-    others = shared_table(thin.filter("doc_id <> node").select("doc_id").distinct(), "copies")
-    nodes = found.filter("doc_id is not null").join(others, "doc_id", "left_anti").select(F.col("doc_id").alias("node"), F.explode("regions").alias("region"))
+    found = shared_table(describe(docs, k, percent).withColumn("row", F.monotonically_increasing_id()), "shingles")
+    thin = found.filter("digest is not null").select("row", "doc_id", "digest")
+    same = shared_table(thin.groupBy("digest").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("n_copies"), F.min("doc_id").alias("least")), "equal")
+    # one row per distinct set: only the numbers of the other rows meet the table with the regions
+    others = shared_table(thin.join(same.filter("n_copies > 1"), "digest").filter("row <> node").select("row", "doc_id", "digest"), "copies")
+    nodes = found.filter("digest is not null").join(others.select("row"), "row", "left_anti").select(F.col("row").alias("node"), F.explode("regions").alias("region"))
     shared = shared_table(nodes.groupBy("region").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).filter("pivot < _last").select("region", "pivot"), "pivots")
     rows = shared_table(nodes.join(shared, "region").filter("pivot < node").select("region", "node", "pivot"), "regions")
 
-    members = shared_table(rows.select("node").union(rows.select("pivot")).distinct(), "nodes")
-    join = Join(shared_table(_sets(docs, members, k), "sets"), percent)
+    wanted = rows.select("node").union(rows.select("pivot")).distinct()
+    members = shared_table(thin.join(wanted, F.col("row") == F.col("node"), "left_semi").select(F.col("row").alias("node"), F.col("doc_id").alias("id"), "digest"), "nodes")
+    sets = _sets(docs, members, k)
+    twice = others.withColumnRenamed("digest", "_digest").join(members, (F.col("_digest") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    if not twice.isEmpty():
+        sets = sets.dropDuplicates(["node"])
+    join = Join(shared_table(sets, "sets"), percent)
     join.compare(rows.groupBy("node").agg(F.min("pivot").alias("pivot")))
     both = rows.select("region", "node").union(shared.select("region", F.col("pivot").alias("node")))
     left = join.unresolved(both)
@@ -272,22 +285,49 @@ def linked_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     # regions with one pivot hold much the same nodes (parts of one passage): they become one, whose pivot has met all its nodes
     merged = left.join(shared, "region").filter("pivot <> node").select(F.col("pivot").alias("region"), "node").distinct()
     join.search(join.unresolved(shared_table(merged, "merged")))
+    named = same.join(join.roots, "node", "left").select("digest", "node", "n_copies", "least", F.coalesce("root", "node").alias("root"))
+    return found.select("row", "doc_id", "n", "digest"), shared_table(named, "linked")
 
-    named = same.join(join.roots, "node", "left").withColumn("_root", F.coalesce("root", "node"))
+
+def linked_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, n_copies (rows with its very set).
+
+    ``docs``: doc_id (integer), text. Two documents link when 100 * intersection >= percent * union.
+    """
+    found, named = _linked_sets(docs.select("doc_id", "text"), k, percent)
+    # sets of several components under one doc_id make these one
+    held = found.filter("digest is not null and doc_id is not null").join(named.select("digest", "root"), "digest").select("doc_id", "root")
+    several = held.groupBy("doc_id").agg(F.min("root").alias("v"), F.max("root").alias("_last")).filter("v < _last").select("doc_id", "v")
+    edges = shared_table(held.join(several, "doc_id").select(F.col("root").alias("u"), "v").distinct(), "ids")
+    if not edges.isEmpty():
+        named = (named.join(components(edges).select(F.col("node").alias("root"), F.col("root").alias("_root")), "root", "left")
+                 .withColumn("root", F.coalesce("_root", "root")))
+    names = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = named.join(names, "root").select("digest", "n_copies", "component_id")
     return (found.join(named, "digest", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("_root", "doc_id").alias("component_id"), F.coalesce("n_copies", F.lit(0)).alias("n_copies")))
+            .select("doc_id", F.col("n").alias("n_shingles"), F.expr("if(digest is null, doc_id, component_id)").alias("component_id"),
+                    F.coalesce("n_copies", F.lit(0)).alias("n_copies")))
 
 
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` that stay: of each component the document with the smallest doc_id, and all empty ones."""
-    found = linked_components(docs, k, percent)
-    gone = shared_table(found.filter("n_shingles > 0 and not doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct(), "near")
-    kept = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
-    repeated = shared_table(found.filter("n_shingles > 0").groupBy(F.col("doc_id").alias("_id")).count().filter("count > 1").select("_id"), "near")
-    if repeated.isEmpty():
+    """The rows of ``docs`` that stay: of each component of texts one row with the smallest doc_id, and all empty ones."""
+    found, named = _linked_sets(docs.select("doc_id", "text"), k, percent)
+    first = named.groupBy("root").agg(F.min(F.struct(F.col("least").isNull(), "least", "digest")).alias("_first"))
+    stays = shared_table(first.select(F.col("_first.least").alias("_id"), F.col("_first.digest").alias("_digest")), "near")
+    full = found.filter("digest is not null").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
+    same = stays["_id"].eqNullSafe(full["_id"]) & (stays["_digest"] == full["_digest"])
+    gone = shared_table(full.join(stays, same, "left_anti").select("_id").distinct(), "near")
+    # a doc_id of one row says which row it is; the rows of others are told apart by their sets
+    unclear = shared_table(found.groupBy(F.col("doc_id").alias("_id")).count().filter("count > 1 or _id is null").select("_id"), "near")
+    kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti")
+    if unclear.isEmpty():
         return kept
-    same = F.col("doc_id").eqNullSafe(F.col("_id"))
-    return kept.join(repeated, same, "left_anti").unionByName(kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))
+    kept = kept.join(unclear, docs["doc_id"].eqNullSafe(unclear["_id"]), "left_anti")
+    asked = docs.join(unclear, docs["doc_id"].eqNullSafe(unclear["_id"]), "left_semi").select(F.struct("*").alias("row"), "doc_id", "text")
+    sets = shared_table(_each_set(asked, k, [T.StructField("digest", T.BinaryType())], lambda sets: [_digests(sets)]), "near")
+    same = sets["doc_id"].eqNullSafe(stays["_id"]) & (sets["digest"] == stays["_digest"])
+    told = sets.join(stays, same, "left_semi").dropDuplicates(["doc_id", "digest"]).unionByName(sets.filter("digest is null"))
+    return kept.unionByName(told.select("row.*"))
 
 
 def op7_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
