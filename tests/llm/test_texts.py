@@ -130,6 +130,18 @@ def test_toxicity_without_labels(spark):
     assert toxicity.score(docs, chain, toxicity.CATEGORIES).count() == 2
 
 
+def test_toxicity_trains_on_one_row_per_doc_id(spark):
+    docs = spark.createDataFrame([(1, f"text {i % 7}") for i in range(40)] + [(2, "a b"), (3, None), (None, "x")], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(1, 0, 1), (1, 0, 1), (2, 1, 0), (3, 0, 0)], "doc_id bigint, low_quality int, toxic int")
+    got = {}
+    for order in (docs, docs.repartition(5)):
+        rows = toxicity.training_rows(order, labels, toxicity.CATEGORIES).orderBy("doc_id").collect()
+        assert [r.doc_id for r in rows] == [1, 2, 3]
+        got.setdefault(tuple(tuple(r.features) for r in rows), rows)
+    assert len(got) == 1
+    assert toxicity.training_rows(docs, labels, toxicity.CATEGORIES, 2).count() == 2
+
+
 def test_out_of_fold_chain():
     rng = np.random.default_rng(0)
     rows = [np.unique(rng.integers(0, 500, 20)) for _ in range(600)]

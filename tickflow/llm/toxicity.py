@@ -128,12 +128,16 @@ def chain_predict(chain: list[Linear], rows: list[np.ndarray]) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, fold, features, one 0/1 column per category) of at most ``sample`` labelled documents."""
+    """(doc_id, fold, features, one 0/1 column per category) of at most ``sample`` labelled documents, one row per doc_id."""
     known = labels.filter("doc_id is not null").groupBy("doc_id").agg(*[F.max(F.coalesce(F.col(c), F.lit(0))).cast("int").alias(f"_c{k}") for k, c in enumerate(categories)])
     order = F.xxhash64(F.lit(7), "doc_id")
     chosen = known.orderBy(order, "doc_id").limit(sample)
     names = [f"_c{k}" for k in range(len(categories))]
-    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most ``sample`` rows
+    # at most ``sample`` rows: a doc_id of many rows is one, that of the smallest text hash
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+            .groupBy("doc_id", *names).agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+            .repartition(tasks, "doc_id")  # AQE would leave the few rows in one task
             .withColumn("fold", F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(FOLDS)).cast("int")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
