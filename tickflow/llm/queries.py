@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tickflow.llm import ann, bpe, chat, exact_dedup, filter_audit, html_text, jaccard_join, mixing, sharding, token_align, token_counts, toxicity
+from tickflow.llm import ann, bpe, chat, exact_dedup, filter_audit, html_text, jaccard_join, mixing, personal_data, sharding, token_align, token_counts, toxicity
 from tickflow.llm.common import read_table
 
 
@@ -26,6 +26,7 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_nearest_neighbours": ann.op9_nearest_neighbours,
     "op10_chat_formatting": chat.op10_chat_formatting,
+    "op11_personal_data": personal_data.op11_personal_data,
     "op12_filter_audit": filter_audit.op12_filter_audit,
     "op13_token_alignment": token_align.op13_token_alignment,
 }
