@@ -4,8 +4,9 @@ A encodes space + text by a byte-level BPE, B the text by a sentence-piece model
 space itself), so both cover the same bytes. A byte offset where tokens of both end is a cut; the
 tokens between two cuts are a group. Cuts are found by dividing: each interval looks for a shared end
 near its middle, bisecting B's ends for the A ends around the middle from the inside out, and both
-halves go on with what is left to look at; an interval without a cut is a leaf group. All intervals of
-many documents take each step together in numpy, and no A end is looked up twice.
+halves go on with what is left to look at; an interval without a cut is a leaf group. Intervals of a
+few ends bisect all of them at once. All intervals of many documents take each step together in numpy,
+and no A end is looked up twice.
 
 Linked tokens (an A and a B token whose byte ranges overlap) are counted over the corpus as id pairs,
 by the documents that hold them. Documents are taken in chunks of about ``CHUNK_BYTES`` of text: a
@@ -44,6 +45,8 @@ from tickflow.llm.common import _shipped, map_in_arrow, read_table, shared_table
 CHUNK_BYTES = 4_000_000
 #: Entries in each of the two generations of a worker's memory of encoded words.
 WORDS_KEPT = 150_000
+#: An interval with at most so many A ends left bisects them all at once instead of dividing further.
+SHORT = 16
 #: B ids fit into this many bits (the model's size is checked); a pair is A id << B_BITS | B id.
 B_BITS = 15
 
@@ -145,6 +148,15 @@ def shared_cuts(a_ends: np.ndarray, a_starts: np.ndarray, b_ends: np.ndarray, b_
     fresh, old = todo, np.empty((6, 0), np.int64)
     while True:
         fresh = fresh[:, (fresh[0] <= fresh[1]) & (fresh[2] <= fresh[3])]
+        small = fresh[1] - fresh[0] < SHORT
+        if small.any():
+            lo, hi = fresh[0, small], fresh[1, small]
+            size = hi - lo + 1
+            k = np.arange(size.sum()) + np.repeat(lo - (np.cumsum(size) - size), size)
+            p = np.searchsorted(b_ends, a_ends[k])
+            same = b_ends[p] == a_ends[k]
+            cut_a[k[same]], cut_b[p[same]] = True, True
+            fresh = fresh[:, ~small]
         now = np.concatenate([old, np.concatenate([fresh, [(fresh[0] + fresh[1]) // 2, np.zeros(fresh.shape[1], np.int64)]])], axis=1)
         if not now.shape[1]:
             return cut_a, cut_b
