@@ -74,3 +74,19 @@ def test_symbols_that_look_numeric_stay_text(spark, tmp_path):
         "symbol": "string", "date": "date", "close_price": "double", "volume": "bigint", "year": "int", "month": "int"}
     assert sorted((r.symbol, r.close_price, r.year) for r in got.collect()) == [("0005", 2.5, 2024), ("0700", 1.5, 2024)]
     assert got.filter("symbol = '0700'").count() == 1
+
+
+def test_resample_orders_ties_by_a_text_column(spark):
+    t = dt.datetime(2024, 1, 1, 10)
+    df = spark.createDataFrame([("A", t, 1.0, "b"), ("A", t, 2.0, "a"), ("A", t, 3.0, "c")], "symbol string, datetime timestamp, close double, id string")
+    r = B.resample(df, "1 day", volume=None, tie="id").first()
+    assert (r.open, r.close) == (2.0, 3.0)
+
+
+def test_merge_daily_winner_does_not_depend_on_partitions(spark):
+    day = dt.date(2024, 1, 2)
+    schema = "symbol string, date date, close_price double, volume bigint"
+    new = spark.createDataFrame([("A", day, c, v) for c, v in ((1.5, 7), (2.5, 3), (2.5, 9), (None, 99))], schema)
+    old = spark.createDataFrame([("A", day, 9.0, 9)], schema)
+    got = {tuple(B.merge_daily(old, new.repartition(n)).first()) for n in (1, 2, 3, 7)}
+    assert got == {("A", day, 2.5, 9)}

@@ -113,3 +113,9 @@ def test_shuffled_input_and_union_of_single_symbol_runs(spark):
     for s in rows:
         singles += key(ordered.filter(F.col("symbol") == s))
     assert together == sorted(singles)
+
+
+def test_flat_prices_give_no_crossover(spark):
+    rows = [("A", dt.date(2024, 1, d), 0.1) for d in range(1, 15)]
+    got = IND.indicators(spark.createDataFrame(rows, "symbol string, date date, close_price double"), lookback=None).collect()
+    assert {r.short_above_long for r in got} == {0} and {r.position for r in got} == {None, 0}

@@ -43,6 +43,9 @@ def test_language_detection_small(spark):
          ("the weather is nice and the sun is shining on the hill", "en")],
         "text string, lang string")
     w, langs = N.train_language_profiles(train)
+    none = spark.createDataFrame([(None, "die katze und der hund"), ("", "the sun and the hill"), ("", "der hund"), (None, "the dog"), (None, "the dog")], "url string, title string")
+    assert sorted((r.title, r.language) for r in N.detect_language(none, w, langs).collect()) == [
+        ("der hund", "de"), ("die katze und der hund", "de"), ("the dog", "en"), ("the dog", "en"), ("the sun and the hill", "en")]
     titles = spark.createDataFrame([("1", "the house and the sun"), ("2", "die katze und der hund"), ("3", "ab"),
                                     ("4", None)], "url string, title string")
     got = {r.url: r.language for r in N.detect_language(titles, w, langs).collect()}
@@ -69,3 +72,33 @@ def test_sentiment_aggregate_counts_null_scores(spark):
     assert (r.positive_count, r.negative_count, r.neutral_count) == (1, 1, 1)
     assert r.positive_percentage == 25.0 and r.negative_percentage == 25.0
     assert r.positive_avg_score == 0.5 and r.negative_avg_score == -0.5
+
+
+def test_matching_tells_articles_of_one_url_apart(spark):
+    rows = [("u", "Micro news", ""), ("u", "Soft inc", ""), (None, "MSFT up", ""), (None, "apple", "Inc"), ("", "AAPL", ""), ("", "AAPL", "")]
+    arts = spark.createDataFrame(rows, "url string, title string, description string")
+    comps = spark.createDataFrame([("AAPL", "Apple"), ("MSFT", "Micro Soft")], "symbol string, company string")
+    got = sorted((r.url or "-", r.symbol) for r in N.match_symbols(arts, comps).collect())
+    assert got == [("-", "AAPL"), ("-", "AAPL"), ("-", "MSFT")]
+
+
+def test_dedupe_keeps_one_of_equal_rows(spark):
+    rows = [("A", "T", "2024-01-01", None), ("A", "t", "2024-01-01", None), ("A", "t", "2024-01-01", None), ("A", None, "2024-01-02", "u"), ("A", "", "2024-01-01", "u")]
+    df = spark.createDataFrame(rows, "symbol string, title string, publishedAt string, url string")
+    got = N.dedupe(df.repartition(4)).collect()
+    assert len(got) == 2 and {(r.title or "").lower() for r in got} == {"t", ""}
+
+
+def test_lexicons_of_any_size_and_repeated_texts(spark):
+    terms = spark.range(20000).selectExpr("concat('w', translate(cast(id as string), '0123456789', 'abcdefghij')) as term", "double(id % 3 - 1) as polarity")
+    mods = spark.createDataFrame([], "term string, factor double")
+    df = spark.createDataFrame([(i, "wab wac wad x") for i in range(50)] + [(99, "wab"), (100, None)], "id int, content string")
+    small = {r.id: r.sentiment_score for r in SE.score(df, terms, mods).collect()}
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+        large = {r.id: r.sentiment_score for r in SE.score(df, terms, mods).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # a = 0 ... so wab, wac, wad are 1, 2, 3: polarities 0, 1, -1
+    assert small == large == {**{i: 0.0 for i in range(50)}, 99: 0.0, 100: None}

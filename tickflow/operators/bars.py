@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickflow.functions.timeutil import ts_lit
 
@@ -115,7 +116,9 @@ def resample(df: DataFrame, interval: str, ts: str = "datetime", price: str = "c
     src = df
     if watermark:
         src = src.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark)
-    order = _order_key(ts, tie) if tie else F.col(ts)
+    whole = tie is not None and isinstance(df.schema[tie].dataType, T.IntegralType)
+    # ties of other types (text) order by the pair itself
+    order = _order_key(ts, tie) if whole else F.struct(ts, tie) if tie else F.col(ts)
     vol = F.sum(volume).cast("double") if volume else F.count(F.lit(1))
     return (src.groupBy(key, F.window(ts, interval).alias("bar"))
             .agg(F.min_by(price, order).alias("open"),
@@ -156,14 +159,14 @@ def backfill(df: DataFrame, n: int = 200, start=None, end=None, key: str = "symb
 def merge_daily(existing: DataFrame, new: DataFrame, keys=("symbol", "date")) -> DataFrame:
     """Daily close upsert (U0): existing bars union new bars, the new bar wins per key.
 
-    Unlike a plain append, re-running an update does not duplicate a bar.
-    Keep-last is an aggregate (``max_by`` on the source rank), so it combines
+    Unlike a plain append, re-running an update does not duplicate a bar. Of several
+    new (or old) bars of one key the one with the larger values wins, compared column by
+    column, however the rows are partitioned. Keep-last is an aggregate, so it combines
     map-side and never gathers one symbol in one task.
     """
     keys = list(keys)
     values = [c for c in existing.columns if c not in keys]
     both = (existing.select(*keys, *values).withColumn("_src", F.lit(0))
             .unionByName(new.select(*keys, *values).withColumn("_src", F.lit(1))))
-    latest = both.groupBy(*keys).agg(
-        F.max_by(F.struct(*values), F.col("_src")).alias("_v"))
+    latest = both.groupBy(*keys).agg(F.max(F.struct("_src", *values)).alias("_v"))
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])

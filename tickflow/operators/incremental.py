@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickflow.functions.sides import join_side, stored
 from tickflow.functions.timeutil import ts_lit
 
 MARK_SCHEMA = T.StructType([
@@ -34,8 +35,9 @@ def newer_than(df: DataFrame, marks: DataFrame, col: str = "timestamp", keys=("s
 
     Keys without a mark keep every row - or, with ``default``, rows newer than
     it (a null mark falls back to the default instead of dropping everything).
+    The marks are stored and joined as a side: ``df`` is not exchanged on its keys.
     """
-    joined = df.join(marks.select(*keys, F.col(mark_col).alias("_mark")), list(keys), "left")
+    joined = join_side(df, stored(marks.select(*keys, F.col(mark_col).alias("_mark")), "marks"), keys, "left")
     mark = F.col("_mark")
     if default is not None:
         mark = F.coalesce(mark, ts_lit(default, df.schema[col].dataType))
@@ -73,7 +75,13 @@ def load_marks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def save_marks(marks: DataFrame, path: str) -> None:
-    """Replace the stored marks of the symbols present in ``marks`` (IO14)."""
-    (marks.select("symbol", F.col("last_published_at").cast("timestamp").alias("last_published_at"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("symbol").parquet(path))
+    """Upsert the stored marks by symbol (IO14): symbols present in ``marks`` get the new value.
+
+    The table is small files of one folder, not a folder per symbol: old and new marks are merged into
+    a staged copy first, which then takes the table's place.
+    """
+    spark = marks.sparkSession
+    new = marks.select("symbol", F.col("last_published_at").cast("timestamp").alias("last_published_at")).withColumn("_new", F.lit(1))
+    both = load_marks(spark, path).withColumn("_new", F.lit(0)).unionByName(new)
+    merged = both.groupBy("symbol").agg(F.max(F.struct("_new", "last_published_at")).alias("m")).select("symbol", "m.last_published_at")
+    stored(merged, "marks").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)

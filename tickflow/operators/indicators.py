@@ -24,10 +24,13 @@ THRESHOLD = 0.03
 def _frames(df: DataFrame, part: list, order: str, price: str, short: int, long: int) -> DataFrame:
     """SMA short/long, trend flag and crossover position over windows partitioned by ``part``."""
     w = Window.partitionBy(*part).orderBy(order)
-    out = (df.withColumn("sma_short", F.avg(price).over(w.rowsBetween(-(short - 1), 0)))
-           .withColumn("sma_long", F.avg(price).over(w.rowsBetween(-(long - 1), 0))))
+    # means of exact decimals: on flat prices both are equal, and no flag flips on a last bit
+    exact = F.col(price).try_cast("decimal(30,10)")
+    out = (df.withColumn("sma_short", F.avg(exact).over(w.rowsBetween(-(short - 1), 0)))
+           .withColumn("sma_long", F.avg(exact).over(w.rowsBetween(-(long - 1), 0))))
     out = out.withColumn("short_above_long",
                          F.when(F.col("sma_short") > F.col("sma_long"), 1).otherwise(0))
+    out = out.withColumns({c: F.col(c).cast("double") for c in ("sma_short", "sma_long")})
     return out.withColumn("position",
                           F.col("short_above_long") - F.lag("short_above_long", 1).over(w))
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickflow.functions.sizing import broadcast_if_small, collect_bounded
+from tickflow.functions.sides import join_side, stored
 from tickflow.functions.text import WORD_TOKEN, clean_text, tokens
+from tickflow.session import work_path
 
-MAX_LANGUAGES = 1000
 MESSAGE_COLUMNS = ["symbol", "title", "publishedAt", "description", "url", "source_name", "content"]
 
 
@@ -42,20 +42,40 @@ def normalize(df: DataFrame, keep=()) -> DataFrame:
     )
 
 
+def _row_key(cols) -> list:
+    """128-bit identity of a row's values."""
+    return [F.xxhash64(F.lit(k), *cols).alias(f"_r{k}") for k in (0, 1)]
+
+
+def first_titles(df: DataFrame, keys=("symbol",), title: str = "title", order=("publishedAt", "url")) -> DataFrame:
+    """Thin half of the title de-duplication: (_r0, _r1, title) of the earliest article per ``keys`` and lower-case title.
+
+    An aggregate of keys, title and order columns only, combined in each task before the
+    shuffle, so a title copied a million times costs one row per task.
+    """
+    thin = df.select(*keys, F.coalesce(F.col(title), F.lit("")).alias("_title"), *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], *_row_key(df.columns))
+    first = F.min(F.struct(*[f"_o{i}" for i in range(len(order))], "_r0", "_r1", "_title"))
+    best = thin.groupBy(*keys, F.lower("_title").alias("_title_key")).agg(first.alias("_b"))
+    return best.select("_b._r0", "_b._r1", F.col("_b._title").alias(title))
+
+
+def fetch_rows(df: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``df`` named by ``found`` (_r0, _r1), each once: bodies move in this join only."""
+    named = df.withColumns({"_r0": _row_key(df.columns)[0], "_r1": _row_key(df.columns)[1]})
+    kept = named.join(found.select("_r0", "_r1"), ["_r0", "_r1"], "left_semi")
+    # rows equal in all columns share a name; the join has them side by side already
+    w = Window.partitionBy("_r0", "_r1").orderBy("_r0")
+    return kept.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select(*df.columns)
+
+
 def dedupe(df: DataFrame, keys=("symbol",), title: str = "title",
            order=("publishedAt", "url")) -> DataFrame:
     """Keep the earliest article per ``keys`` and lower-case title.
 
-    Ties on ``publishedAt`` go to the smaller ``url``. Written as an aggregate
-    (``min_by``) rather than a ranking window: each task keeps one survivor
-    per title before the shuffle, so a title copied a million times costs one
-    row per task, not one task holding every copy.
+    Ties on ``publishedAt`` go to the smaller ``url``, then to the smaller row hash; of rows
+    equal in all columns one stays. The survivors are chosen on thin rows, then fetched.
     """
-    cols = df.columns
-    key_cols = [F.col(k) for k in keys] + [F.lower(F.coalesce(F.col(title), F.lit(""))).alias("_title_key")]
-    best = df.groupBy(*key_cols).agg(
-        F.min_by(F.struct(*cols), F.struct(*[F.col(c) for c in order])).alias("_r"))
-    return best.select(*[F.col(f"_r.{c}").alias(c) for c in cols])
+    return fetch_rows(df, first_titles(df, keys, title, order))
 
 
 def match_symbols(df: DataFrame, companies: DataFrame, id_cols=("url",), suffix: str = "inc",
@@ -66,23 +86,27 @@ def match_symbols(df: DataFrame, companies: DataFrame, id_cols=("url",), suffix:
     when every token of the company name and the ``suffix`` token occur, in
     title and description (case-insensitive). One output row per
     (article, symbol); a company missing from ``companies`` matches by ticker only.
+
+    An article is its ``id_cols`` and its text, so articles that share an id, or have none, are
+    not taken for one. The terms are a stored side; counts per article and symbol are one
+    aggregate with map-side combine.
     """
     text = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols])
-    art = df.select(*id_cols, F.array_distinct(tokens(text, WORD_TOKEN)).alias("_toks"))
+    art = df.select(*id_cols, *_row_key([*id_cols, *text_cols]), F.array_distinct(tokens(text, WORD_TOKEN)).alias("_toks"))
     art = art.withColumn("_has_suffix", F.array_contains("_toks", suffix.lower()))
-    comp = companies.select(
+    comp = companies.groupBy("symbol").agg(F.max("company").alias("company")).select(
         "symbol", F.array_distinct(tokens(F.coalesce(F.col("company"), F.lit("")), WORD_TOKEN)).alias("_ct"))
     terms = (comp.select("symbol", F.lower("symbol").alias("term"), F.lit(True).alias("is_ticker"),
                          F.size("_ct").alias("n_company"))
              .unionByName(comp.select("symbol", F.explode("_ct").alias("term"),
                                       F.lit(False).alias("is_ticker"), F.size("_ct").alias("n_company"))))
-    terms = broadcast_if_small(terms)
-    hits = (art.select(*id_cols, "_has_suffix", F.explode("_toks").alias("term"))
-            .join(terms, "term"))
-    per = hits.groupBy(*id_cols, "symbol").agg(
+    hits = join_side(art.select(*id_cols, "_r0", "_r1", "_has_suffix", F.explode(F.array_distinct("_toks")).alias("term")), stored(terms, "terms"), ["term"])
+    # equal rows are one article: distinct terms are counted
+    per = hits.groupBy(*id_cols, "_r0", "_r1", "symbol", "term", "is_ticker", "n_company", "_has_suffix").agg(F.lit(1).alias("_one")).groupBy(
+        *id_cols, "_r0", "_r1", "symbol").agg(
         F.max(F.col("is_ticker").cast("int")).alias("_ticker"),
         F.sum((~F.col("is_ticker")).cast("int")).alias("_company_tokens"),
-        F.first("n_company").alias("_n_company"),
+        F.max("n_company").alias("_n_company"),
         F.max(F.col("_has_suffix").cast("int")).alias("_suffix"),
     )
     ok = (F.col("_ticker") == 1) | ((F.col("_n_company") > 0)
@@ -108,66 +132,52 @@ def train_language_profiles(docs: DataFrame, text: str = "text", lang: str = "la
                             path: str | None = None):
     """Multinomial naive Bayes on character trigrams, add-one smoothing (U2 training).
 
-    Returns ``(weights, languages)``: ``weights(gram, lang, w)`` with
-    ``w = ln(count + 1)`` for every trigram seen in a language, and
+    Returns ``(weights, languages)``: ``weights(gram, v)``, one row per trigram with an array
+    that holds ``ln(count + 1)`` for each language (0 where it was not seen), and
     ``languages(lang, prior, log_denom)`` with the log prior and
-    ``ln(total grams of lang + vocabulary size)``. Whole texts are used.
-    Counting is a plain ``groupBy(lang, gram)`` with map-side combine; the
-    counts are materialised once (under ``path`` when given - the trained
-    model - else as a reliable checkpoint) and both tables derive from them.
+    ``ln(total grams of lang + vocabulary size)``; array slots follow the languages in order.
+    Whole texts are used. Counting is a plain ``groupBy(lang, gram)`` with map-side combine;
+    counts and tables are stored (under ``path`` when given - the trained model).
     """
     labelled = docs.filter(F.col(lang).isNotNull())
+    path = path or work_path(docs.sparkSession, "language-profiles")
     grams = labelled.select(F.col(lang).alias("lang"), F.explode(_trigrams(F.col(text))).alias("gram"))
-    counts = grams.groupBy("gram", "lang").agg(F.count(F.lit(1)).alias("n"))
-    # the counts feed three results below: compute them once
-    spark = docs.sparkSession
-    if path:
-        counts.write.mode("overwrite").parquet(f"{path}/counts")
-        counts = spark.read.parquet(f"{path}/counts")
-    else:
-        counts = counts.checkpoint()
-    weights = counts.select("gram", "lang", F.log(F.col("n") + 1).alias("w"))
+    counts = stored(grams.groupBy("gram", "lang").agg(F.count(F.lit(1)).alias("n")), path=f"{path}/counts")
     # vocabulary size and document total are single values: scalar subqueries
     vocab = counts.select("gram").distinct().agg(F.count(F.lit(1))).scalar()
     all_docs = labelled.agg(F.count(F.lit(1))).scalar()
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     n_docs = labelled.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("docs"))
-    languages = (n_docs.join(totals, "lang", "left")
-                 .select("lang",
-                         F.log(F.col("docs") / all_docs).alias("prior"),
-                         F.log(F.coalesce(F.col("total"), F.lit(0)) + vocab).alias("log_denom")))
-    if path:
-        languages.write.mode("overwrite").parquet(f"{path}/languages")
-        languages = spark.read.parquet(f"{path}/languages")
+    languages = stored(n_docs.join(totals, "lang", "left").select(
+        "lang", F.log(F.col("docs") / all_docs).alias("prior"),
+        F.log(F.coalesce(F.col("total"), F.lit(0)) + vocab).alias("log_denom")), path=f"{path}/languages")
+    slots = languages.agg(F.sort_array(F.collect_list("lang"))).scalar()
+    per_gram = counts.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("m"))
+    weights = stored(per_gram.withColumn("_slots", slots).select("gram", F.transform("_slots", lambda l: F.log(
+        F.coalesce(F.try_element_at("m", l), F.lit(0)) + 1.0)).alias("v")), path=f"{path}/weights")
     return weights, languages
 
 
 def detect_language(df: DataFrame, weights: DataFrame, languages: DataFrame,
-                    id_col: str = "url", text: str = "title", out: str = "language") -> DataFrame:
+                    text: str = "title", out: str = "language") -> DataFrame:
     """Most likely language of ``text`` (U2); empty text -> null; ties -> smallest code.
 
-    score(doc, lang) = prior + sum over the doc's trigrams of
-    ``ln((count + 1) / (total + V))``. Seen trigrams are joined to ``weights``
-    on the gram; unseen ones only contribute the denominator, which is taken
-    from the per-language summary (a bounded label set, shipped in the plan
-    as a literal array instead of a product with every document).
+    score(text, lang) = prior + sum over its trigrams of ``ln((count + 1) / (total + V))``. The
+    trigrams of each distinct text (known by a 128-bit hash of its lower-case form, so rows need no id)
+    are joined once with the stored ``weights`` and their vectors summed slot by slot; unseen
+    trigrams only contribute the denominator.
     """
-    grams = (df.select(id_col, F.explode(_trigrams(F.col(text))).alias("gram"))
-             .groupBy(id_col, "gram").agg(F.count(F.lit(1)).alias("c")))
-    seen = (grams.join(broadcast_if_small(weights, 2_000_000), "gram")
-            .groupBy(id_col, "lang").agg(F.sum(F.col("c") * F.col("w")).alias("s"))
-            .groupBy(id_col).agg(F.map_from_entries(F.collect_list(F.struct("lang", "s"))).alias("_seen")))
-    # the label set is small and bounded: ship it in the plan as a literal array
-    langs = sorted(collect_bounded(languages.select("lang", "prior", "log_denom"), MAX_LANGUAGES),
-                   key=lambda r: r["lang"])
-    lang_array = F.array(*[F.struct(F.lit(r["lang"]).alias("lang"), F.lit(float(r["prior"])).alias("prior"),
-                                    F.lit(float(r["log_denom"])).alias("log_denom")) for r in langs])
-    n = F.greatest(F.char_length(F.lower(F.coalesce(F.col(text), F.lit("")))) - 2, F.lit(0))
-    base = df.join(seen, id_col, "left")
-    scores = F.transform(lang_array, lambda l: F.struct(
-        (l["prior"] - n * l["log_denom"]
-         + F.coalesce(F.try_element_at(F.col("_seen"), l["lang"]), F.lit(0.0))).alias("score"),
-        l["lang"].alias("lang")))
+    low = F.lower(F.coalesce(F.col(text), F.lit("")))
+    key = F.struct(F.xxhash64(F.lit(0), low).alias("k0"), F.xxhash64(F.lit(1), low).alias("k1"))
+    ordered = languages.agg(F.sort_array(F.collect_list(F.struct("lang", "prior", "log_denom")))).scalar()
+    slots = range(languages.count())  # one sum per language
+    # each text once; its sums then need no further exchange where the weights are broadcast
+    texts = df.select(key.alias("_text"), low.alias("_low")).groupBy("_text").agg(F.max("_low").alias("_low"))
+    grams = texts.select("_text", F.explode(_trigrams(F.col("_low"))).alias("gram"))
+    sums = join_side(grams, weights, ["gram"]).groupBy("_text").agg(F.array(*[F.sum(F.col("v")[i]) for i in slots]).alias("_sums"))
+    n = F.greatest(F.char_length(low) - 2, F.lit(0))
+    scores = F.transform("_ordered", lambda l, i: F.struct(
+        (l["prior"] - n * l["log_denom"] + F.coalesce(F.get(F.col("_sums"), i), F.lit(0.0))).alias("score"), l["lang"].alias("lang")))
     # best = highest score; among equal scores the smallest language code
     best = F.aggregate(
         scores, F.struct(F.lit(-math.inf).alias("score"), F.lit(None).cast("string").alias("lang")),
@@ -175,7 +185,8 @@ def detect_language(df: DataFrame, weights: DataFrame, languages: DataFrame,
                               | ((x["score"] == acc["score"]) & (x["lang"] < acc["lang"])),
                               F.struct(x["score"].alias("score"), x["lang"].alias("lang")))
         .otherwise(acc))
-    return base.withColumn(out, F.when(n > 0, best["lang"])).drop("_seen")
+    return (df.withColumns({"_text": key, "_ordered": ordered}).join(sums, "_text", "left")
+            .withColumn(out, F.when(n > 0, best["lang"])).drop("_text", "_sums", "_ordered"))
 
 
 def keep_language(df: DataFrame, lang_col: str = "language", lang: str = "en") -> DataFrame:

@@ -1,21 +1,20 @@
 """Lexicon sentiment score and the per symbol-day sentiment aggregate.
 
-The score is computed inside each row: the lexicon and modifier tables are
-bounded parameter tables (size-checked), shipped in the plan as two literal
-maps, and the tokens of a text are scored with higher-order functions. So scoring a
-document needs no explode, no shuffle and no join - a long text costs one
-task one row, and the work is spread exactly like the documents.
+The lexicon and the modifiers are tables of any size. Tokens with the token before them are exploded
+and hash-joined with the lexicon, which drops nearly all of them, then with the modifiers; what is
+left is summed per text. Only keys, sums and counts are shuffled: a text is known by a 128-bit hash,
+so its body stays where it is unless the caller selects it from the result. Equal texts have equal
+scores; their sums combine in each task, so a text that a third of all rows share is one row a task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickflow.functions.sizing import collect_bounded
+from tickflow.functions.sides import join_side, known_bytes, stored, threshold
 from tickflow.functions.text import SENTIMENT_TOKEN, tokens
 
-MAX_LEXICON = 100_000
 TERM_DECIMAL = "decimal(18,6)"
 SUM_DECIMAL = "decimal(38,12)"
 
@@ -28,13 +27,30 @@ DEFAULT_MODIFIERS = [
 ]
 
 
-def _as_map(table: DataFrame, key: str, value: str):
-    """A bounded two-column table as a literal MAP (lower-cased keys, max value per key)."""
-    dedup = table.groupBy(F.lower(F.col(key)).alias("k")).agg(F.max(value).alias("v"))
-    rows = [r for r in collect_bounded(dedup, MAX_LEXICON) if r["k"] is not None]
-    if not rows:
-        return F.create_map().cast("map<string,double>")
-    return F.map_from_arrays(F.lit([r["k"] for r in rows]), F.lit([float(r["v"]) for r in rows]))
+def _terms(table: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """A two-column table by lower-cased term (largest value per term), stored."""
+    known = table.filter(F.col(key).isNotNull() & F.col(value).isNotNull())
+    return stored(known.groupBy(F.lower(F.col(key)).alias(name)).agg(F.max(F.col(value).cast(TERM_DECIMAL)).alias(f"{name}_value")), name)
+
+
+def text_scores(df: DataFrame, lexicon: DataFrame, modifiers: DataFrame, text: str = "content") -> DataFrame:
+    """(k0, k1, total, hits) of every text with lexicon tokens: hash of the text, summed token scores, their number.
+
+    A text that occurs on several rows has both multiplied alike, so the mean is that of one.
+    """
+    terms, factors = _terms(lexicon, "term", "polarity", "tok"), _terms(modifiers, "term", "factor", "prev")
+    toks = df.filter(F.col(text).isNotNull()).select(
+        F.xxhash64(F.lit(0), text).alias("k0"), F.xxhash64(F.lit(1), text).alias("k1"), tokens(F.col(text), SENTIMENT_TOKEN).alias("toks"))
+    pairs = toks.select("k0", "k1", F.explode(F.transform("toks", lambda t, i: F.struct(
+        t.alias("tok"), F.get(F.col("toks"), i - 1).alias("prev")))).alias("p")).select("k0", "k1", "p.tok", "p.prev", F.lit(1).cast("bigint").alias("n"))
+    if known_bytes(terms) > threshold(df.sparkSession):
+        # the tokens must move to the lexicon: count equal pairs of a text first
+        pairs = pairs.groupBy("k0", "k1", "tok", "prev").agg(F.sum("n").alias("n"))
+    found = join_side(join_side(pairs, terms, ["tok"]), factors, ["prev"], "left")
+    value = (F.col("tok_value") * F.coalesce(F.col("prev_value"), F.lit(1).cast(TERM_DECIMAL))).cast(SUM_DECIMAL)
+    # sums are exact decimals, so a score that is truly 0 stays 0 (its sign decides
+    # positive / negative / neutral downstream)
+    return found.groupBy("k0", "k1").agg(F.sum((value * F.col("n")).cast(SUM_DECIMAL)).alias("total"), F.sum("n").alias("hits"))
 
 
 def score(df: DataFrame, lexicon: DataFrame, modifiers: DataFrame, text: str = "content",
@@ -45,29 +61,14 @@ def score(df: DataFrame, lexicon: DataFrame, modifiers: DataFrame, text: str = "
     ``polarity x factor`` where ``factor`` comes from the previous token's
     modifier (1 when none); polarities and factors count to 6 decimals.
     Score = mean of the token scores, clipped to [-1, 1]; no lexicon token ->
-    0.0; null text -> null.
-
-    The token array and the token scores are separate projections, so each is
-    computed once per row (a lambda that looked back into an inline token
-    expression would re-tokenise the text for every token).
+    0.0; null text -> null. Empty tables give 0.0.
     """
-    lex = _as_map(lexicon, "term", "polarity")
-    mods = _as_map(modifiers, "term", "factor")
-    toks = F.col("_toks")
-    scored = (df.withColumn("_toks", tokens(F.col(text), SENTIMENT_TOKEN))
-              .withColumn("_vals", F.filter(
-                  F.transform(toks, lambda tok, i: F.try_element_at(lex, tok).cast(TERM_DECIMAL)
-                              * F.coalesce(F.try_element_at(mods, F.get(toks, i - 1)),
-                                           F.lit(1.0)).cast(TERM_DECIMAL)),
-                  lambda x: x.isNotNull())))
-    # token scores and their sum are exact decimals, so a score that is truly 0
-    # stays 0 (its sign decides positive / negative / neutral downstream)
-    vals = F.col("_vals")
-    total = F.aggregate(vals, F.lit(0).cast(SUM_DECIMAL), lambda acc, x: (acc + x).cast(SUM_DECIMAL))
-    mean = F.when(F.size(vals) > 0, total.cast("double") / F.size(vals)).otherwise(F.lit(0.0))
-    clipped = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), mean))
-    value = F.when(F.col(text).isNull(), F.lit(None)).otherwise(clipped).cast("float")
-    return scored.withColumn(out, value).drop("_toks", "_vals")
+    scores = text_scores(df, lexicon, modifiers, text).select(
+        F.struct("k0", "k1").alias("_text"), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("total").cast("double") / F.col("hits"))).alias("_mean"))
+    keyed = df.withColumns({"_text": F.struct(F.xxhash64(F.lit(0), text).alias("k0"), F.xxhash64(F.lit(1), text).alias("k1")),
+                            "_some": F.col(text).isNotNull()})
+    value = F.when(F.col("_some"), F.coalesce("_mean", F.lit(0.0))).cast("float")
+    return keyed.join(scores, "_text", "left").withColumn(out, value).drop("_text", "_some", "_mean")
 
 
 def aggregate(enriched: DataFrame, keys=("symbol", "day"), col: str = "sentiment_score") -> DataFrame:

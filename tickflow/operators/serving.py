@@ -7,6 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickflow.functions.sides import join_side, stored
 from tickflow.functions.text import iso_format
 from tickflow.functions.timeutil import ts_lit
 
@@ -21,18 +22,22 @@ def normalize_symbol(c):
 
 
 def latest_signals(df: DataFrame, n: int = 3, requests: DataFrame | None = None,
-                   key: str = "symbol", order: str = "datetime", request_col: str = "symbol") -> DataFrame:
+                   key: str = "symbol", order: str = "datetime", request_col: str = "symbol",
+                   since=None) -> DataFrame:
     """The ``n`` latest signals per symbol (T3); optionally only requested symbols.
 
     ``requests`` is a table of requested symbols in any case / padding; they
     are matched on the normalised symbol with a semi join. The top-n is a
-    WindowGroupLimit, trimmed per task before the shuffle.
+    WindowGroupLimit, trimmed per task before the shuffle. Signals of one time are
+    told apart by all their values, so the rows are the same on every run. ``since`` (a
+    date) limits a stored table to its ``day`` partitions from then on.
     """
-    src = df
+    src = df if since is None else df.filter(F.col("day") >= ts_lit(since, "date"))
     if requests is not None:
         wanted = requests.select(normalize_symbol(request_col).alias("_want")).distinct()
         src = src.join(wanted, normalize_symbol(key) == F.col("_want"), "left_semi")
-    w = Window.partitionBy(key).orderBy(F.col(order).desc())
+    ties = [F.col(c).desc() for c in sorted(df.columns) if c not in (key, order)]
+    w = Window.partitionBy(key).orderBy(F.col(order).desc(), *ties)
     return src.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
@@ -71,12 +76,18 @@ def session_start(as_of, hour: int = 9, minute: int = 30) -> _dt.datetime:
 def chart_series(df: DataFrame, start, key: str = "symbol", ts: str = "datetime") -> DataFrame:
     """Chart data (F7 A5 P15): signals since ``start``, with the window's mean close and its label.
 
-    The mean is a per-symbol aggregate joined back on the symbol (a small
-    table; AQE broadcasts it from its measured size) rather than an
-    unpartitioned-order window over a whole symbol.
+    ``df`` is the stored signal table, whose ``day`` partitions before ``start`` are pruned; text
+    times of stored documents are read as timestamps. The mean is a per-symbol aggregate, stored
+    and joined back as a side.
     """
+    if dict(df.dtypes)[ts] == "string":
+        df = df.withColumn(ts, F.try_to_timestamp(F.col(ts)).cast("timestamp_ntz"))
     win = df.filter(F.col(ts) >= ts_lit(start, df.schema[ts].dataType))
-    means = win.groupBy(key).agg(F.avg("close").alias("avg_close"))
-    out = win.join(means, key)
+    if "day" in df.columns:
+        win = win.filter(F.col("day") >= ts_lit(start, "timestamp_ntz").cast("date"))
+    # the mean of exact decimals does not depend on the order of the rows
+    mean = F.avg(F.col("close").try_cast("decimal(30,10)")).cast("double")
+    means = stored(win.groupBy(key).agg(mean.alias("avg_close")), "chart-means")
+    out = join_side(win, means, [key])
     return out.select(key, ts, "open", "high", "low", "close", "avg_close",
                       F.format_string("Average Price: $%.2f", F.col("avg_close")).alias("avg_label"))

@@ -7,6 +7,8 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickflow.functions.sides import join_side
+
 SIGNALS = ("strong_buy", "buy", "hold", "sell", "strong_sell")
 
 # Combined signal by (SMA signal, sentiment signal), one line per
@@ -92,23 +94,19 @@ def combined_signal(sma="sma_signal", sentiment="sentiment_signal") -> Column:
         F.coalesce(hit, _c(sma)))
 
 
-def attach_snapshot(quotes: DataFrame, snap: DataFrame, key: str = "symbol",
-                    broadcast: bool = False) -> DataFrame:
+def attach_snapshot(quotes: DataFrame, snap: DataFrame, key: str = "symbol") -> DataFrame:
     """Attach each symbol's indicator snapshot to its quotes (J1): inner equi-join.
 
-    Quotes of a symbol without history give no row. ``broadcast=True`` only
-    when the caller has checked the snapshot's size (one row per symbol);
-    otherwise AQE chooses from the measured size.
+    Quotes of a symbol without history give no row. ``snap`` is a stored side
+    (``sides.stored``): broadcast when its bytes allow, else joined under salts, so
+    that quotes are never exchanged on the symbol alone.
     """
-    side = F.broadcast(snap) if broadcast else snap
-    return quotes.join(side, on=key, how="inner")
+    return join_side(quotes, snap, [key])
 
 
-def attach_sentiment(signals: DataFrame, sentiment: DataFrame, keys=("symbol", "day"),
-                     broadcast: bool = False) -> DataFrame:
-    """Attach the day sentiment signal to SMA signals (J2): left equi-join, null when no news."""
-    side = F.broadcast(sentiment) if broadcast else sentiment
-    return signals.join(side, on=list(keys), how="left")
+def attach_sentiment(signals: DataFrame, sentiment: DataFrame, keys=("symbol", "day")) -> DataFrame:
+    """Attach the day sentiment signal (a stored side) to SMA signals (J2): left equi-join, null when no news."""
+    return join_side(signals, sentiment, keys, "left")
 
 
 def typed_signals(df: DataFrame) -> DataFrame:

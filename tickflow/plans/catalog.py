@@ -38,12 +38,16 @@ SQL_TICKS = """ticks AS (
            value AS close
     FROM events)"""
 
-SQL_HISTORY = """history AS (
+def sql_history(before: str) -> str:
+    return f"""history AS (
     SELECT symbol, date_trunc('day', datetime) AS date,
-           arg_max(close, {'t': datetime, 'e': event_id}) AS close_price
-    FROM ticks WHERE datetime < TIMESTAMP '2024-01-25'
+           arg_max(close, {{'t': datetime, 'e': event_id}}) AS close_price
+    FROM ticks WHERE datetime < TIMESTAMP '{before}'
     GROUP BY 1, 2)"""
 
+
+SQL_HISTORY = sql_history("2024-01-25")
+
 SQL_LONG_BARS = """long_bars AS (
     SELECT o_orderpriority AS symbol, CAST(o_orderdate AS DATE) AS date,
            arg_max(o_totalprice, o_orderkey) AS close_price, count(*) AS volume
@@ -93,14 +97,18 @@ def sql_sma_signal_case(c="close", s="short_term_avg", l="long_term_avg", a="sho
     ELSE 'hold' END"""
 
 
-SQL_SMA_SIGNALS = f"""sma_signals AS (
+def sql_sma_signals(where: str) -> str:
+    return f"""sma_signals AS (
     SELECT symbol, datetime, open, high, low, close, volume, short_term_avg, long_term_avg,
            short_above_long, is_significant, {sql_sma_signal_case()} AS signal
     FROM (SELECT q.symbol, q.datetime, q.close AS open, q.close AS high, q.close AS low, q.close,
                  1.0 AS volume, sn.short_term_avg, sn.long_term_avg, sn.short_above_long,
                  sn.is_significant, sn.position
           FROM ticks q JOIN snap sn USING (symbol)
-          WHERE q.datetime >= TIMESTAMP '2024-01-25'))"""
+          WHERE {where}))"""
+
+
+SQL_SMA_SIGNALS = sql_sma_signals("q.datetime >= TIMESTAMP '2024-01-25'")
 
 
 # --------------------------------------------------------------------------- price queries
@@ -274,17 +282,15 @@ def q_bars_backfill_200(spark, sf_dir):
 
 
 @register("bars_merge_daily", f"""WITH {SQL_LONG_BARS}, {SQL_STATUS_F},
-new AS (SELECT * FROM upd WHERE date >= DATE '1997-07-01'),
-ex AS (SELECT * FROM long_bars WHERE date < DATE '1998-01-01')
+new AS (SELECT * FROM upd),
+ex AS (SELECT * FROM long_bars)
 SELECT symbol, CAST(date AS TIMESTAMP) AS date, close_price, volume FROM new
 UNION ALL
 SELECT symbol, CAST(date AS TIMESTAMP) AS date, close_price, volume FROM ex
 WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.symbol = ex.symbol AND new.date = ex.date)""")
 def q_bars_merge_daily(spark, sf_dir):
-    existing = FX.long_bars(spark, sf_dir).filter(F.col("date") < F.lit("1998-01-01").cast("date"))
-    payloads = _daily_payloads(_status_f_bars(spark, sf_dir)
-                               .filter(F.col("date") >= F.lit("1997-07-01").cast("date")))
-    return FX.comparable(B.merge_daily(existing, B.from_api_payload(payloads)))
+    payloads = _daily_payloads(_status_f_bars(spark, sf_dir))
+    return FX.comparable(B.merge_daily(FX.long_bars(spark, sf_dir), B.from_api_payload(payloads)))
 
 
 @register("bars_replace_partition", f"""WITH {SQL_LONG_BARS}, {SQL_STATUS_F},
@@ -316,6 +322,56 @@ def q_bars_replace_partition(spark, sf_dir):
         "symbol", "date", "close_price", "volume", "year", "month"))
 
 
+def _bar_topic(spark: SparkSession, bars: DataFrame, name: str) -> dict:
+    """Bars as messages on a file-backed topic."""
+    from tickflow.session import work_path
+    from tickflow.sources import topics as TP
+    topic = {"format": "file", "path": work_path(spark, name)}
+    msgs = bars.select("symbol", "date", F.col("close_price").cast("string").alias("close_price"),
+                       F.col("volume").cast("string").alias("volume"))
+    TP.write_topic(TP.encode(msgs, "symbol", timestamp=F.col("date").cast("timestamp")), topic)
+    return topic
+
+
+@register("bars_replace_symbol", f"""WITH {SQL_LONG_BARS}, {SQL_STATUS_F},
+load2 AS (SELECT * FROM upd WHERE year(date) = 1996 AND symbol <> '5-LOW')
+SELECT symbol, CAST(date AS TIMESTAMP) AS date, close_price, volume FROM load2
+UNION ALL
+SELECT symbol, CAST(date AS TIMESTAMP) AS date, close_price, volume FROM long_bars
+WHERE symbol NOT IN (SELECT symbol FROM load2)""")
+def q_bars_replace_symbol(spark, sf_dir):
+    """A second load of one year for all symbols but one: their other years go, the one keeps its own."""
+    from tickflow.session import work_path
+    from tickflow.sources import tables as TB
+    path = work_path(spark, "bars")
+    J.load_bars(spark, _bar_topic(spark, FX.long_bars(spark, sf_dir), "bars-load1"), path)
+    year = _status_f_bars(spark, sf_dir).filter((F.year("date") == 1996) & (F.col("symbol") != "5-LOW"))
+    J.load_bars(spark, _bar_topic(spark, year, "bars-load2"), path, mode="symbol")
+    return FX.comparable(TB.read_bars(spark, path).select("symbol", "date", "close_price", "volume"))
+
+
+@register("daily_update", f"""WITH {SQL_LONG_BARS}, {SQL_STATUS_F},
+new AS (
+    SELECT * FROM upd QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) = 1
+    UNION ALL
+    SELECT symbol, max(date) + 31, arg_max(close_price, date) + 1, 7 FROM long_bars GROUP BY symbol)
+SELECT symbol, CAST(date AS TIMESTAMP) AS date, close_price, volume, CAST(year(date) AS BIGINT) AS year,
+       CAST(month(date) AS BIGINT) AS month
+FROM (SELECT * FROM new UNION ALL
+      SELECT * FROM long_bars b WHERE NOT EXISTS (SELECT 1 FROM new WHERE new.symbol = b.symbol AND new.date = b.date))""")
+def q_daily_update(spark, sf_dir):
+    """Two updates of the stored table: a revised bar inside a stored month, then a bar of a new month, twice."""
+    from tickflow.session import work_path
+    from tickflow.sources import tables as TB
+    path, bars = work_path(spark, "bars"), FX.long_bars(spark, sf_dir)
+    TB.replace_bars(bars, path)
+    following = bars.groupBy("symbol").agg(F.max("date").alias("last"), F.max_by("close_price", "date").alias("close_price")).select(
+        "symbol", F.date_add("last", 31).alias("date"), (F.col("close_price") + 1).alias("close_price"), F.lit(7).alias("volume"))
+    for day in (_status_f_bars(spark, sf_dir), following, following):
+        J.store_daily_update(spark, path, _daily_payloads(day))
+    return FX.comparable(TB.read_bars(spark, path).select("symbol", "date", "close_price", "volume", "year", "month"))
+
+
 @register("quotes_in_session", f"""WITH {SQL_TICKS}
 SELECT symbol, datetime, close FROM ticks
 WHERE strftime(timezone('Asia/Jerusalem', datetime AT TIME ZONE 'UTC'), '%H:%M:%S.%f')
@@ -327,9 +383,9 @@ def q_quotes_in_session(spark, sf_dir):
 # --------------------------------------------------------------------------- news
 
 SQL_NEWS = """news AS (
-    SELECT doc_id, source AS symbol, substr(text, 1, 80) AS title,
+    SELECT doc_id, source AS symbol, split_part(text, chr(10), 1) AS title,
            TIMESTAMP '2024-01-25' + to_minutes(CAST(doc_id AS BIGINT)) AS publishedAt,
-           substr(text, 81, 200) AS description,
+           CASE WHEN strpos(text, chr(10)) = 0 THEN '' ELSE substr(text, strpos(text, chr(10)) + 1) END AS description,
            'https://example.org/d/' || CAST(doc_id AS VARCHAR) AS url,
            'documents' AS source_name, text AS content,
            TIMESTAMP '2024-01-25' + to_minutes(CAST(doc_id AS BIGINT))
@@ -355,7 +411,7 @@ def _page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(
         "page_id", F.lit("pages").alias("symbol"), F.col("url").alias("title"),
         F.lit(None).cast("timestamp").alias("publishedAt"),
-        F.substring(body, 1, 300).alias("description"), "url",
+        body.alias("description"), "url",
         F.struct(F.regexp_extract("url", "//([^/]+)", 1).alias("name")).alias("source"),
         body.alias("content"))
 
@@ -364,7 +420,7 @@ def _page_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT page_id, url AS title, url, regexp_extract(url, '//([^/]+)', 1) AS source_name,
            replace(replace(html, '</p>', '</p>\\'), '<p>', '<p>' || chr(160)) AS body
     FROM pages)
-SELECT page_id, title, {sql_clean('substr(body, 1, 300)')} AS description, url, source_name,
+SELECT page_id, title, {sql_clean('body')} AS description, url, source_name,
        {sql_clean('body')} AS content
 FROM pa""")
 def q_news_normalize_clean(spark, sf_dir):
@@ -505,7 +561,7 @@ def _detected(spark, sf_dir):
     weights, languages = N.train_language_profiles(FX.table(spark, sf_dir, "documents"),
                                                    path=work_path(spark, "language-profiles"))
     n = FX.news(spark, sf_dir)
-    return N.detect_language(n.select("url", "lang", "title"), weights, languages, id_col="url")
+    return N.detect_language(n.select("url", "lang", "title"), weights, languages)
 
 
 @register("news_language", f"""WITH {SQL_LANGUAGE}
@@ -522,9 +578,14 @@ SQL_LEXICON = f"""lex AS (SELECT * FROM (VALUES {', '.join(f"('{t}', {p})" for t
 mods AS (SELECT * FROM (VALUES {', '.join(f"('{t}', {p})" for t, p in FX.MODIFIERS)}) x(term, factor))"""
 
 
-def sql_scores(src: str, id_col: str, text_col: str) -> str:
+SQL_WORDS_LEXICON = """lex AS (SELECT DISTINCT w AS term, (length(w) % 7 - 3) / 4.0 AS polarity
+         FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z'']+')) AS w FROM documents)),
+""" + SQL_LEXICON.split("),\n", 1)[1]
+
+
+def sql_scores(src: str, id_col: str, text_col: str, lexicon: str = SQL_LEXICON) -> str:
     """CTE ``scores(id, sentiment_score FLOAT)`` for the texts of ``src``."""
-    return f"""{SQL_LEXICON},
+    return f"""{lexicon},
 sd AS (SELECT {id_col} AS sid, {text_col} AS stext,
               regexp_extract_all(lower({text_col}), '[a-z'']+') AS toks FROM {src}),
 st AS (SELECT sid, toks[i] AS tok, CASE WHEN i > 1 THEN toks[i - 1] END AS prev
@@ -539,9 +600,9 @@ scores AS (SELECT sd.sid,
            FROM sd LEFT JOIN sagg USING (sid))"""
 
 
-def _scored_english_news(spark, sf_dir):
+def _scored_news(spark, sf_dir):
     from tickflow.operators import sentiment as SE
-    n = FX.news(spark, sf_dir).filter(F.col("lang") == "en")
+    n = FX.news(spark, sf_dir)
     return SE.score(n, FX.lexicon(spark), FX.modifiers(spark))
 
 
@@ -554,7 +615,15 @@ def q_sentiment_score(spark, sf_dir):
     return FX.rounded(s.select("doc_id", "sentiment_score"), ["sentiment_score"])
 
 
-SQL_DAY_SENTIMENT = f"""{SQL_NEWS}, {sql_scores("(SELECT * FROM news WHERE lang = 'en')", 'doc_id', 'content')},
+@register("sentiment_score_words", f"""WITH {sql_scores('documents', 'doc_id', 'text', SQL_WORDS_LEXICON)}
+SELECT sid AS doc_id, round(CAST(sentiment_score AS DOUBLE), 4) AS sentiment_score FROM scores""")
+def q_sentiment_score_words(spark, sf_dir):
+    from tickflow.operators import sentiment as SE
+    s = SE.score(FX.table(spark, sf_dir, "documents"), FX.words_lexicon(spark, sf_dir), FX.modifiers(spark), text="text")
+    return FX.rounded(s.select("doc_id", "sentiment_score"), ["sentiment_score"])
+
+
+SQL_DAY_SENTIMENT = f"""{SQL_NEWS}, {sql_scores('news', 'doc_id', 'content')},
 enriched AS (SELECT n.symbol, CAST(n.timestamp AS DATE) AS day, s.sentiment_score
              FROM news n JOIN scores s ON s.sid = n.doc_id),
 sagg2 AS (
@@ -589,7 +658,7 @@ SELECT symbol, CAST(day AS TIMESTAMP) AS day, positive_count, round(positive_per
 FROM day_sent""")
 def q_sentiment_aggregate(spark, sf_dir):
     from tickflow.operators import sentiment as SE
-    e = _scored_english_news(spark, sf_dir).withColumn("day", F.to_date("timestamp"))
+    e = _scored_news(spark, sf_dir).withColumn("day", F.to_date("timestamp"))
     agg = SE.aggregate(e, keys=("symbol", "day"))
     return FX.comparable(FX.rounded(agg, ["positive_percentage", "positive_avg_score",
                                           "negative_percentage", "negative_avg_score"]))
@@ -599,11 +668,30 @@ def q_sentiment_aggregate(spark, sf_dir):
 SELECT symbol, CAST(day AS TIMESTAMP) AS day, positive_count, negative_count, neutral_count, sentiment_signal
 FROM day_signal""")
 def q_sentiment_signal(spark, sf_dir):
-    s = J.day_sentiment(_scored_english_news(spark, sf_dir))
+    s = J.day_sentiment(_scored_news(spark, sf_dir))
     return FX.comparable(s.select("symbol", "day", "positive_count", "negative_count", "neutral_count",
                                   "sentiment_signal"))
 
 
+@register("news_enrich", f"""WITH {SQL_NEWS}, {sql_scores('news', 'doc_id', 'content')}
+SELECT n.symbol, n.url, n.timestamp, round(CAST(s.sentiment_score AS DOUBLE), 4) AS sentiment_score,
+       CAST(year(timestamp) AS BIGINT) AS year, CAST(month(timestamp) AS BIGINT) AS month, CAST(day(timestamp) AS BIGINT) AS day
+FROM news n JOIN scores s ON s.sid = n.doc_id WHERE CAST(n.timestamp AS DATE) = DATE '2024-01-25'""")
+def q_news_enrich(spark, sf_dir):
+    """The day's later news is enriched first; its earlier news arrives late; the second run is repeated."""
+    from tickflow.session import work_path
+    from tickflow.sources import tables as TB
+    news, enriched = work_path(spark, "news"), work_path(spark, "news-enriched")
+    n = TB.with_date_parts(FX.news(spark, sf_dir).select(*J.NEWS_COLUMNS), "timestamp", day=True)
+    late = F.col("timestamp") < F.lit(STORED_CUT).cast("timestamp_ntz")
+    for rows, runs in ((n.filter(~late), ["run-1"]), (n.filter(late), ["run-2", "run-2", "run-3"])):
+        TB.append_partitions(rows, news, J.DAY)
+        for run in runs:
+            J.append_enriched(spark, news, enriched, "2024-01-25", run, FX.lexicon(spark), FX.modifiers(spark))
+    out = TB.read_table(spark, enriched).select("symbol", "url", "timestamp", "sentiment_score", "year", "month", "day")
+    return FX.comparable(FX.rounded(out, ["sentiment_score"]))
+
+
 # --------------------------------------------------------------------------- combined + serving
 
 # Combined signal by (SMA signal, sentiment signal), all 25 cells written out
@@ -637,7 +725,7 @@ combined AS (
 
 def _combined_frame(spark, sf_dir):
     sma = _sma_signal_frame(spark, sf_dir)
-    sent = J.day_sentiment(_scored_english_news(spark, sf_dir))
+    sent = J.day_sentiment(_scored_news(spark, sf_dir))
     return J.combined_signals(sma, sent)
 
 
@@ -652,16 +740,26 @@ def q_combined_signal(spark, sf_dir):
                       ["short_term_avg", "long_term_avg"])
 
 
+def _stored_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The signal table that S3 has written (S1 -> S2 -> S3)."""
+    from tickflow.session import work_path
+    from tickflow.sources import tables as TB
+    from tickflow.streaming import jobs as SJ
+    path = work_path(spark, "signals")
+    SJ.stream_signal_sink(spark, _run_s2(spark, sf_dir), path, work_path(spark, "ckpt-s3"), wait=True)
+    return TB.read_signals(spark, path)
+
+
 @register("signals_latest_3", f"""WITH {SQL_COMBINED}
 SELECT symbol, datetime, close, sma_signal, sentiment_signal, combined_signal FROM combined
 QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY datetime DESC) <= 3""")
 def q_signals_latest_3(spark, sf_dir):
     from tickflow.operators import serving as SV
-    c = _combined_frame(spark, sf_dir)
+    c = _stored_signals(spark, sf_dir)
     # requests as a user would type them: padded, upper-case
     requests = c.select(F.concat(F.lit("  "), F.upper("symbol"), F.lit(" ")).alias("symbol")).distinct()
     top = SV.latest_signals(c, 3, requests=requests)
-    return top.select("symbol", "datetime", "close", "sma_signal", "sentiment_signal", "combined_signal")
+    return FX.comparable(top.select("symbol", "datetime", "close", "sma_signal", "sentiment_signal", "combined_signal"))
 
 
 def _sql_iso(x: str) -> str:
@@ -679,7 +777,7 @@ SELECT symbol, datetime,
 FROM top""")
 def q_signal_card(spark, sf_dir):
     from tickflow.operators import serving as SV
-    return SV.signal_card(SV.latest_signals(_combined_frame(spark, sf_dir), 3))
+    return FX.comparable(SV.signal_card(SV.latest_signals(_stored_signals(spark, sf_dir), 3)))
 
 
 CHART_AS_OF = "2024-01-29"
@@ -687,14 +785,14 @@ CHART_AS_OF = "2024-01-29"
 
 @register("chart_series", f"""WITH {SQL_COMBINED},
 win AS (SELECT * FROM combined WHERE datetime >= TIMESTAMP '{CHART_AS_OF} 09:30:00'),
-means AS (SELECT symbol, avg(close) AS avg_close FROM win GROUP BY symbol)
+means AS (SELECT symbol, avg(CAST(close AS DECIMAL(18, 4))) AS avg_close FROM win GROUP BY symbol)
 SELECT w.symbol, w.datetime, w.open, w.high, w.low, w.close, round(m.avg_close, 4) AS avg_close,
        'Average Price: $' || CAST(round(CAST(m.avg_close AS DECIMAL(38, 10)), 2) AS VARCHAR) AS avg_label
 FROM win w JOIN means m USING (symbol)""")
 def q_chart_series(spark, sf_dir):
     from tickflow.operators import serving as SV
-    s = SV.chart_series(_combined_frame(spark, sf_dir), SV.session_start(CHART_AS_OF))
-    return FX.rounded(s, ["avg_close"])
+    s = SV.chart_series(_stored_signals(spark, sf_dir), SV.session_start(CHART_AS_OF))
+    return FX.comparable(FX.rounded(s, ["avg_close"]))
 
 
 # --------------------------------------------------------------------------- streaming
@@ -715,7 +813,7 @@ def _run_s1(spark, sf_dir) -> dict:
     out = {"format": "file", "path": work_path(spark, "sma-topic")}
     snap = J.indicator_snapshot(FX.history_bars(spark, sf_dir), lookback=30)
     SJ.stream_sma_signals(spark, _quote_topic(spark, sf_dir), out, snap, work_path(spark, "ckpt-s1"),
-                          work_path(spark, "snapshot"), start=FX.LIVE_START, wait=True)
+                          work_path(spark, "snapshot"), start=FX.LIVE_START, wait=True, starting="earliest")
     return out
 
 
@@ -724,9 +822,9 @@ def _run_s2(spark, sf_dir) -> dict:
     from tickflow.streaming import jobs as SJ
     sma_topic = _run_s1(spark, sf_dir)
     out = {"format": "file", "path": work_path(spark, "combined-topic")}
-    sent = J.day_sentiment(_scored_english_news(spark, sf_dir))
+    sent = J.day_sentiment(_scored_news(spark, sf_dir))
     SJ.stream_combined_signals(spark, sma_topic, out, sent, work_path(spark, "ckpt-s2"),
-                               work_path(spark, "day-sentiment"), start=FX.LIVE_START, wait=True)
+                               work_path(spark, "day-sentiment"), wait=True, starting=FX.LIVE_START)
     return out
 
 
@@ -759,14 +857,60 @@ SELECT symbol, {_sql_iso('datetime')} AS kafka_datetime, {_sql_iso('datetime')}
        sma_signal, sentiment_signal, combined_signal
 FROM combined""")
 def q_stream_signal_sink(spark, sf_dir):
-    from tickflow.operators.serving import DOCUMENT_COLUMNS
+    from tickflow.operators import serving as SV
+    docs = SV.signal_document(_stored_signals(spark, sf_dir))
+    return FX.comparable(FX.rounded(docs, ["short_term_avg", "long_term_avg"]))
+
+
+@register("sink_two_runs", f"""WITH {SQL_COMBINED}
+SELECT symbol, CAST(CAST(datetime AS DATE) AS TIMESTAMP) AS day, 2 * count(*) AS n, 2 * count(*) AS n_compacted
+FROM combined GROUP BY 1, 2""")
+def q_sink_two_runs(spark, sf_dir):
+    """Two sink queries with checkpoints of their own over one topic: both runs' rows are there, before and after compaction."""
     from tickflow.session import work_path
     from tickflow.sources import tables as TB
     from tickflow.streaming import jobs as SJ
-    path = work_path(spark, "signal-documents")
-    SJ.stream_signal_sink(spark, _run_s2(spark, sf_dir), path, work_path(spark, "ckpt-s3"), wait=True)
-    docs = TB.read_table(spark, path).select(*DOCUMENT_COLUMNS)
-    return FX.comparable(FX.rounded(docs, ["short_term_avg", "long_term_avg"]))
+    topic, path, small = _run_s2(spark, sf_dir), work_path(spark, "signals"), work_path(spark, "signals-compacted")
+    for run in (1, 2):
+        SJ.stream_signal_sink(spark, topic, path, work_path(spark, f"ckpt-s3-{run}"), wait=True)
+    TB.compact_signals(spark, path, small)
+    count = lambda p, name: TB.read_signals(spark, p).groupBy("symbol", "day").agg(F.count(F.lit(1)).alias(name))
+    return FX.comparable(count(path, "n").join(count(small, "n_compacted"), ["symbol", "day"], "full"))
+
+
+# days from which a new snapshot holds
+REFRESH_DAYS = ["2024-01-25", "2024-01-27", "2024-01-29"]
+
+
+def _sql_refreshed() -> str:
+    parts = []
+    for day, end in zip(REFRESH_DAYS, [*REFRESH_DAYS[1:], "9999-01-01"]):
+        parts.append(f"""SELECT * FROM (WITH {SQL_TICKS}, {sql_history(day)}, {sql_indicators('history', 30)}, {SQL_SNAPSHOT},
+{sql_sma_signals(f"q.datetime >= TIMESTAMP '{day}' AND q.datetime < TIMESTAMP '{end}'")}
+SELECT symbol, datetime, open, high, low, close, volume, round(short_term_avg, 4) AS short_term_avg,
+       round(long_term_avg, 4) AS long_term_avg, short_above_long, is_significant, signal FROM sma_signals)""")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("stream_sma_refresh", _sql_refreshed())
+def q_stream_sma_refresh(spark, sf_dir):
+    """S1 over three batches of one checkpoint, with a newer snapshot stored before each."""
+    from tickflow.functions.sides import stored
+    from tickflow.operators import signals as SG
+    from tickflow.session import work_path
+    from tickflow.sources import schemas as SC
+    from tickflow.sources import topics as TP
+    from tickflow.streaming import jobs as SJ
+    quotes, out = ({"format": "file", "path": work_path(spark, n)} for n in ("quote-topic", "sma-topic"))
+    versions, checkpoint = [], work_path(spark, "ckpt-s1-refresh")
+    t = FX.ticks(spark, sf_dir).select("symbol", "datetime", "open", "high", "low", "close", "volume")
+    for day, end in zip(REFRESH_DAYS, [*REFRESH_DAYS[1:], "9999-01-01"]):
+        part = t.filter((F.col("datetime") >= F.lit(day).cast("timestamp_ntz")) & (F.col("datetime") < F.lit(end).cast("timestamp_ntz")))
+        TP.write_topic(TP.encode(part, "symbol", timestamp="datetime"), quotes)
+        versions.append(stored(J.indicator_snapshot(FX.history_bars(spark, sf_dir, day), lookback=30), "snapshot"))
+        SJ.stream_sma_signals(spark, quotes, out, None, checkpoint, wait=True, starting="earliest", refresh=lambda: versions[-1])
+    back = SG.typed_signals(TP.decode(TP.read_topic(spark, out), SC.SMA_SIGNAL_MESSAGE))
+    return FX.comparable(FX.rounded(back, ["short_term_avg", "long_term_avg"]))
 
 
 @register("stream_resample", f"""WITH {SQL_TICKS}

@@ -8,7 +8,7 @@ DuckDB oracle. Every derived input grows with its source table.
 * live quotes - ticks from LIVE_START on (arrival time = ts)
 * long bars   - ``orders``: symbol = o_orderpriority, date = o_orderdate,
                 close_price = price of the highest order key that day, volume = orders that day
-* news        - ``documents``: symbol = source, title / description = text slices,
+* news        - ``documents``: symbol = source, title = first line, description = the other lines,
                 content = whole text, publishedAt = LIVE_START + doc_id minutes,
                 arrival timestamp = publishedAt + (doc_id % 7) seconds
 """
@@ -54,8 +54,8 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def history_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = ticks(spark, sf_dir).filter(F.col("datetime") < ts_lit(LIVE_START))
+def history_bars(spark: SparkSession, sf_dir: str, before=LIVE_START) -> DataFrame:
+    t = ticks(spark, sf_dir).filter(F.col("datetime") < ts_lit(before))
     day = B.resample(t, "1 day", ts="datetime", price="close", volume="volume", tie="event_id")
     return day.select("symbol", F.col("bar_start").alias("date"), "close", "volume") \
         .withColumnRenamed("close", "close_price")
@@ -80,9 +80,9 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(
         "doc_id",
         F.col("source").alias("symbol"),
-        F.substring("text", 1, 80).alias("title"),
+        F.substring_index("text", "\n", 1).alias("title"),
         published.alias("publishedAt"),
-        F.substring("text", 81, 200).alias("description"),
+        F.expr("if(instr(text, '\\n') = 0, '', substring(text, instr(text, '\\n') + 1))").alias("description"),
         F.concat(F.lit("https://example.org/d/"), F.col("doc_id").cast("string")).alias("url"),
         F.lit("documents").alias("source_name"),
         F.col("text").alias("content"),
@@ -91,6 +91,13 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def words_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lexicon of every word of the documents (thousands of terms, growing with the table):
+    polarity = (length mod 7 - 3) / 4."""
+    words = table(spark, sf_dir, "documents").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z']+"), F.lit(0))).alias("term"))
+    return words.distinct().select("term", ((F.length("term") % 7 - 3) / 4.0).alias("polarity"))
+
+
 def companies(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(COMPANIES, "symbol string, company string")
 

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickflow.functions.sides import stored
+
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Parquet table read (IO6); partition columns come from the folder names.
@@ -69,6 +72,35 @@ def replace_bars(df: DataFrame, path: str) -> None:
     replace_partitions(with_date_parts(df, "date"), path, ["symbol", "year", "month"])
 
 
+def replace_symbols(df: DataFrame, path: str) -> None:
+    """Store daily bars so that each loaded symbol's *whole* history is the load (IO8, symbol mode).
+
+    Months of these symbols that the load lacks go too. The months to write and to clear are staged
+    as one table first: an empty month is a partition whose file has no bar, which the dynamic
+    overwrite puts in place of the old one.
+    """
+    spark = df.sparkSession
+    new = with_date_parts(df, "date")
+    keys = ["symbol", "year", "month"]
+    try:
+        old = read_table(spark, path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # a first load
+            raise
+        replace_partitions(new, path, keys)
+        return
+    months = old.select(*keys).distinct().join(new.select("symbol").distinct(), "symbol", "left_semi")
+    gone = months.join(new.select(*keys).distinct(), keys, "left_anti")
+    values = [c for c in new.columns if c not in keys]
+    cleared = gone.select(*[F.lit(None).cast(new.schema[c].dataType).alias(c) for c in values], *keys)
+    replace_partitions(stored(new.select(*values, *keys).unionByName(cleared), "bars-load"), path, keys)
+
+
+def read_bars(spark: SparkSession, path: str) -> DataFrame:
+    """Stored bars without the marks that cleared months leave (a bar has a date)."""
+    return read_table(spark, path).filter(F.col("date").isNotNull())
+
+
 def append_partitions(df: DataFrame, path: str, partition_by: list[str]) -> bool:
     """Partitioned append, skipped when there is nothing to write (IO9).
 
@@ -81,18 +113,37 @@ def append_partitions(df: DataFrame, path: str, partition_by: list[str]) -> bool
     return True
 
 
-def signal_sink(path: str, partition_by: str = "batch_id", run_id=None):
-    """Idempotent ``foreachBatch`` writer for signal documents (IO11, S4).
+SIGNAL_PARTITIONS = ["day", "run_id", "batch_id"]
+
+
+def signal_sink(path: str, run_id=None):
+    """Idempotent ``foreachBatch`` writer for typed signals (IO11, S4).
 
-    Each micro-batch lands in its own ``batch_id`` partition with dynamic
-    overwrite, so a batch re-run after a failure replaces its own output
+    Signals rest with real timestamps under ``day/run_id/batch_id``. Each micro-batch has its own
+    partitions and overwrites them, so a batch re-run after a failure replaces its own output
     instead of duplicating it. ``run_id()`` names the streaming query (its id lives in
     the checkpoint), so that a new checkpoint, whose batches count from 0 again, adds
     partitions of its own.
     """
     def _write(batch: DataFrame, batch_id: int) -> None:
-        keys = {**({"run_id": F.lit(run_id())} if run_id else {}), partition_by: F.lit(int(batch_id))}
-        (batch.withColumns(keys)
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*keys).parquet(path))
+        keyed = batch.withColumns({"day": F.to_date("datetime"), "run_id": F.lit(run_id() if run_id else "run"), "batch_id": F.lit(int(batch_id))})
+        (keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*SIGNAL_PARTITIONS).parquet(path))
     return _write
+
+
+def read_signals(spark: SparkSession, path: str) -> DataFrame:
+    """The stored signals with their ``day`` partition, whatever runs and batches wrote them."""
+    found = spark.read.parquet(path)
+    fields = [T.StructField(f.name, {"day": T.DateType(), "run_id": T.StringType()}.get(f.name, f.dataType)) for f in found.schema]
+    return spark.read.schema(T.StructType(fields)).parquet(path).drop("run_id", "batch_id")
+
+
+def compact_signals(spark: SparkSession, path: str, out: str) -> None:
+    """Daily compaction (IO11): the signals of ``path`` as one run and batch a day under ``out``.
+
+    The compacted table is a new folder, so readers of the old one and a job that fails half-way
+    see whole tables only; a large day is still several files.
+    """
+    whole = read_signals(spark, path).withColumns({"run_id": F.lit("compacted"), "batch_id": F.lit(0)})
+    cluster_for_write(whole, ["day"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*SIGNAL_PARTITIONS).parquet(out)

@@ -53,25 +53,52 @@ def read_topic(spark: SparkSession, cfg: dict, since=None) -> DataFrame:
         else:
             reader = reader.option("startingOffsets", "earliest")
         return reader.load().select("key", "value", "timestamp")
-    df = spark.read.schema(TOPIC).parquet(cfg["path"])
+    df = spark.read.schema(TOPIC).parquet(cfg["path"]).select("key", "value", "timestamp")
     if since is not None:
         df = df.filter(F.col("timestamp") >= ts_lit(since, "timestamp"))
     return df
 
 
-def stream_topic(spark: SparkSession, cfg: dict, starting: str = "latest") -> DataFrame:
-    """Streaming read of a topic (IO5): new records only, data loss tolerated."""
+def stream_topic(spark: SparkSession, cfg: dict, starting="latest") -> DataFrame:
+    """Streaming read of a topic (IO5): data loss tolerated; ``starting`` holds for a fresh checkpoint only.
+
+    ``"latest"``: new records only, ``"earliest"``: all, else an instant: records from then on.
+    A file-backed topic keeps no offsets: ``"latest"`` leaves out the files that are there when the
+    query is defined (read as the largest record time in them, which ``latest_instant`` also gives
+    a caller who restarts a query from its checkpoint and must pass the same start).
+    """
     if cfg["format"] == "kafka":
-        return (spark.readStream.format("kafka")
-                .option("kafka.bootstrap.servers", cfg["servers"])
-                .option("subscribe", cfg["topic"])
-                .option("startingOffsets", starting)
-                .option("failOnDataLoss", "false")
-                .load().select("key", "value", "timestamp"))
+        reader = (spark.readStream.format("kafka")
+                  .option("kafka.bootstrap.servers", cfg["servers"])
+                  .option("subscribe", cfg["topic"])
+                  .option("failOnDataLoss", "false"))
+        reader = (reader.option("startingOffsets", starting) if starting in ("latest", "earliest")
+                  else reader.option("startingTimestamp", str(_millis(starting))))
+        return reader.load().select("key", "value", "timestamp")
     reader = spark.readStream.schema(TOPIC)
     if cfg.get("maxFilesPerTrigger"):
         reader = reader.option("maxFilesPerTrigger", str(cfg["maxFilesPerTrigger"]))
-    return reader.parquet(cfg["path"])
+    records = reader.parquet(cfg["path"]).select("key", "value", "timestamp")
+    if starting == "earliest":
+        return records
+    if starting == "latest":
+        newest = latest_instant(spark, cfg)
+        return records if newest is None else records.filter(F.col("timestamp") > ts_lit(newest, "timestamp"))
+    return records.filter(F.col("timestamp") >= ts_lit(starting, "timestamp"))
+
+
+def latest_instant(spark: SparkSession, cfg: dict) -> str | None:
+    """The largest record time of a file-backed topic, as text (one value); None while it is empty."""
+    return read_topic(spark, cfg).agg(F.date_format(F.max("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("t")).first()["t"]
+
+
+def write_batch(df: DataFrame, cfg: dict, batch_id: int) -> None:
+    """Write one micro-batch of encoded records; on a file-backed topic a replayed batch replaces itself."""
+    if cfg["format"] == "kafka":
+        write_topic(df, cfg)
+    else:
+        (df.select("key", "value", "timestamp", F.lit(int(batch_id)).alias("batch_id")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(cfg["path"]))
 
 
 def decode(df: DataFrame, schema: T.StructType, keep_ts: str | None = None) -> DataFrame:

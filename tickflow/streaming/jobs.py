@@ -6,35 +6,30 @@ decoded, cut off at the job start, joined to a static per-symbol table
 with a durable checkpoint (S4). S5 and S6 are where state lives: a windowed
 OHLCV aggregation and a title de-duplication, both bounded by a watermark.
 
-Static sides are materialised once under the shared checkpoint folder; their
-row count is then known, and only a table within ``BROADCAST_MAX_ROWS`` is
-broadcast (AQE does not re-plan inside micro-batches).
+A side is a stored table whose bytes the planner knows: broadcast within Spark's limit, else joined
+under salts (``functions/sides.py``; AQE does not re-plan inside micro-batches). By default it
+is frozen at job start. With ``refresh`` it is a function that gives the newest version, called for each
+micro-batch; batches are then written by ``foreachBatch``, each into its own folder of the output
+topic, so that a replayed batch replaces itself.
 """
 
 from __future__ import annotations
 
 import threading
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickflow.functions.sizing import row_count_at_most
+from tickflow.functions.sides import stored
 from tickflow.operators import bars as B
 from tickflow.operators import incremental as I
-from tickflow.operators import serving as SV
 from tickflow.operators import signals as SG
 from tickflow.sources import schemas as SC
 from tickflow.sources import tables as TB
 from tickflow.sources import topics as TP
 
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def materialize(df: DataFrame, path: str) -> tuple[DataFrame, bool]:
-    """Write a static side to ``path``, read it back, and say whether it may be broadcast."""
-    df.write.mode("overwrite").parquet(path)
-    back = df.sparkSession.read.parquet(path)
-    return back, row_count_at_most(back, BROADCAST_MAX_ROWS)
+Refresh = Callable[[], DataFrame]
 
 
 def _run(query, wait: bool):
@@ -43,68 +38,87 @@ def _run(query, wait: bool):
     return query
 
 
-def stream_sma_signals(spark: SparkSession, quotes_topic: dict, out_topic: dict, snapshot: DataFrame,
-                       checkpoint: str, snapshot_path: str, start=None, trigger: dict | None = None,
-                       wait: bool = False):
+def _decide(stream: DataFrame, side: DataFrame | None, refresh: Refresh | None, decide, out_topic: dict, fields: list[str],
+            checkpoint: str, trigger: dict | None, wait: bool):
+    """Write ``decide(rows, side)`` of a stream to a topic, with a frozen side or one re-read per batch."""
+    def encoded(rows: DataFrame, with_side: DataFrame) -> DataFrame:
+        # the output record keeps the input's arrival time (a broker would stamp its own)
+        return TP.encode(decide(rows, with_side).select(*fields, "kafka_timestamp"), "symbol", timestamp="kafka_timestamp", value_cols=fields)
+
+    if refresh is None:
+        return _run(TP.stream_to_topic(encoded(stream, side), out_topic, checkpoint, trigger or {"availableNow": True}), wait)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        TP.write_batch(encoded(batch, refresh()), out_topic, batch_id)
+
+    if not checkpoint:
+        raise ValueError("a checkpoint location is required")
+    q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append")
+         .trigger(**(trigger or {"availableNow": True})).start())
+    return _run(q, wait)
+
+
+def _messages(spark: SparkSession, topic: dict, schema, start, starting) -> DataFrame:
+    raw = TP.decode(TP.stream_topic(spark, topic, starting), schema, keep_ts="kafka_timestamp")
+    return raw if start is None else I.since(raw, "kafka_timestamp", start)
+
+
+def stream_sma_signals(spark: SparkSession, quotes_topic: dict, out_topic: dict, snapshot: DataFrame | None,
+                       checkpoint: str, snapshot_path: str | None = None, start=None, trigger: dict | None = None,
+                       wait: bool = False, starting="latest", refresh: Refresh | None = None):
     """Quote topic -> cut-off (F1) -> typed quotes (P2) -> snapshot join (J1) -> C1 -> topic.
 
-    The snapshot is frozen at job start (written once), as in the reference.
-    Quotes of symbols without history give no row.
+    The snapshot is frozen at job start (written once), as in the reference, or given by ``refresh``.
+    ``starting``: ``"latest"``, ``"earliest"`` or an instant (IO5). Quotes of symbols without
+    history give no row.
     """
-    snap, small = materialize(snapshot, snapshot_path)
-    raw = TP.decode(TP.stream_topic(spark, quotes_topic, "earliest"), SC.QUOTE_MESSAGE,
-                    keep_ts="kafka_timestamp")
-    if start is not None:
-        raw = I.since(raw, "kafka_timestamp", start)
-    quotes = B.typed_quotes(raw)
-    signals = (SG.attach_snapshot(quotes, snap, broadcast=small)
-               .withColumn("signal", SG.sma_signal())
-               .select(*SC.SMA_SIGNAL_FIELDS, "kafka_timestamp"))
-    # the output record keeps the input's arrival time (a broker would stamp its own)
-    encoded = TP.encode(signals, "symbol", timestamp="kafka_timestamp", value_cols=SC.SMA_SIGNAL_FIELDS)
-    q = TP.stream_to_topic(encoded, out_topic, checkpoint, trigger or {"availableNow": True})
-    return _run(q, wait)
+    def decide(quotes: DataFrame, snap: DataFrame) -> DataFrame:
+        return SG.attach_snapshot(quotes, snap).withColumn("signal", SG.sma_signal())
 
+    snap = None if refresh else stored(snapshot, "snapshot", snapshot_path)
+    quotes = B.typed_quotes(_messages(spark, quotes_topic, SC.QUOTE_MESSAGE, start, starting))
+    return _decide(quotes, snap, refresh, decide, out_topic, SC.SMA_SIGNAL_FIELDS, checkpoint, trigger, wait)
 
-def stream_combined_signals(spark: SparkSession, sma_topic: dict, out_topic: dict, day_sentiment: DataFrame,
-                            checkpoint: str, sentiment_path: str, start=None, trigger: dict | None = None,
-                            wait: bool = False):
-    """SMA signal topic -> cut-off -> P2 -> day sentiment (J2, left) -> C3 -> topic."""
-    sent, small = materialize(day_sentiment.select("symbol", "day", "sentiment_signal"), sentiment_path)
-    raw = TP.decode(TP.stream_topic(spark, sma_topic, "earliest"), SC.SMA_SIGNAL_MESSAGE,
-                    keep_ts="kafka_timestamp")
-    if start is not None:
-        raw = I.since(raw, "kafka_timestamp", start)
-    typed = raw
+
+def stream_combined_signals(spark: SparkSession, sma_topic: dict, out_topic: dict, day_sentiment: DataFrame | None,
+                            checkpoint: str, sentiment_path: str | None = None, start=None, trigger: dict | None = None,
+                            wait: bool = False, starting="latest", refresh: Refresh | None = None):
+    """SMA signal topic -> cut-off -> P2 -> day sentiment (J2, left) -> C3 -> topic.
+
+    ``starting`` and ``refresh`` as for ``stream_sma_signals``.
+    """
+    def decide(signals: DataFrame, sentiment: DataFrame) -> DataFrame:
+        return SG.attach_sentiment(signals, sentiment.select("symbol", "day", "sentiment_signal")).withColumn("combined_signal", SG.combined_signal())
+
+    sent = None if refresh else stored(day_sentiment.select("symbol", "day", "sentiment_signal"), "day-sentiment", sentiment_path)
+    typed = _messages(spark, sma_topic, SC.SMA_SIGNAL_MESSAGE, start, starting)
     for c in ("open", "high", "low", "close", "volume"):
         typed = typed.withColumn(c, F.col(c).try_cast("double"))
     typed = (typed.withColumn("datetime", F.try_to_timestamp("datetime"))
              .withColumnRenamed("signal", "sma_signal")
              .withColumn("day", F.to_date("datetime")))
-    combined = (SG.attach_sentiment(typed, sent, broadcast=small)
-                .withColumn("combined_signal", SG.combined_signal())
-                .select(*SC.COMBINED_SIGNAL_FIELDS, "kafka_timestamp"))
-    encoded = TP.encode(combined, "symbol", timestamp="kafka_timestamp",
-                        value_cols=SC.COMBINED_SIGNAL_FIELDS)
-    q = TP.stream_to_topic(encoded, out_topic, checkpoint, trigger or {"availableNow": True})
-    return _run(q, wait)
+    return _decide(typed, sent, refresh, decide, out_topic, SC.COMBINED_SIGNAL_FIELDS, checkpoint, trigger, wait)
 
 
 def stream_signal_sink(spark: SparkSession, combined_topic: dict, path: str, checkpoint: str,
-                       trigger: dict | None = None, wait: bool = False):
-    """S3 + S4: combined signal topic -> typed (P3) -> documents (P14) -> idempotent batch sink (IO11)."""
+                       trigger: dict | None = None, wait: bool = False, starting="earliest"):
+    """S3 + S4: combined signal topic -> typed (P3) -> idempotent batch sink (IO11).
+
+    Signals rest typed, in day partitions; ``serving`` reads them from there and renders
+    documents (P14). Like the reference's sink, it sets no start of its own by default.
+    """
     if not checkpoint:
         raise ValueError("a checkpoint location is required")
-    raw = TP.decode(TP.stream_topic(spark, combined_topic, "earliest"), SC.COMBINED_SIGNAL_MESSAGE,
+    raw = TP.decode(TP.stream_topic(spark, combined_topic, starting), SC.COMBINED_SIGNAL_MESSAGE,
                     keep_ts="kafka_timestamp")
-    docs = SV.signal_document(SG.typed_signals(raw))
     known, started = {}, threading.Event()
 
     def run_id() -> str:
-        started.wait(60)
+        if not started.wait(600):
+            raise TimeoutError("the query's id is not known yet; the batch is tried again")
         return known["id"]
 
-    q = (docs.writeStream.foreachBatch(TB.signal_sink(path, run_id=run_id))
+    q = (SG.typed_signals(raw).writeStream.foreachBatch(TB.signal_sink(path, run_id=run_id))
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(**(trigger or {"availableNow": True})).start())
     known["id"] = str(q.id)
