@@ -134,9 +134,10 @@ def brute_components(texts, k, percent):
     return [len(s) for s in sets], [find(i) for i in range(len(sets))]
 
 
-@pytest.mark.parametrize("k,percent", [(3, 90), (5, 80)])
-def test_jaccard_join_equals_brute_force(spark, k, percent, monkeypatch):
+@pytest.mark.parametrize("k,percent,leaf", [(3, 90, 1), (5, 80, 1), (3, 90, 2000), (5, 80, 2000)])
+def test_jaccard_join_equals_brute_force(spark, k, percent, leaf, monkeypatch):
     monkeypatch.setattr(jaccard_join, "PIVOTS", 2)
+    monkeypatch.setattr(jaccard_join, "LEAF_NODES", leaf)  # 1: all by pivots
     rng = np.random.default_rng(k)
     passage = [f"passage{i}" for i in range(30)]
     texts = [None, "", "One two", "one TWO", "x", " \n"]
@@ -157,7 +158,9 @@ def test_jaccard_join_equals_brute_force(spark, k, percent, monkeypatch):
     assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [i for i, r in enumerate(roots) if r == i]
 
 
-def test_jaccard_join_pivots_of_other_regions(spark, monkeypatch):
+@pytest.mark.parametrize("leaf", [1, 5, 2000])
+def test_jaccard_join_pivots_of_other_regions(spark, monkeypatch, leaf):
+    monkeypatch.setattr(jaccard_join, "LEAF_NODES", leaf)
     monkeypatch.setattr(jaccard_join, "PIVOTS", 2)
     monkeypatch.setattr(jaccard_join, "SPLIT_GAIN", 1e9)  # every region splits
     rng = np.random.default_rng(11)
@@ -174,6 +177,22 @@ def test_jaccard_join_pivots_of_other_regions(spark, monkeypatch):
     assert {r.node: r.root for r in join.roots.collect()} == {2 * c + 1: 2 * c for c in range(30)}
 
 
+@pytest.mark.parametrize("k,percent", [(3, 90), (5, 80)])
+def test_jaccard_join_of_a_group_at_the_threshold(spark, k, percent):
+    """Many copies of one text, each edited about as much as a link allows, and a passage that many other texts share."""
+    rng = np.random.default_rng(percent)
+    base, passage = [f"w{i}" for i in range(120)], [f"p{i}" for i in range(60)]
+    texts = [" ".join(passage + [f"o{i}x{j}" for j in range(int(rng.integers(3, 60)))]) for i in range(80)]
+    for i in range(120):
+        own = list(base)
+        for at in rng.choice(120, int(rng.integers(0, 5 if percent == 90 else 8)), replace=False):
+            own[at] = f"v{int(rng.integers(0, 10))}"
+        texts.append(" ".join(own))
+    sizes, roots = brute_components(texts, k, percent)
+    got = {r.doc_id: r for r in jaccard_join.linked_components(frame(spark, [(i, t, "s") for i, t in enumerate(texts)]), k, percent).collect()}
+    assert [got[i].component_id for i in range(len(texts))] == roots and len(set(roots)) > 3
+
+
 def test_jaccard_join_edges(spark):
     docs = frame(spark, [(1, "a b c d", "s"), (1, "a b c d", "s"), (None, "a b c d", "s"), (2, None, "s")])
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in jaccard_join.linked_components(docs, 3, 90).collect())

@@ -13,16 +13,22 @@ little in size, so sizes are cut into classes, with the sets near a boundary in
 most D shingles; a hash cuts the shingle space into T > D parts, so that they agree wholly on at least
 T - D of them, and every part of a set that is not empty is a region. Where a set has T - D empty parts
 or more, all agreement could be on empty ones: such a set also joins the regions of its first
-n - ceil(n p / 100) + 1 shingles, of which two linked sets share one. Regions are then joined recursively and exactly:
+n - ceil(n p / 100) + 1 shingles, of which two linked sets share one.
+
+Sets that share such a region are few, but among them are those that share a long passage and no link.
+The second regions are therefore their rarest shingles: of n shingles ordered by the number of these sets
+that hold them, two linked sets share one of the first n - ceil(n p / 100) + 1, and what a passage brings
+to many sets stands at the end of that order. Regions are then joined recursively and exactly:
 
 1. Equal sets are one node. A region of a single node is done.
 2. Each node is compared with the smallest pivot of its regions; links make components. A region
-   whose nodes are in one component is done; in the others, all nodes are compared with its own pivot,
-   and regions with the same pivot become one.
-3. Regions that hold several components still draw more pivots (eight times as many a round), split into
-   Voronoi regions with replicated boundaries wherever that separates them, and go on without the pivots
-   until each has one component. Nothing is capped: a region of g unrelated nodes ends with all of
-   them compared.
+   whose nodes are in one component is done; in the others, all nodes are compared with its own pivot.
+3. A region that still holds several components and is small is a leaf: its sets move once, and one
+   task counts what each node outside the largest component has in common with the others.
+4. Larger ones draw more pivots (eight times as many a round), split into Voronoi regions with
+   replicated boundaries wherever that separates them, and go on without the pivots until each has one
+   component or is a leaf. Nothing is capped: a region of g unrelated nodes that no pivot separates ends
+   with all of them compared.
 
 Shingles are compared as 64-bit hashes, on whole sets. Skew: copies are collapsed before regions are
 built; rows in regions are two numbers; components and minima are pre-aggregated, and the rows of a hot
@@ -61,6 +67,8 @@ from tickflow.llm.components import components
 CLASS_RATIO = 1.4
 #: Pivots of a region in the first round of the recursion; each round has eight times as many.
 PIVOTS = 16
+#: A region of at most so many nodes and shingles in all is joined within one task.
+LEAF_NODES, LEAF_SHINGLES = 2_000, 1_000_000
 #: Word hashes that a worker keeps; above, it starts afresh.
 WORDS_KEPT = 400_000
 #: A split into Voronoi regions is used when it replicates rows by less than this factor.
@@ -214,12 +222,31 @@ def _split(rows: DataFrame, far: DataFrame, e: float) -> DataFrame:
     return whole.join(done, ["region", "node"], "left_anti").unionByName(parts)
 
 
+def _rare_regions(sets: DataFrame, percent: int) -> DataFrame:
+    """(region, node, pivot): the sets that share one of their rarest shingles, with the smallest of them.
+
+    Of n shingles in one common order, linked sets share one of their first n - ceil(n p / 100) + 1;
+    the order here is by how many of the sets hold a shingle, then by its hash.
+    """
+    each = sets.select("node", F.col("n").alias("_n"), F.explode("shingles").alias("region"))
+    several = each.groupBy("region").agg(F.count(F.lit(1)).alias("_sets")).filter("_sets > 1")
+    by_set = Window.partitionBy("node")
+    place = F.row_number().over(by_set.orderBy("_sets", "region"))
+    # a set's shingles that no other set holds come first and need no region
+    alone = F.col("_n") - F.count(F.lit(1)).over(by_set)
+    first = F.col("_n") - F.expr(f"(_n * {percent} + 99) div 100") + 1
+    kept = shared_table(each.join(several, "region").withColumn("_place", place + alone).filter(F.col("_place") <= first).select("region", "node"), "rare-shingles")
+    pivots = kept.groupBy("region").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).filter("pivot < _last").select("region", "pivot")
+    return kept.join(pivots, "region").filter("pivot < node").select("region", "node", "pivot")
+
+
 class Join:
     """Distances taken so far, the links found and the components that they make."""
 
     def __init__(self, sets: DataFrame, percent: int):
         self.sets, self.percent, self.e = sets, percent, (100 - percent) / 100
-        self.known = self.roots = None
+        self.known = None
+        self.roots = sets.sparkSession.createDataFrame([], "node bigint, root bigint")
 
     def compare(self, pairs: DataFrame) -> None:
         """Distances of the pairs (node > pivot) that are not known yet; new links join components."""
@@ -228,9 +255,7 @@ class Join:
         fresh = shared_table(_distances(pairs, self.sets, self.percent), "distances")
         self.known = fresh if self.known is None else self.known.unionByName(fresh)
         links = fresh.filter("linked").select(F.col("node").alias("u"), F.col("pivot").alias("v"))
-        if self.roots is None:
-            self.roots = components(links)
-        elif not links.isEmpty():
+        if not links.isEmpty():
             self.roots = components(links.union(self.roots))
 
     def both_ways(self) -> DataFrame:
@@ -242,10 +267,53 @@ class Join:
         several = labelled.groupBy("region").agg(F.min("_root").alias("_a"), F.max("_root").alias("_b")).filter("_a < _b").select("region")
         return shared_table(rows.join(several, "region", "left_semi"), "open")
 
+    def join_leaves(self, rows: DataFrame) -> None:
+        """Find the links between components inside each small region (region, node) of ``rows``."""
+        # regions of the very same nodes are one
+        nodes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("_c"), F.bit_xor(F.xxhash64("node")).alias("_x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("_y"))
+        once = nodes.groupBy("_c", "_x", "_y").agg(F.min("region").alias("region")).select("region")
+        labelled = rows.join(once, "region", "left_semi").join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        members = labelled.join(self.sets, "node").select("region", "node", "root", "n", "shingles")
+        percent = self.percent
+
+        def run(region: pa.Table) -> pa.Table:
+            region = region.combine_chunks()
+            node, root, n = (region[c].to_numpy() for c in ("node", "root", "n"))
+            owner = np.repeat(np.arange(len(n)), n)
+            # a shingle of one set alone is common to none
+            _, number, held = np.unique(region["shingles"].combine_chunks().flatten().to_numpy(), return_inverse=True, return_counts=True)
+            by_shingle = owner[np.argsort(number, kind="stable")]
+            first = np.cumsum(held) - held
+            ends = np.cumsum(n)
+            roots, sizes = np.unique(root, return_counts=True)
+            u, v = [], []
+            for i in np.flatnonzero(root != roots[sizes.argmax()]).tolist():
+                own = number[ends[i] - n[i]:ends[i]]
+                own = own[held[own] > 1]
+                count = held[own]
+                places = np.arange(count.sum()) + np.repeat(first[own] - (np.cumsum(count) - count), count)
+                common = np.bincount(by_shingle[places], minlength=len(n))
+                found = np.flatnonzero((100 * common >= percent * (n[i] + n - common)) & (root != root[i]))
+                found = found[np.unique(root[found], return_index=True)[1]]  # one link to each component
+                u += [node[i]] * len(found)
+                v += node[found].tolist()
+            return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+        links = shared_table(members.groupBy("region").applyInArrow(run, "u bigint, v bigint"), "leaf-links")
+        if not links.isEmpty():
+            self.roots = components(links.union(self.roots))
+
     def search(self, rows: DataFrame) -> None:
         """Join every region of ``rows`` (region, node), recursively, until each holds one component."""
         pivots_each = PIVOTS
         while not rows.isEmpty():
+            weight = rows.join(self.sets.select("node", "n"), "node").groupBy("region").agg(F.count(F.lit(1)).alias("_nodes"), F.sum("n").alias("_shingles"))
+            large = weight.filter((F.col("_nodes") > LEAF_NODES) | (F.col("_shingles") > LEAF_SHINGLES)).select("region")
+            large = shared_table(large, "large")
+            self.join_leaves(rows.join(large, "region", "left_anti"))
+            rows = rows.join(large, "region", "left_semi")
+            if large.isEmpty():
+                return
             salt = F.pmod(F.xxhash64("node", F.lit(pivots_each)), F.lit(pivots_each)).alias("_salt")
             chosen = rows.groupBy("region", salt).agg(F.min("node").alias("pivot")).select("region", "pivot")
             asked = shared_table(rows.join(chosen, "region").filter("node <> pivot"), "asked")
@@ -277,14 +345,15 @@ def _linked_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
     twice = others.withColumnRenamed("digest", "_digest").join(members, (F.col("_digest") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     if not twice.isEmpty():
         sets = sets.dropDuplicates(["node"])
-    join = Join(shared_table(sets, "sets"), percent)
+    sets = shared_table(sets, "sets")
+    rows = shared_table(_rare_regions(sets, percent), "rare")
+    shared = shared_table(rows.select("region", "pivot").distinct(), "pivots")
+    join = Join(sets, percent)
     join.compare(rows.groupBy("node").agg(F.min("pivot").alias("pivot")))
     both = rows.select("region", "node").union(shared.select("region", F.col("pivot").alias("node")))
     left = join.unresolved(both)
     join.compare(rows.join(left.select("region").distinct(), "region", "left_semi").select("node", "pivot").distinct())
-    # regions with one pivot hold much the same nodes (parts of one passage): they become one, whose pivot has met all its nodes
-    merged = left.join(shared, "region").filter("pivot <> node").select(F.col("pivot").alias("region"), "node").distinct()
-    join.search(join.unresolved(shared_table(merged, "merged")))
+    join.search(join.unresolved(left.select("region", "node")))
     named = same.join(join.roots, "node", "left").select("digest", "node", "n_copies", "least", F.coalesce("root", "node").alias("root"))
     return found.select("row", "doc_id", "n", "digest"), shared_table(named, "linked")
 
