@@ -17,6 +17,7 @@ empty result; ``deduplicate`` returns the input's columns whatever their names.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -27,8 +28,6 @@ from tickflow.llm.common import SPACE_RUN, shared_table
 MIN_CHARS, MAX_CHARS = 1024, 8192
 #: A chunk ends after such a pair of characters, as soon as it has MIN_CHARS.
 CUT = "[a-dk-mA-D0-4,;][ e-hn-q.E-H5-9]"
-#: Draws of identifiers before giving up; a second one is needed once in 10^17 corpora of 10^10 chunks.
-DRAWS = 5
 
 
 def normalised(text: Column) -> Column:
@@ -56,11 +55,10 @@ def chunk_store(docs: DataFrame, text: str = "text", draw: int = 0,
 
 def verified_draw(docs: DataFrame, text: str = "text", identify: Callable[[int, Column], list[Column]] = identifier) -> int:
     """The first draw under which no identifier stands for two chunks (checked on the chunks themselves)."""
-    for draw in range(DRAWS):
+    for draw in itertools.count():  # a second draw is needed once in 10^17 corpora of 10^10 chunks
         shared = chunk_store(docs, text, draw, identify).groupBy("id_a", "id_b").count().filter("count > 1")
         if shared.isEmpty():
             return draw
-    raise RuntimeError("chunk identifiers collide in every draw")
 
 
 def recipes(docs: DataFrame, draw: int, text: str = "text", identify: Callable[[int, Column], list[Column]] = identifier) -> DataFrame:
@@ -86,18 +84,16 @@ def deduplicate(docs: DataFrame, text: str = "text") -> DataFrame:
     Only ids of dropped rows meet the documents. Rows repeated under one doc_id are rare; they alone
     are told apart by content.
     """
-    columns = docs.columns
     found = shared_table(group_equal(docs, text), "dedup")
     gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    sha = F.sha2(normalised(docs[text]), 256)
-    marked = docs.withColumn("_sha_of", sha)
-    kept = marked.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha_of") == F.col("_sha")), "left_anti")
+    marked = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_doc"), F.sha2(normalised(docs[text]), 256).alias("_sha_of"))
+    same = F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_sha_of") == F.col("_sha"))
+    kept = marked.join(gone, same, "left_anti")
     repeated = found.filter("kept").groupBy(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).count().filter("count > 1").select("_id", "_sha")
     if repeated.isEmpty():
-        return kept.select(*columns)
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha_of") == F.col("_sha"))
-    once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_sha_of"])
-    return kept.join(repeated, same, "left_anti").unionByName(once).select(*columns)
+        return kept.select("row.*")
+    once = kept.join(repeated, same, "left_semi").dropDuplicates(["_doc", "_sha_of"])
+    return kept.join(repeated, same, "left_anti").unionByName(once).select("row.*")
 
 
 def op5_exact_dedup(spark, sf_dir: str) -> DataFrame:

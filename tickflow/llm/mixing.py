@@ -163,19 +163,19 @@ def mix(docs: DataFrame, text: str = "text", **options) -> DataFrame:
 
     Rows that share doc_id, source, size and content are interchangeable; their copies are dealt out in order.
     """
-    columns = docs.columns
     key = ["_id", "_source", "_size", "_mark"]
     twin = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
     taken = (plan(docs, text, **options).select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
                                                 F.col("mark").alias("_mark"), "copies")
              .groupBy(*key).agg(F.sort_array(F.collect_list("copies"), asc=False).alias("_copies")))
-    left = docs.withColumns({"_id": F.col("doc_id"), "_source": F.col("source").cast("string"), "_size": n_words(docs[text]), "_mark": F.xxhash64(docs[text])})
+    left = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("_id"), F.col("source").cast("string").alias("_source"),
+                       n_words(docs[text]).alias("_size"), F.xxhash64(docs[text]).alias("_mark"))
     left = left.withColumn("_twin", twin)
     right = taken.select(*[F.col(k).alias(f"{k}2") for k in key], "_copies")
     same = [F.col(k).eqNullSafe(F.col(f"{k}2")) for k in key]
     times = F.element_at("_copies", F.col("_twin")).cast("int")
     return (left.join(right, same).withColumn("_times", times).filter("_times > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*columns))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("row.*"))
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:

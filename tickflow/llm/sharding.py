@@ -124,7 +124,8 @@ def shuffle_to_shards(rows: DataFrame, key: list[str], n_shards: int = 8, seed:
     ``key``: columns that tell rows apart; together with the seed they decide everything.
     """
     rows = rows.drop("shard", "slot")
-    columns = rows.columns
+    rows = rows.select(F.struct("*").alias("row"), *[F.col(k).alias(f"_key{i}") for i, k in enumerate(key)])
+    key, columns = [f"_key{i}" for i in range(len(key))], rows.columns
     n_rows = rows.count()
     levels = 1
     while fan_out ** levels * rows_a_block < n_rows:
@@ -152,7 +153,7 @@ def shuffle_to_shards(rows: DataFrame, key: list[str], n_shards: int = 8, seed:
     offsets = offsets.select("_s", "_b", (F.sum("_n").over(Window.partitionBy("_s").orderBy("_b")) - F.col("_n")).alias("_offset"))
     within = F.row_number().over(Window.partitionBy("shard", "_sub").orderBy(F.shiftright("_second", 7), "_second", *key))
     return (arrived.withColumn("_within", within).join(offsets, (F.col("shard") == F.col("_s")) & (F.col("_sub") == F.col("_b")))
-            .select(*columns, "shard", (F.col("_offset") + F.col("_within") - 1).alias("slot")))
+            .select("row.*", "shard", (F.col("_offset") + F.col("_within") - 1).alias("slot")))
 
 
 def op2_sharding(spark, sf_dir: str) -> DataFrame:

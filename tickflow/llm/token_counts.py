@@ -189,10 +189,11 @@ def count_edits(docs: DataFrame, vocab: str, pattern: str, edits: str = "edits",
 
 
 def attach_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
-    """``docs`` with the column edits, from rows (doc_id, seq, start, stop, insert)."""
+    """``docs`` with the column edits, from rows (doc_id, seq, start, stop, insert); a null start or stop counts as 0."""
     listed = (edits.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("seq", "start", "stop", "insert"))).alias("_e"))
               .select(F.col("doc_id").alias("_id"), F.transform("_e", lambda e: F.struct(e["start"].alias("start"), e["stop"].alias("stop"), e["insert"].alias("insert"))).alias("edits")))
-    return docs.drop("edits").join(listed, F.col("doc_id").eqNullSafe(F.col("_id")), "left").drop("_id")
+    rows = docs.drop("edits").select(F.struct("*").alias("row"), F.col("doc_id").alias("_doc"))
+    return rows.join(listed, F.col("_doc").eqNullSafe(F.col("_id")), "left").select("row.*", "edits")
 
 
 # fixed values: personal data that redaction replaces, and what it puts there
