@@ -32,7 +32,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tickflow.llm.common import map_in_arrow
+from tickflow.llm.common import keep, map_in_arrow
 
 #: Pre-tokens of one run of the recursive query: bounds its memory, not what is encoded.
 WORDS_A_RUN = 60_000
@@ -238,6 +238,7 @@ def _as_bytes(text: str) -> bytes:
 
 @functools.lru_cache(maxsize=2)
 def _codec(path: str, pattern: str) -> _Codec:
+    keep("bpe", _codec.cache_clear)
     return _Codec(path, pattern)
 
 
@@ -282,7 +283,7 @@ def _map_texts(df: DataFrame, vocab: str, pattern: str, text: str, fields: list[
                     [part.column(n) for n in names] + [pa.array(m, _ARROW[f.dataType.simpleString()]) for m, f in zip(made, fields)],
                     names=names + [f.name for f in fields])
 
-    return map_in_arrow(df, run, schema)
+    return map_in_arrow(df, run, schema, "bpe")
 
 
 _ARROW = {"bigint": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32()), "binary": pa.binary()}
@@ -308,7 +309,7 @@ def decode(df: DataFrame, vocab: str, pattern: str, ids: str = "ids") -> DataFra
                 coded = [np.asarray(x or [], dtype="<u4").tobytes() for x in part.column(ids).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + [pa.array(codec.decode(coded), pa.binary())], names=[*names, "decoded"])
 
-    return map_in_arrow(df, run, T.StructType([*kept, T.StructField("decoded", T.BinaryType())]))
+    return map_in_arrow(df, run, T.StructType([*kept, T.StructField("decoded", T.BinaryType())]), "bpe")
 
 
 def digests(docs: DataFrame, vocab: str, pattern: str, text: str = "text") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import zipfile
+from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,7 +55,28 @@ def _shipped(application: str) -> bool:
     return True
 
 
-def map_in_arrow(df: DataFrame, run, schema) -> DataFrame:
-    """``df.mapInArrow`` for functions of this package, which executors need not have installed."""
+#: What a Python worker keeps for later tasks of one operator: its name, and how to let go of it.
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keep(name: str, release: Callable[[], None]) -> None:
+    """Called in a worker: ``release`` runs there before another operator's task starts."""
+    _kept[name] = release
+
+
+def _release_others(name: str) -> None:
+    for other in [k for k in _kept if k != name]:
+        _kept.pop(other)()
+
+
+def map_in_arrow(df: DataFrame, run, schema, keeps: str = "") -> DataFrame:
+    """``df.mapInArrow`` for functions of this package, which executors need not have installed.
+
+    ``keeps``: the name under which its tasks keep things; workers outlive a stage, and what others kept goes first.
+    """
     _shipped(df.sparkSession.sparkContext.applicationId)
-    return df.mapInArrow(run, schema)
+
+    def alone(batches):
+        _release_others(keeps)
+        yield from run(batches)
+    return df.mapInArrow(alone, schema)

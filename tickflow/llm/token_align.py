@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickflow.llm.common import _shipped, map_in_arrow, read_table, shared_table
+from tickflow.llm.common import _shipped, keep, map_in_arrow, read_table, shared_table
 
 #: Bytes of text after which a chunk is closed (a longer document is a chunk of its own).
 CHUNK_BYTES = 4_000_000
@@ -134,6 +134,7 @@ class Pair:
 
 @functools.lru_cache(maxsize=2)
 def _pair(a_path: str, b_path: str) -> Pair:
+    keep("token_align", _pair.cache_clear)
     return Pair(a_path, b_path)
 
 
@@ -247,7 +248,7 @@ def token_groups(docs: DataFrame, a_path: str, b_path: str, text: str = "text")
                 groups = pa.ListArray.from_arrays(pa.array(got.g_starts, pa.int32()), parts)
                 yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + [a_lists, b_lists, groups], names=[f.name for f in kept + made])
 
-    return map_in_arrow(docs, run, T.StructType(kept + made))
+    return map_in_arrow(docs, run, T.StructType(kept + made), "token_align")
 
 
 def _runs(column: pa.Array) -> Iterator[tuple[int, int]]:
@@ -319,7 +320,7 @@ def _chunks(docs: DataFrame, a_path: str, b_path: str, text: str) -> DataFrame:
         if held:
             yield close(held)
 
-    return map_in_arrow(docs, run, schema)
+    return map_in_arrow(docs, run, schema, "token_align")
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> DataFrame:
