@@ -17,6 +17,9 @@ from tickflow.session import work_path
 SPACE_RUN = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Spark's setting that removes a query's shuffle files when the query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -26,11 +29,17 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the cluster's shared checkpoint folder and read it back.
 
     Later steps then start from stored files: a lost executor costs no more than its own tasks,
-    nothing is computed twice, and the planner knows the table's real size.
+    nothing is computed twice, and the planner knows the table's real size. Once it is stored, nobody
+    reads the shuffle files that made it, so Spark is told to remove them with the write.
     """
-    path = work_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, work_path(df.sparkSession, f"llm-{name}")
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def uniform(*keys: Column) -> Column:
