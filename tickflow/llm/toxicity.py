@@ -39,6 +39,8 @@ EVIDENCE = 6.0
 SEEN = 5
 THRESHOLD = 0.6
 WORDS_KEPT = 200_000
+#: Documents whose features a task holds at once.
+BATCH = 500
 PREFIXES = (4, 5)
 
 
@@ -142,10 +144,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, categories: list[str], sam
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = _Features()
-        for b in batches:
-            found = [document_features(t, memory).astype(np.int32) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("fold"), *[b.column(n) for n in names], pa.array(found, pa.list_(pa.int32()))],
-                                             names=["doc_id", "fold", *names, "features"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, BATCH):
+                b = whole.slice(start, BATCH)
+                found = [document_features(t, memory).astype(np.int32) for t in b.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("fold"), *[b.column(n) for n in names], pa.array(found, pa.list_(pa.int32()))],
+                                                 names=["doc_id", "fold", *names, "features"])
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("fold", T.IntegerType()), *[T.StructField(n, T.IntegerType()) for n in names],
                            T.StructField("features", T.ArrayType(T.IntegerType()))])
@@ -170,10 +174,12 @@ def score(docs: DataFrame, chain: list[Linear], categories: list[str], threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = _Features()
-        for b in batches:
-            p = chain_predict(sent.value, [document_features(t, memory) for t in b.column("text").to_pylist()])
-            yield pa.RecordBatch.from_arrays([b.column(f.name) for f in kept] + [pa.array(p[:, k]) for k in range(p.shape[1])] + [pa.array(p[:, -1] >= threshold)],
-                                             names=[f.name for f in kept + fields])
+        for whole in batches:
+            for start in range(0, whole.num_rows, BATCH):
+                b = whole.slice(start, BATCH)
+                p = chain_predict(sent.value, [document_features(t, memory) for t in b.column("text").to_pylist()])
+                yield pa.RecordBatch.from_arrays([b.column(f.name) for f in kept] + [pa.array(p[:, k]) for k in range(p.shape[1])] + [pa.array(p[:, -1] >= threshold)],
+                                                 names=[f.name for f in kept + fields])
 
     return map_in_arrow(docs, run, T.StructType(kept + fields))
 
