@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
+import sys
 import tempfile
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +81,15 @@ def _release_others(name: str) -> None:
         _kept.pop(other)()
 
 
+def _give_back() -> None:
+    """Return free memory to the system: a worker outlives its tasks, and the allocators keep what they freed."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+
+
 def map_in_arrow(df: DataFrame, run, schema, keeps: str = "") -> DataFrame:
     """``df.mapInArrow`` for functions of this package, which executors need not have installed.
 
@@ -87,5 +99,7 @@ def map_in_arrow(df: DataFrame, run, schema, keeps: str = "") -> DataFrame:
 
     def alone(batches):
         _release_others(keeps)
+        _give_back()
         yield from run(batches)
+        _give_back()
     return df.mapInArrow(alone, schema)
