@@ -1,6 +1,7 @@
 """Operators that work on each document alone: token counts, HTML text, BPE, toxicity, chats."""
 
 import hashlib
+import re
 import struct
 
 import numpy as np
@@ -96,6 +97,65 @@ def test_html_implied_head_and_whole_properties(page, text):
     assert html_text.page_text(page) == text
 
 
+@pytest.mark.parametrize("page,text", [
+    ("<b>x<p>y</b>z</p>q", "x\n\nyz\n\nq"), ("<div>a<table><td>b</div>c</table>d</div>e", "a\n\nbc\n\nd\ne"), ("<ul><li>a<ul></li><li>b</ul></ul>", "- a\n  - b"),
+    ("<div style='visibility:hidden'>a <span style='visibility:visible'>b</span> c</div>d", "b\nd"),
+    ("<ul style='visibility:hidden'><li>a<li style='visibility:visible'>b</ul>", "- b"),
+    ("<details><summary>s</summary>body<details open>x</details></details>y", "s\ny"), ("<details open><summary>s</summary>body</details>", "s\nbody"), ("<details>body</details>y", "y"),
+    ("<p style='display:none;display:block'>x", "x"), ("<p style='display:none;display:bogus'>x", ""), ("<p style='display:none!important;display:block'>x", ""),
+    ("<p hidden style='display:block'>x", "x"), ("<p style='background:url(\"a;display:none\")'>x", "x"), ("<p style='display:none' style='display:block'>x", ""),
+    ("<pre>\n a\n</pre>", " a"), ("<pre>\r\n\n a</pre>", "\n a"), ("x<pre>\n\n a</pre>", "x\n\n\n a"),
+    ("<table><tr><td colspan=2>wide cell<td>z<tr><td>a<td>b<td>c</table>", "wide cell | z\na | b     | c"),
+    ("<table><tr><td rowspan=2>r<td>a<tr><td>b<tr><td>c<td>d</table>", "r | a\n  | b\nc | d"),
+    ("<table><tr><td colspan=1000>a<td>b<tr><td>c</table>", "a | b\nc"), ("<table><tr><td rowspan=0>r<td>a<tr><td>b<tr><td>c</table>", "r | a\n  | b\n  | c"),
+    ("<table><tr><td colspan=x rowspan=-1>a<td colspan=0>b</table>", "a | b"), ("<table><tr><td rowspan=99999999999>a<td>b<tr><td>c</table>", "a | b\n  | c"),
+])
+def test_html_visibility_spans_and_end_tags(page, text):
+    assert html_text.page_text(page) == text
+
+
+def grid_of(rows):
+    """Cells laid out one grid square after the other: the text that starts in each square, or None where a cell reaches."""
+    taken, columns = {}, 0
+    for r, row in enumerate(rows):
+        c = 0
+        for text, across, down in row:
+            while (r, c) in taken:
+                c += 1
+            for i in range(r, min(len(rows), r + down)):
+                for j in range(c, c + across):
+                    taken.setdefault((i, j), (text if (i, j) == (r, c) else None, (r, c)))
+            c += across
+            columns = max(columns, c)
+    return taken, columns
+
+
+def test_html_tables_equal_a_grid_walk():
+    """Random spans: every text of a row starts where the texts of its column start."""
+    rng = np.random.default_rng(11)
+    for _ in range(300):
+        rows, n = [], 0
+        for _ in range(int(rng.integers(1, 5))):
+            row = []
+            for _ in range(int(rng.integers(1, 4))):
+                row.append((f"t{n:02}" + "x" * int(rng.integers(0, 6)), 1 if rng.random() < 0.6 else int(rng.integers(2, 4)), 1))
+                n += 1
+            rows.append(row)
+        rows[0] = [(t, a, int(rng.integers(1, 3))) for t, a, _ in rows[0]]
+        page = "<table>" + "".join("<tr>" + "".join(f"<td colspan={a} rowspan={d}>{t}" for t, a, d in row) for row in rows) + "</table>"
+        lines = html_text.page_text(page).split("\n")
+        assert len(lines) == len(rows)
+        taken, _ = grid_of(rows)
+        starts = {}
+        for (r, c), (text, _) in taken.items():
+            if text is not None:
+                starts.setdefault(c, set()).add(lines[r].index(text))
+        assert all(len(x) == 1 for x in starts.values()), page
+        places = [next(iter(starts[c])) for c in sorted(starts)]
+        assert places == sorted(set(places)), page
+        assert re.findall(r"t\d\dx*", "\n".join(lines)) == [t for row in rows for t, _, _ in row]
+
+
 def test_html_frame(spark):
     pages = spark.createDataFrame([(1, None, "k"), (2, "<p>x", "k"), (2, "<p>x", "k"), (3, "<div>" * 5000 + "deep", "k"), (4, "<table><tr><td>" * 40 + "deep", "k")], "page_id bigint, html string, text string")
     got = [(r.page_id, r.text.replace(" ", "")) for r in html_text.extract(pages).orderBy("page_id").collect()]

@@ -1,9 +1,12 @@
 """Layout-aware text of web pages.
 
 Each page is parsed into a tree (a small builder with implied end tags, heads and table rows) and the
-tree is rendered as a reader sees it: hidden elements and their content are left out, blocks stand on
+tree is rendered as a reader sees it: elements that are not displayed are left out with their content (a closed
+``details`` shows its first summary only), the text of invisible ones up to a child that is visible again; of
+several declarations of a property the last valid one holds, an important one before others. Blocks stand on
 lines of their own, paragraphs are set off by an empty line, list items are bulleted or numbered and
-indented, the cells of a table are padded to the columns' widths, and preformatted text keeps its spacing.
+indented, the cells of a table are padded to the columns' widths (a cell over several columns to their
+joint width, one over several rows stands in the first), and preformatted text keeps its spacing.
 Nothing is scored or removed as boilerplate: all visible text is emitted.
 
 Pages are independent, so this is one pass without a shuffle; parsing and rendering use explicit
@@ -11,7 +14,8 @@ stacks, so nesting is bounded by memory and not by Python's recursion. Tables up
 are aligned, cells below that are joined by blanks.
 
 Defined results: null, empty and all-hidden pages give empty text; unclosed tags, quotes and comments
-end with the page; stray end tags are ignored; text outside any tag is text; repeated rows give repeated
+end with the page; stray end tags are ignored, as is an inline
+end tag whose element holds a block that is still open; text outside any tag is text; repeated rows give repeated
 results; an empty table gives an empty result; extra columns pass through, result columns replace those
 of the same name.
 """
@@ -21,6 +25,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -47,6 +52,12 @@ ENDS = {
     "body": ({"head"}, set()), "rp": ({"rp", "rt"}, {"ruby"}), "rt": ({"rp", "rt"}, {"ruby"}),
 }
 SCOPE = frozenset("table td th caption html body".split())
+TABLE_PARTS = frozenset("caption tbody thead tfoot tr td th".split())
+LISTS = frozenset("ul ol menu dir".split())
+DISPLAYS = frozenset("none block inline inline-block flex inline-flex grid inline-grid table inline-table table-row table-cell table-caption table-row-group table-header-group table-footer-group table-column table-column-group list-item contents flow-root run-in ruby ruby-text inherit initial unset revert revert-layer".split())
+VISIBILITIES = {"visible": True, "initial": True, "hidden": False, "collapse": False, "inherit": None, "unset": None, "revert": None, "revert-layer": None}
+# the largest spans of a cell
+COLUMNS, ROWS = 1000, 65534
 # start tags that leave an open head open; any other, and text, ends it
 HEAD = frozenset("head base link meta title noscript noframes style script template".split())
 
@@ -54,27 +65,70 @@ DEEP = 8
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*+"|'[^']*+'|[^>"'])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)(?:>|\Z)|<[!?/][^>]*+(?:>|\Z)""", re.S)
 _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
-_HIDDEN = re.compile(r"(?:\A|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))(?![-\w])", re.I)
+_DECLARATION = re.compile(r"""(?:[^;"'(]|"[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|\([^)]*(?:\)|\Z))+""")
+_IMPORTANT = re.compile(r"\s*!\s*important\Z")
+_NEWLINE = re.compile(r"\r\n?|\n")
 _SPACE = re.compile(r"[ \t\n\f\r]+")
 
 
 class Node:
-    __slots__ = ("tag", "children", "hidden", "start")
+    """An element. ``visible``: None where the parent's holds; ``closed``: only the first summary is shown."""
 
-    def __init__(self, tag: str, hidden: bool = False, start: int = 1):
-        self.tag, self.children, self.hidden, self.start = tag, [], hidden, start
+    __slots__ = ("tag", "children", "hidden", "visible", "closed", "start", "span")
+
+    def __init__(self, tag: str, hidden: bool = False):
+        self.tag, self.children, self.hidden = tag, [], hidden
+        self.visible, self.closed, self.start, self.span = None, False, 1, (1, 1)
+
+
+def declared(style: str, name: str, valid) -> str | None:
+    """The value of a property in a style attribute: the last valid one, important ones before others."""
+    found, strong = None, False
+    for declaration in _DECLARATION.findall(_COMMENT.sub(" ", style)):
+        key, _, value = declaration.partition(":")
+        if key.strip().lower() == name:
+            value = value.strip().lower()
+            plain = _IMPORTANT.sub("", value)
+            if plain in valid and (plain != value or not strong):
+                found, strong = plain, plain != value
+    return found
+
+
+def _span(given: str, least: int, most: int) -> int:
+    digits = re.match(r"\s*\+?(\d+)", given)
+    number = int(digits[1][:9]) if digits else 1
+    return min(number, most) if number >= least else 1
 
 
 def _element(tag: str, attributes: str) -> Node:
-    hidden, start = tag in INVISIBLE, 1
-    if not hidden and attributes and ("hidden" in (low := attributes.lower()) or "style" in low or tag in ("ol", "dialog", "details")):
-        given = {k.lower(): html.unescape((v or "").strip("\"'")) for k, v in _ATTR.findall(attributes)}
-        hidden = "hidden" in given or bool(_HIDDEN.search(_COMMENT.sub(" ", given.get("style", "")))) or tag == "dialog" and "open" not in given
-        if tag == "ol" and re.fullmatch(r"-?\d{1,9}", given.get("start", "")):
-            start = int(given["start"])
-    elif tag == "dialog":
-        hidden = True
-    return Node(tag, hidden, start)
+    node = Node(tag, tag in INVISIBLE)
+    if node.hidden:
+        return node
+    given: dict[str, str] = {}
+    for k, v in _ATTR.findall(attributes) if attributes else ():
+        given.setdefault(k.lower(), html.unescape((v or "").strip("\"'")))
+    display = None
+    if "style" in given:
+        display = declared(given["style"], "display", DISPLAYS)
+        node.visible = VISIBILITIES.get(declared(given["style"], "visibility", VISIBILITIES))
+    node.hidden = display == "none" or display is None and ("hidden" in given or tag == "dialog" and "open" not in given)
+    node.closed = tag == "details" and "open" not in given
+    if tag == "ol" and re.fullmatch(r"-?\d{1,9}", given.get("start", "")):
+        node.start = int(given["start"])
+    if tag in ("td", "th"):
+        node.span = _span(given.get("colspan", ""), 1, COLUMNS), _span(given.get("rowspan", ""), 0, ROWS)
+    return node
+
+
+def _ends_search(tag: str, passed: str) -> bool:
+    """An end tag does not reach beyond an open element of the second kind."""
+    if tag == "table":
+        return False
+    if tag in TABLE_PARTS:
+        return passed == "table"
+    if tag not in BLOCK:
+        return passed in BLOCK
+    return passed in ("table", "td", "th", "caption") or tag == "li" and passed in LISTS
 
 
 def build(page: str) -> Node:
@@ -120,7 +174,7 @@ def build(page: str) -> Node:
                 if stack[i].tag == tag:
                     del stack[i:]
                     break
-                if stack[i].tag in ("table", "td", "th") and tag not in BLOCK:
+                if _ends_search(tag, stack[i].tag):
                     break
             continue
         if tag == "html":
@@ -144,6 +198,8 @@ def build(page: str) -> Node:
             at = stop.start() if stop else len(page)
         else:
             add(node)
+            if tag == "pre" and (line := _NEWLINE.match(page, at)):
+                at = line.end()
     if at < len(page):
         add_text(page[at:])
     return root
@@ -162,6 +218,9 @@ class Writer:
             first, *rest = s.split("\n")
             self._put(first)
             for part in rest:
+                if self.gap and not self.line:  # an empty first line stands after the block's gap
+                    self.lines += [""] * bool(self.lines)
+                    self.gap = False
                 self._end(keep=True)
                 self._put(part)
             return
@@ -208,44 +267,75 @@ def _width(s: str) -> int:
     return len(s) if s.isascii() else sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in s)
 
 
-def table_lines(rows: list[list[str]]) -> list[str]:
-    """Rows of cells, padded to the width of their column; a cell of several lines takes several lines."""
-    cut = [[cell.split("\n") for cell in row] for row in rows]
-    widths: list[int] = []
-    for row in cut:
-        widths += [0] * (len(row) - len(widths))
-        for i, cell in enumerate(row):
-            widths[i] = max(widths[i], *map(_width, cell))
+def placed(rows: list[list[tuple[str, tuple[int, int]]]]) -> list[list[tuple[int, int, str]]]:
+    """(first column, column after the last, text) of the cells of each row; columns in which no cell starts are left out."""
+    out, above = [], []  # above: (column, column after, first row without it) of cells from earlier rows
+    for r, row in enumerate(rows):
+        above = sorted(x for x in above if x[2] > r)
+        at, k, cells, down = 0, 0, [], []
+        for text, (columns, deep) in row:
+            while k < len(above) and above[k][0] <= at:
+                at = max(at, above[k][1])
+                k += 1
+            cells.append((at, at + columns, text))
+            if deep != 1:
+                down.append((at, at + columns, r + deep if deep else len(rows)))
+            at += columns
+        above += down
+        out.append(cells)
+    starts = sorted({a for cells in out for a, _, _ in cells})
+    return [[(bisect_left(starts, a), bisect_left(starts, b), text) for a, b, text in cells] for cells in out]
+
+
+def table_lines(rows: list[list[tuple[str, tuple[int, int]]]]) -> list[str]:
+    """Rows of cells (text, (columns, rows)), padded to the width of their columns; a cell of several lines takes several lines."""
+    cut = [[(a, b, text.split("\n")) for a, b, text in cells] for cells in placed(rows) if any(text for _, _, text in cells)]
+    widths = [0] * max((b for cells in cut for _, b, _ in cells), default=0)
+    wide = []
+    for cells in cut:
+        for a, b, lines in cells:
+            if b == a + 1:
+                widths[a] = max(widths[a], *map(_width, lines))
+            else:
+                wide.append((b - a, b, max(map(_width, lines))))
+    for n, b, width in sorted(wide):  # the last column of a wide cell takes what the others leave
+        widths[b - 1] += max(0, width - sum(widths[b - n:b]) - 3 * (n - 1))
     out = []
-    for row in cut:
-        for k in range(max(map(len, row), default=0)):
-            parts = [cell[k] if k < len(cell) else "" for cell in row]
-            out.append(" | ".join(p + " " * (widths[i] - _width(p)) for i, p in enumerate(parts)).rstrip())
+    for cells in cut:
+        for k in range(max(len(lines) for _, _, lines in cells)):
+            parts, at = [], 0
+            for a, b, lines in cells:
+                parts += [" " * w for w in widths[at:a]]
+                line = lines[k] if k < len(lines) else ""
+                parts.append(line + " " * (sum(widths[a:b]) + 3 * (b - a - 1) - _width(line)))
+                at = max(at, b)
+            out.append(" | ".join(parts).rstrip())
     return out
 
 
 def render(root: Node) -> str:
     """Visible text of a tree."""
-    writers, tables, lists, deep = [Writer()], [], [], 0
+    writers, tables, lists, deep, shown = [Writer()], [], [], 0, True
     todo: list = [root]
     while todo:
         x = todo.pop()
         if isinstance(x, str):
-            writers[-1].text(x)
+            if shown:
+                writers[-1].text(x)
             continue
         if isinstance(x, tuple):  # the end of an element
             tag, saved = x
             w = writers[-1]
-            if tag in ("td", "th") and saved == "cell":
+            if tag == "visible":
+                shown = saved
+            elif tag == "cell":
                 cell = writers.pop().whole()
-                tables[-1][-1].append(cell)
+                tables[-1][-1].append((cell, saved))
             elif tag == "table":
-                rows = [r for r in tables.pop() if any(r)]
-                if rows:
-                    w.block(True)
-                    for line in table_lines(rows):
-                        w._put(line)
-                        w._end()
+                w.block(True)
+                for line in table_lines(tables.pop()):
+                    w._put(line)
+                    w._end()
                 w.block(True)
             else:
                 w.block(tag in SPACED)
@@ -263,6 +353,9 @@ def render(root: Node) -> str:
         tag, w = x.tag, writers[-1]
         if x.hidden:
             continue
+        if x.visible is not None and x.visible != shown:
+            todo.append(("visible", shown))
+            shown = x.visible
         if tag == "br":
             w.newline()
             continue
@@ -271,7 +364,7 @@ def render(root: Node) -> str:
             continue
         if tag in ("td", "th") and tables and tables[-1] and not deep:
             writers.append(Writer())
-            todo.append((tag, "cell"))
+            todo.append(("cell", x.span))
         elif tag in BLOCK:
             nested_list = tag in ("ul", "ol", "menu", "dir") and lists
             w.block(tag in SPACED and not nested_list)
@@ -290,7 +383,7 @@ def render(root: Node) -> str:
                 lists.append([tag == "ol", x.start])
             elif tag == "li":
                 numbered = bool(lists) and lists[-1][0]
-                w.mark = f"{lists[-1][1]}. " if numbered else "- "
+                w.mark = "" if not shown else f"{lists[-1][1]}. " if numbered else "- "
                 if numbered:
                     lists[-1][1] += 1
                 depth = max(len(lists) - 1, 0)
@@ -299,7 +392,10 @@ def render(root: Node) -> str:
                 w.prefix = saved + "> "
             elif tag == "dd":
                 w.prefix = saved + "  "
-        todo.extend(reversed(x.children))
+        if x.closed:
+            todo += [c for c in x.children if isinstance(c, Node) and c.tag == "summary"][:1]
+        else:
+            todo.extend(reversed(x.children))
     return writers[0].whole()
 
 
