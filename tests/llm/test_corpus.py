@@ -240,6 +240,44 @@ def test_nearest_neighbours(spark):
     assert ann.search(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 3, 15, 25, 60])
+def test_nearest_neighbours_of_small_tables_and_repeated_ids(spark, n):
+    """One probe asked for: partitions go on until k are found; repeated ids are rows of their own."""
+    rng = np.random.default_rng(n)
+    rows = [(int(i) % 7, [float(v) for v in rng.integers(-3, 4, 4)]) for i in rng.permutation(n)]
+    rows += rows[:4] + [(0, [1e6, 1e6, 1e-3, 0.0]), (20, [3.0, 0.0, 0.0, 0.0]), (20, [2.0, 0.0, 0.0, 0.0])]
+    sent = [r for r in rows if any(r[1])]
+    rows = [(q, list(v)) for q, v in sorted({(q, tuple(v)) for q, v in sent})]
+    vectors = ann.usable(spark.createDataFrame(sent, "vec_id bigint, embedding array<double>"))
+    got = ann.search(vectors, vectors.filter("vec_id % 20 = 0"), 20, parts=8, probes=1).collect()
+    want = []
+    for i, (q, v) in enumerate(rows):
+        if q % 20 == 0:
+            near = sorted((-float(np.add.reduce(np.array(w) * np.array(v))), j) for k, (j, w) in enumerate(rows) if k != i)[:20]
+            want.append([(q, rank, j, -s) for rank, (s, j) in enumerate(near, 1)])
+    lists = sorted(x for one in want for x in one)
+    found = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got)
+    assert len(found) == len(lists) and {x[:2] for x in found} == {x[:2] for x in lists}
+    if len(rows) <= 20:  # all are returned
+        assert found == lists
+    assert all(any(np.isclose(s, np.dot(v, w)) for j, w in rows if j == b for q, v in rows if q == a) for a, _, b, s in found)
+
+
+def test_nearest_neighbours_whole_when_all_are_probed(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i // 2, [float(v) for v in rng.integers(-2, 3, 5)]) for i in range(300)]
+    sent = [r for r in rows if any(r[1])] + [(40, [2.0, 2.0, 2.0, 2.0, 2.0])] * 30
+    rows = [(q, list(v)) for q, v in sorted({(q, tuple(v)) for q, v in sent})]
+    vectors = ann.usable(spark.createDataFrame(sent, "vec_id bigint, embedding array<double>"))
+    got = Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in ann.search(vectors, vectors.filter("vec_id % 20 = 0"), 20, parts=4, probes=4).collect())
+    want = Counter()
+    for i, (q, v) in enumerate(rows):
+        if q % 20 == 0:
+            near = sorted((-float(np.dot(v, w)), j) for k, (j, w) in enumerate(rows) if k != i)[:20]
+            want.update((q, rank, j, -s + 0.0) for rank, (s, j) in enumerate(near, 1))
+    assert got == want
+
+
 def test_nearest_neighbours_query_recall(spark):
     sf = "/root/testdata/sf0.1"
     e = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas().sort_values("vec_id")

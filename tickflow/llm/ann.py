@@ -4,21 +4,25 @@
    cut into balanced partitions: seeds grow by rounds in which every sample vector joins the partition
    that most of its graph neighbours are in, as long as that partition has room.
 2. A small classifier (one hidden layer) learns from the vector which partitions hold its neighbours.
-3. Every row of the table goes to its most probable partition; every query to its ``PROBES`` most
-   probable ones, whose rows are compared with it exactly.
+3. Every row of the table goes to its most probable partition; every query to its most probable ones,
+   whose rows are compared with it exactly. How many those are is measured: a part of the sample is held
+   out of graph and classifier, and the fewest partitions that hold ``RECALL`` of its true neighbours among
+   the rest are probed. A query whose partitions hold too few rows for its k goes on to the next ones.
 
 Partitions are unequal on real data, and one may hold a third of all rows: each is stored in blocks of
 about ``BLOCK`` rows, queries meet it block by block, and the best of each block are merged. Nothing in
-a partition is skipped.
+a partition is skipped. A block of rows is copied once for each ``QUERY_BLOCK`` queries that probe its
+partition, and within the task they meet ``TILE`` queries at a time.
 
 Nearness is the largest inner product, in double precision on the stored vectors. The graph and the
 classifier work on unit vectors with the norm as one more coordinate, so lengths count as well.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components take no
 part, neither as query nor as candidate; vectors of another length than the most frequent one neither;
-ties go to the smaller vec_id; rows repeated under one vec_id count as one (the smallest vector);
-null vec_ids take no part; with at most k candidates in the probed partitions all are returned; an
-empty table gives an empty result; extra columns are ignored.
+ties go to the smaller vec_id; different vectors under one vec_id are rows of their own (each may be found,
+also by another one of its vec_id, and each that asks is answered under that vec_id), equal ones under
+one vec_id count as one; null vec_ids take no part; with at most k candidates all are returned; an empty table gives an
+empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,10 +40,11 @@ from tickflow.llm.common import map_in_arrow, read_table, shared_table
 
 SAMPLE = 6_000
 PARTITIONS = 32
-PROBES = 22
+RECALL = 0.94
 NEIGHBOURS = 10
-BLOCK = 4_096
-QUERY_BLOCK = 512
+BLOCK = 8_192
+QUERY_BLOCK = 16_384
+TILE = 256
 HIDDEN = 64
 #: A partition of the sample may hold so many times its equal share.
 ROOM = 1.1
@@ -147,72 +152,111 @@ class Router:
         return np.argsort(-(np.maximum(x @ self.a + self.ab, 0) @ self.b + self.bb), axis=1, kind="stable")
 
 
-def fit_router(vectors: DataFrame, parts: int = PARTITIONS, sample: int = SAMPLE, seed: int = 5) -> tuple[Router, float] | None:
-    """Classifier and length scale, from a bounded sample of the usable vectors."""
-    got = vectors.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id").limit(sample).toPandas()
+#: One of so many sample vectors is held out to measure how many partitions to probe.
+HELD_OUT = 6
+
+
+def probes_needed(router: Router, scale: float, base: np.ndarray, asked: np.ndarray, k: int, recall: float, parts: int) -> int:
+    """The fewest partitions of each asked vector that hold ``recall`` of its k nearest of ``base``."""
+    if not len(base) or not len(asked):
+        return parts
+    home = router.order(lifted(base, scale))[:, 0]
+    place = np.argsort(router.order(lifted(asked, scale)), axis=1)  # place[i, p]: when i probes p
+    k = min(k, len(base))
+    near = np.argpartition(-(asked @ base.T), k - 1, axis=1)[:, :k]
+    when = np.sort(np.take_along_axis(place, home[near], axis=1).ravel())
+    return int(when[int(np.ceil(recall * len(when))) - 1]) + 1
+
+
+def fit_router(vectors: DataFrame, parts: int = PARTITIONS, sample: int = SAMPLE, seed: int = 5, recall: float = RECALL, k: int = 20) -> tuple[Router, float, int] | None:
+    """Classifier, length scale and partitions to probe, from a bounded sample of the usable vectors."""
+    got = vectors.orderBy(F.xxhash64(F.lit(seed), "vec_id"), "vec_id", "v").limit(sample).toPandas()
     if not len(got):
         return None
     rng = np.random.default_rng(seed)
     raw = np.array(got["v"].tolist(), float)
     scale = float(np.linalg.norm(raw, axis=1).max())
-    x = lifted(raw, scale)
-    graph = neighbour_graph(raw)
-    return Router(x, shares(balanced_partition(graph, x, parts, rng), graph, parts), rng), scale
+    held = np.arange(len(raw)) % HELD_OUT == HELD_OUT - 1
+    base, asked = raw[~held], raw[held]
+    x = lifted(base, scale)
+    graph = neighbour_graph(base)
+    router = Router(x, shares(balanced_partition(graph, x, parts, rng), graph, parts), rng)
+    return router, scale, probes_needed(router, scale, base, asked, k, recall, parts)
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 20, parts: int = PARTITIONS, probes: int = PROBES) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, k: int = 20, parts: int = PARTITIONS, probes: int | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each query row, never the query's own row.
 
-    ``vectors``, ``queries``: (vec_id, v) as ``usable`` gives them.
+    ``vectors``, ``queries``: (vec_id, v) as ``usable`` gives them. ``probes``: partitions to probe, measured if None.
     """
     spark = vectors.sparkSession
-    schema = "query_id bigint, vec_id bigint, score double"
-    fitted = fit_router(vectors, parts)
+    fitted = fit_router(vectors, parts, k=k)
     if fitted is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    sent = spark.sparkContext.broadcast(fitted)  # a few thousand numbers
+    router, scale, measured = fitted
+    sent = spark.sparkContext.broadcast((router, scale))  # a few thousand numbers
 
-    def route(count: int):
+    rows = vectors.select("vec_id", "v").distinct()
+    asked = queries.select("vec_id", "v").distinct().withColumn("asked", F.monotonically_increasing_id())
+
+    def route(names: list[str], count: int, room: np.ndarray | None = None):
+        """Adds ``parts``: the first ``count`` partitions, and more until they have room for k rows and the query's own."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             router, scale = sent.value
             for b in batches:
-                x = np.array(b.column("v").to_pylist(), float).reshape(b.num_rows, -1)
-                found = router.order(lifted(x, scale))[:, :count].tolist() if b.num_rows else []
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.list_(pa.int32()))], names=["vec_id", "v", "parts"])
+                found = []
+                if b.num_rows:
+                    order = router.order(lifted(np.array(b.column("v").to_pylist(), float).reshape(b.num_rows, -1), scale))
+                    stop = np.full(len(order), count)
+                    if room is not None:
+                        stop = np.maximum(stop, (np.cumsum(room[order], axis=1) < k + 1).sum(axis=1) + 1)
+                    found = [o[:n] for o, n in zip(order.tolist(), stop.tolist())]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.list_(pa.int32()))], names=[*names, "parts"])
         return run
 
-    rows = vectors.groupBy("vec_id").agg(F.min("v").alias("v"))
-    asked = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
-    index = shared_table(map_in_arrow(rows, route(1), "vec_id bigint, v array<double>, parts array<int>").select("vec_id", "v", F.col("parts")[0].alias("part")), "index")
-    probe = shared_table(map_in_arrow(asked, route(probes), "vec_id bigint, v array<double>, parts array<int>").select("vec_id", "v", F.explode("parts").alias("part")), "probes")
-
-    def blocks(df: DataFrame, size: int, name: str) -> DataFrame:
-        return df.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
-
-    n = blocks(index, BLOCK, "nb").join(blocks(probe, QUERY_BLOCK, "nq"), "part")  # one row per partition
-    left = (index.join(F.broadcast(n), "part").withColumn("b", F.pmod(F.xxhash64(F.lit(1), "vec_id"), "nb").cast("int"))
+    index = shared_table(map_in_arrow(rows, route(["vec_id", "v"], 1), "vec_id bigint, v array<double>, parts array<int>")
+                         .select("vec_id", "v", F.col("parts")[0].alias("part")), "index")
+    held = index.groupBy("part").agg(F.count(F.lit(1)).alias("rows"))
+    room = np.zeros(parts, np.int64)
+    for r in held.collect():  # one row per partition
+        room[r["part"]] = r["rows"]
+    names = ["vec_id", "v", "asked"]
+    probe = shared_table(map_in_arrow(asked, route(names, min(parts, probes or measured), room), "vec_id bigint, v array<double>, asked bigint, parts array<int>")
+                         .select(*names, F.explode("parts").alias("part")), "probes")
+
+    def blocks(n: DataFrame, size: int, name: str) -> DataFrame:
+        return n.select("part", F.ceil(F.col("rows") / size).cast("int").alias(name))
+
+    n = blocks(held, BLOCK, "nb").join(blocks(probe.groupBy("part").agg(F.count(F.lit(1)).alias("rows")), QUERY_BLOCK, "nq"), "part")  # one row per partition
+    left = (index.join(F.broadcast(n), "part").withColumn("b", F.pmod(F.xxhash64(F.lit(1), "vec_id", "v"), "nb").cast("int"))
             .withColumn("q", F.explode(F.sequence(F.lit(0), F.col("nq") - 1))).select("part", "b", "q", "vec_id", "v"))
-    right = (probe.join(F.broadcast(n), "part").withColumn("q", F.pmod(F.xxhash64(F.lit(2), "vec_id"), "nq").cast("int"))
-             .withColumn("b", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select("part", "b", "q", "vec_id", "v"))
+    right = (probe.join(F.broadcast(n), "part").withColumn("q", F.pmod(F.xxhash64(F.lit(2), "asked"), "nq").cast("int"))
+             .withColumn("b", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select("part", "b", "q", "asked", "vec_id", "v"))
 
     def nearest(base: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})]
+        kinds = {"asked": np.int64, "query_id": np.int64, "vec_id": np.int64, "score": float}
+        out = [pd.DataFrame({c: np.empty(0, t) for c, t in kinds.items()})]
         if len(base) and len(query):
             x, q = np.array(base["v"].tolist(), float), np.array(query["v"].tolist(), float)
             ids = base["vec_id"].to_numpy()
-            rough = q @ x.T
-            for i, own in enumerate(query["vec_id"].to_numpy()):
-                s = np.where(ids == own, -np.inf, rough[i])
-                least = -np.partition(-s, min(k, len(s)) - 1)[min(k, len(s)) - 1]
-                # all that may be among the k after summing in one fixed order
-                near = np.flatnonzero((s >= least - 1e-9 * (1 + abs(least) if np.isfinite(least) else 1)) & (ids != own))
-                exact = np.add.reduce(x[near] * q[i], axis=1)
-                best = np.lexsort((ids[near], -exact))[:k]
-                out.append(pd.DataFrame({"query_id": own, "vec_id": ids[near][best], "score": exact[best]}))
+            wanted = min(k + 1, len(ids))
+            # twice as far may a sum in another order lie from ours
+            slack = 2.3e-16 * (x.shape[1] + 8) * np.linalg.norm(x, axis=1).max() * np.linalg.norm(q, axis=1)
+            for a in range(0, len(q), TILE):
+                rough = q[a:a + TILE] @ x.T
+                for row, asked, own in zip(range(a, a + len(rough)), query["asked"].to_numpy()[a:a + TILE], query["vec_id"].to_numpy()[a:a + TILE]):
+                    s = rough[row - a]
+                    least = np.partition(s, len(s) - wanted)[len(s) - wanted]
+                    # all that may be among the k and the own row after summing in one fixed order
+                    near = np.flatnonzero(s >= least - slack[row])
+                    near = near[(ids[near] != own) | (x[near] != q[row]).any(axis=1)]
+                    exact = np.add.reduce(x[near] * q[row], axis=1)
+                    best = np.lexsort((ids[near], -exact))[:k]
+                    out.append(pd.DataFrame({"asked": asked, "query_id": own, "vec_id": ids[near][best], "score": exact[best]}))
         return pd.concat(out)
 
-    best = left.groupBy("part", "b", "q").cogroup(right.groupBy("part", "b", "q")).applyInPandas(nearest, schema)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).cast("int")
+    best = left.groupBy("part", "b", "q").cogroup(right.groupBy("part", "b", "q")).applyInPandas(nearest, "asked bigint, query_id bigint, vec_id bigint, score double")
+    rank = F.row_number().over(Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id")).cast("int")
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
