@@ -172,6 +172,22 @@ def test_chats(spark):
     assert chat.format_chats(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")).count() == 0
 
 
+def test_chats_of_many_turns(spark):
+    """The hash list in blocks equals a plain loop; a long conversation collapses its snapshots at every block's end."""
+    sizes = {1: 1, 2: 127, 3: 128, 4: 129, 5: 256, 6: 400, 7: 400}
+    rows = [(c, t, None if t % 5 == 0 else "user", f"t{t}" if c < 7 or t < 399 else None) for c, n in sizes.items() for t in range(n)] + [(None, 0, "user", "w" * 200_000)] * 2
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    for r in chat.snapshots(turns).collect():
+        before, want = "", []
+        for t in r.turns:
+            told = ["-" if x is None else f"{len(x.encode())}:{x}" for x in (t.role, t.text)]
+            before = hashlib.sha256("|".join([before, *told]).encode()).hexdigest()
+            want.append(before)
+        assert r.prefix_hashes == want
+    got = {r.conv_id: r.n_turns for r in chat.format_chats(turns).collect()}
+    assert got == {6: 400, 7: 400, None: 2}
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text"), toxicity.label_table(spark, sf)

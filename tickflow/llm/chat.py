@@ -28,6 +28,9 @@ from tickflow.llm.common import read_table, shared_table
 # fixed values: the turn template
 TURN = "<|im_start|>{role}\n{text}<|im_end|>\n"
 
+#: Turns whose hashes are appended to one list.
+BLOCK = 128
+
 
 def _step(before: Column, turn: Column) -> Column:
     def told(x: Column) -> Column:
@@ -35,13 +38,31 @@ def _step(before: Column, turn: Column) -> Column:
     return F.sha2(F.concat(before, F.lit("|"), told(turn["role"]), F.lit("|"), told(turn["text"])), 256)
 
 
+def _rolling(turns: Column) -> Column:
+    """The rolling hash after each turn.
+
+    A fold that appends copies its list with every step, so turns go in blocks of ``BLOCK``: the hashes of a
+    block form one list, lists are appended to a list of lists, and the last hash of a list starts the next.
+    """
+    none = F.array().cast("array<string>")
+
+    def last(hashes: Column, other: Column) -> Column:
+        return F.coalesce(F.try_element_at(hashes, F.lit(-1)), other)
+
+    def block(start: Column, at: Column) -> Column:
+        return F.aggregate(F.slice(turns, at, BLOCK), none, lambda acc, t: F.concat(acc, F.array(_step(last(acc, start), t))))
+
+    starts = F.sequence(F.lit(1), F.greatest(F.size(turns), F.lit(1)), F.lit(BLOCK))
+    whole = F.aggregate(starts, F.array().cast("array<array<string>>"),
+                        lambda acc, at: F.concat(acc, F.array(block(F.coalesce(F.try_element_at(F.try_element_at(acc, F.lit(-1)), F.lit(-1)), F.lit("")), at))))
+    return F.flatten(whole)
+
+
 def snapshots(turns: DataFrame) -> DataFrame:
     """One row per conversation: conv_id, turns (ordered), prefix_hashes (one per turn)."""
     row = F.struct("turn", F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     convs = turns.select("conv_id", row.alias("t")).groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
-    hashes = F.aggregate("turns", F.array().cast("array<string>"),
-                         lambda acc, t: F.concat(acc, F.array(_step(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit("")), t))))
-    return convs.withColumn("prefix_hashes", hashes)
+    return convs.withColumn("prefix_hashes", _rolling(F.col("turns")))
 
 
 def collapse(turns: DataFrame) -> DataFrame:
