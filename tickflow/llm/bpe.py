@@ -1,7 +1,8 @@
 """Byte-level BPE encoding and decoding with DuckDB inside each Spark task.
 
 Texts never leave their task. Each batch is cut into units (a word with the space before it, or a
-run of white space); DuckDB encodes the units that this worker has not seen lately:
+run of white space) and its distinct units into pre-tokens; DuckDB encodes the pre-tokens that this worker
+has not seen lately:
 
 * every pre-token starts as rows (word, position, next position, token), one row a byte;
 * a recursive query joins neighbouring rows with the merge table, finds each word's leftmost pair of
@@ -38,10 +39,10 @@ from tickflow.llm.common import keep, map_in_arrow
 WORDS_A_RUN = 60_000
 #: Pre-tokens of more bytes than this are encoded by the query for long words.
 LONG_WORD = 64
-#: Entries kept in each of the two generations of a worker's memory; older ones are encoded anew.
-UNITS_KEPT, WORDS_KEPT = 150_000, 400_000
+#: Pre-tokens kept in each of the two generations of a worker's memory; older ones are encoded anew.
+WORDS_KEPT = 500_000
 #: Characters of text handled at once.
-CHARS_A_BATCH = 4_000_000
+CHARS_A_BATCH = 8_000_000
 
 # fixed values: Unicode White_Space, on which the pre-token pattern splits
 _WS = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -104,7 +105,7 @@ def _ranks(path: str) -> dict[bytes, int]:
 
 
 class _Codec:
-    """One worker's DuckDB connection with the merge table, and the units it has met lately."""
+    """One worker's DuckDB connection with the merge table, and the pre-tokens it has met lately."""
 
     def __init__(self, path: str, pattern: str):
         import duckdb
@@ -128,9 +129,8 @@ class _Codec:
         self.con.register("vocab_in", vocab)
         self.con.execute("CREATE TABLE merges AS SELECT * FROM merges_in")
         self.con.execute("CREATE TABLE vocab AS SELECT * FROM vocab_in")
-        # (ids, decoded bytes) of the units and pre-tokens met lately: a new and an old generation
-        self.unit_memory: list[dict[str, tuple[bytes, bytes]]] = [{}, {}]
-        self.word_memory: list[dict[str, tuple[bytes, bytes]]] = [{}, {}]
+        # (ids, decoded bytes) of the pre-tokens met lately: a new and an old generation
+        self.memory: list[dict[str, tuple[bytes, bytes]]] = [{}, {}]
 
     def _encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids (little-endian uint32) of pre-tokens, by the recursive queries."""
@@ -193,11 +193,11 @@ class _Codec:
             out[u] = _as_bytes(body)
         return out
 
-    def _recall(self, memory: list[dict], kept: int, wanted, make) -> dict[str, tuple[bytes, bytes]]:
-        """Values of ``wanted`` from memory; ``make`` gives those that are not there."""
-        if len(memory[0]) > kept:
-            memory[:] = [{}, memory[0]]
-        new, old = memory
+    def _words(self, wanted: set[str]) -> dict[str, tuple[bytes, bytes]]:
+        """(ids, decoded bytes) of each pre-token, from memory or by the queries."""
+        if len(self.memory[0]) > WORDS_KEPT:
+            self.memory = [{}, self.memory[0]]
+        new, old = self.memory
         found, missing = {}, []
         for x in wanted:
             hit = new.get(x) or old.get(x)
@@ -205,27 +205,25 @@ class _Codec:
                 missing.append(x)
             else:
                 found[x] = new[x] = hit
-        for x, value in zip(missing, make(missing)):
+        raw = [w.encode() for w in missing]
+        coded = self._encode_words(raw)
+        ids = [coded[w] for w in raw]
+        for x, value in zip(missing, zip(ids, self.decode(ids))):
             found[x] = value
             if len(x) <= LONG_WORD:
                 new[x] = value
         return found
 
-    def _make_words(self, words: list[str]) -> list[tuple[bytes, bytes]]:
-        raw = [w.encode() for w in words]
-        coded = self._encode_words(raw)
-        ids = [coded[w] for w in raw]
-        return list(zip(ids, self.decode(ids)))
-
-    def _make_units(self, units: list[str]) -> list[tuple[bytes, bytes]]:
-        cut = [[u] if u.isalpha() or u[0] == " " and u[1:].isalpha() else self.pattern.findall(u) for u in units]
-        known = self._recall(self.word_memory, WORDS_KEPT, {p for ps in cut for p in ps}, self._make_words)
-        pairs = [[known[p] for p in ps] for ps in cut]
-        return [ps[0] if len(ps) == 1 else (b"".join([p[0] for p in ps]), b"".join([p[1] for p in ps])) for ps in pairs]
-
     def units(self, wanted: set[str]) -> dict[str, tuple[bytes, bytes]]:
         """(ids, decoded bytes) of each unit."""
-        return self._recall(self.unit_memory, UNITS_KEPT, wanted, self._make_units)
+        single = {u for u in wanted if u.isalpha() or u[0] == " " and u[1:].isalpha()}
+        cut = {u: self.pattern.findall(u) for u in wanted - single}
+        found = self._words(single.union(*cut.values()))
+        for u, ps in cut.items():
+            if len(ps) > 1:
+                pairs = [found[p] for p in ps]
+                found[u] = b"".join([p[0] for p in pairs]), b"".join([p[1] for p in pairs])
+        return found
 
 
 def _as_text(piece: bytes) -> str:
