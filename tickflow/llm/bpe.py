@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -40,9 +41,9 @@ WORDS_A_RUN = 60_000
 #: Pre-tokens of more bytes than this are encoded by the query for long words.
 LONG_WORD = 64
 #: Pre-tokens kept in each of the two generations of a worker's memory; older ones are encoded anew.
-WORDS_KEPT = 500_000
-#: Characters of text handled at once.
-CHARS_A_BATCH = 8_000_000
+WORDS_KEPT = 300_000
+#: Bytes of text handled at once; a longer text is handled alone.
+BYTES_A_BATCH = 6_000_000
 
 # fixed values: Unicode White_Space, on which the pre-token pattern splits
 _WS = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -246,15 +247,26 @@ def vocabulary_on_executors(spark, path: str) -> str:
     return path.rsplit("/", 1)[-1]
 
 
-def _batches(texts: list[str]) -> Iterator[tuple[int, int]]:
+def _batches(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about BYTES_A_BATCH bytes."""
     start = size = 0
-    for k, t in enumerate(texts):
-        size += len(t)
-        if size >= CHARS_A_BATCH:
+    for k, n in enumerate(sizes):
+        size += n
+        if size >= BYTES_A_BATCH:
             yield start, k + 1
             start, size = k + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+    if start < len(sizes):
+        yield start, len(sizes)
+
+
+def _cut(texts: list[str]) -> tuple[list[list[str]], set[str]]:
+    """The units of each text, equal ones held once, and the distinct units."""
+    seen: dict[str, str] = {}
+    cut = []
+    for t in texts:
+        us = _UNIT.findall(t)
+        cut.append(list(map(seen.setdefault, us, us)))
+    return cut, set(seen)
 
 
 def _map_texts(df: DataFrame, vocab: str, pattern: str, text: str, fields: list[T.StructField], make) -> DataFrame:
@@ -267,10 +279,10 @@ def _map_texts(df: DataFrame, vocab: str, pattern: str, text: str, fields: list[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(SparkFiles.get(path), pattern)
         for batch in batches:
-            texts = [t or "" for t in batch.column(text).to_pylist()]
-            for a, b in _batches(texts):
-                cut = [_UNIT.findall(t) for t in texts[a:b]]
-                known = codec.units(set().union(*cut))
+            sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
+            for a, b in _batches(sizes):
+                cut, wanted = _cut([t or "" for t in batch.column(text).slice(a, b - a).to_pylist()])
+                known = codec.units(wanted)
                 made = [[] for _ in fields]
                 for us in cut:
                     pairs = [known[u] for u in us]
