@@ -193,6 +193,28 @@ def test_jaccard_join_of_a_group_at_the_threshold(spark, k, percent):
     assert [got[i].component_id for i in range(len(texts))] == roots and len(set(roots)) > 3
 
 
+def test_jaccard_join_shuffles_large_tables_in_turns(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = []
+    for _ in range(60):
+        base = [f"w{int(x)}" for x in rng.integers(0, 3000, 60)]
+        texts += [" ".join(base), " ".join(base[:-1] + ["end"]), " ".join(base)]
+    rows = [(None if i % 7 == 0 else i // 2, t, "s") for i, t in enumerate(texts)]
+    in_turns, parts = jaccard_join.in_turns, {}
+
+    def counted(turns, make, name):
+        parts[name] = [make(turn).count() for turn in range(turns)]
+        return in_turns(turns, make, name)
+
+    whole = sorted(map(str, jaccard_join.linked_components(frame(spark, rows), 5, 80).collect()))
+    monkeypatch.setattr(jaccard_join, "in_turns", counted)
+    monkeypatch.setattr(jaccard_join, "TURN_BYTES", 0)
+    assert sorted(map(str, jaccard_join.linked_components(frame(spark, rows), 5, 80).collect())) == whole
+    assert set(parts) == {"regions", "sets", "several", "rare-shingles"}
+    for name, counts in parts.items():
+        assert len(counts) == jaccard_join.TURNS and max(counts) < 0.6 * sum(counts), name
+
+
 def test_jaccard_join_edges(spark):
     docs = frame(spark, [(1, "a b c d", "s"), (1, "a b c d", "s"), (None, "a b c d", "s"), (2, None, "s")])
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in jaccard_join.linked_components(docs, 3, 90).collect())

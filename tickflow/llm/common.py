@@ -45,6 +45,12 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def in_turns(turns: int, make: Callable[[int], DataFrame], name: str) -> DataFrame:
+    """The rows of ``make(0)`` to ``make(turns - 1)``, stored one after the other: only one turn's shuffle files exist at a time."""
+    parts = [shared_table(make(turn), name) for turn in range(turns)]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def uniform(*keys: Column) -> Column:
     """A number in [0, 1) that depends on the keys alone, so that a rerun draws the same."""
     return F.shiftrightunsigned(F.xxhash64(*keys), 11).cast("double") * F.lit(2.0 ** -53)

@@ -34,6 +34,9 @@ Shingles are compared as 64-bit hashes, on whole sets. Skew: copies are collapse
 built; rows in regions are two numbers; components and minima are pre-aggregated, and the rows of a hot
 region or pivot meet one row in a join, which AQE splits.
 
+Disk: regions and shingles are many times the rows that remain of them, so large tables of them are
+shuffled in turns, each stored before the next begins: regions by their hash, sets by their doc_id.
+
 A node is a distinct set, known by the number of one of its rows, so neither null nor repeated doc_ids
 lose a set; doc_ids come in again when components are named.
 
@@ -60,7 +63,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from tickflow.llm.common import map_in_arrow, read_table, shared_table
+from tickflow.functions.sides import known_bytes
+from tickflow.llm.common import in_turns, map_in_arrow, read_table, shared_table
 from tickflow.llm.components import components
 
 #: Sizes of one class differ by less than this factor.
@@ -71,6 +75,8 @@ PIVOTS = 16
 LEAF_NODES, LEAF_SHINGLES = 2_000, 1_000_000
 #: Word hashes that a worker keeps; above, it starts afresh.
 WORDS_KEPT = 400_000
+#: A stored table from so many bytes on is shuffled in so many turns.
+TURN_BYTES, TURNS = 16_000_000, 4
 #: A split into Voronoi regions is used when it replicates rows by less than this factor.
 SPLIT_GAIN = 1.5
 
@@ -222,20 +228,32 @@ def _split(rows: DataFrame, far: DataFrame, e: float) -> DataFrame:
     return whole.join(done, ["region", "node"], "left_anti").unionByName(parts)
 
 
+def _turns(table: DataFrame) -> int:
+    return 1 if known_bytes(table) < TURN_BYTES else TURNS
+
+
+def _its_turn(key: str, turn: int, turns: int):
+    """Rows whose ``key`` is of this turn; shuffles deal by another hash."""
+    return F.lit(True) if turns == 1 else F.pmod(F.xxhash64(F.lit(turns), key), F.lit(turns)) == turn
+
+
 def _rare_regions(sets: DataFrame, percent: int) -> DataFrame:
     """(region, node, pivot): the sets that share one of their rarest shingles, with the smallest of them.
 
     Of n shingles in one common order, linked sets share one of their first n - ceil(n p / 100) + 1;
     the order here is by how many of the sets hold a shingle, then by its hash.
     """
+    turns = _turns(sets)
     each = sets.select("node", F.col("n").alias("_n"), F.explode("shingles").alias("region"))
-    several = each.groupBy("region").agg(F.count(F.lit(1)).alias("_sets")).filter("_sets > 1")
+    several = in_turns(turns, lambda turn: each.filter(_its_turn("region", turn, turns)).groupBy("region")
+                       .agg(F.count(F.lit(1)).alias("_sets")).filter("_sets > 1"), "several")
     by_set = Window.partitionBy("node")
     place = F.row_number().over(by_set.orderBy("_sets", "region"))
     # a set's shingles that no other set holds come first and need no region
     alone = F.col("_n") - F.count(F.lit(1)).over(by_set)
     first = F.col("_n") - F.expr(f"(_n * {percent} + 99) div 100") + 1
-    kept = shared_table(each.join(several, "region").withColumn("_place", place + alone).filter(F.col("_place") <= first).select("region", "node"), "rare-shingles")
+    kept = in_turns(turns, lambda turn: each.filter(_its_turn("node", turn, turns)).join(several, "region")
+                    .withColumn("_place", place + alone).filter(F.col("_place") <= first).select("region", "node"), "rare-shingles")
     pivots = kept.groupBy("region").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).filter("pivot < _last").select("region", "pivot")
     return kept.join(pivots, "region").filter("pivot < node").select("region", "node", "pivot")
 
@@ -336,16 +354,25 @@ def _linked_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
     # one row per distinct set: only the numbers of the other rows meet the table with the regions
     others = shared_table(thin.join(same.filter("n_copies > 1"), "digest").filter("row <> node").select("row", "doc_id", "digest"), "copies")
     nodes = found.filter("digest is not null").join(others.select("row"), "row", "left_anti").select(F.col("row").alias("node"), F.explode("regions").alias("region"))
-    shared = shared_table(nodes.groupBy("region").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).filter("pivot < _last").select("region", "pivot"), "pivots")
-    rows = shared_table(nodes.join(shared, "region").filter("pivot < node").select("region", "node", "pivot"), "regions")
+    turns = _turns(found)
+
+    def in_regions(turn: int) -> DataFrame:
+        mine = nodes.filter(_its_turn("region", turn, turns))
+        shared = shared_table(mine.groupBy("region").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).filter("pivot < _last").select("region", "pivot"), "pivots")
+        return mine.join(shared, "region").filter("pivot < node").select("region", "node", "pivot")
 
+    rows = in_turns(turns, in_regions, "regions")
     wanted = rows.select("node").union(rows.select("pivot")).distinct()
     members = shared_table(thin.join(wanted, F.col("row") == F.col("node"), "left_semi").select(F.col("row").alias("node"), F.col("doc_id").alias("id"), "digest"), "nodes")
-    sets = _sets(docs, members, k)
     twice = others.withColumnRenamed("digest", "_digest").join(members, (F.col("_digest") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    if not twice.isEmpty():
-        sets = sets.dropDuplicates(["node"])
-    sets = shared_table(sets, "sets")
+    repeated = not twice.isEmpty()
+
+    def in_sets(turn: int) -> DataFrame:
+        # rows under one doc_id, null too, are of one turn, and so are those of a node
+        sets = _sets(docs.filter(_its_turn("doc_id", turn, turns)), members.filter(_its_turn("id", turn, turns)), k)
+        return sets.dropDuplicates(["node"]) if repeated else sets
+
+    sets = in_turns(turns, in_sets, "sets")
     rows = shared_table(_rare_regions(sets, percent), "rare")
     shared = shared_table(rows.select("region", "pivot").distinct(), "pivots")
     join = Join(sets, percent)
