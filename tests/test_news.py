@@ -52,6 +52,33 @@ def test_language_detection_small(spark):
     assert got == {"1": "en", "2": "de", "3": None, "4": None}
 
 
+def test_sentiment_of_a_large_lexicon_is_looked_up_once_a_chunk(spark, monkeypatch):
+    """Same scores as with a broadcast lexicon; a chunk's distinct words meet the lexicon, not every token."""
+    from decimal import Decimal
+    texts = [None, "", "!!", "not good", "good not good", "Very good good bad", "bad", "x y z"] + ["good bad very good"] * 50 + [f"good w{chr(97 + i)} not bad" for i in range(20)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").coalesce(1)
+    lexicon = spark.createDataFrame([("good", 0.123457), ("bad", -0.5), ("GOOD", 0.1), ("wa", 1e9)], "term string, polarity double")
+    modifiers = spark.createDataFrame([("not", -0.333333), ("very", 1.3)], "term string, factor double")
+    small = {(r.k0, r.k1): (r.total, r.hits) for r in SE.text_scores(d.dropDuplicates(["text"]), lexicon, modifiers, "text").collect()}
+    rounded = lambda df: sorted((r.doc_id, r.sentiment_score) for r in df.collect())
+    score = rounded(SE.score(d, lexicon, modifiers, text="text"))
+    old, tables, stored = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), {}, SE.stored
+    monkeypatch.setattr(SE, "stored", lambda df, name: tables.setdefault(name, stored(df, name)))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+        for size in (1, 25, 2_000_000):
+            monkeypatch.setattr(SE, "CHUNK_TOKENS", size)
+            tables.clear()
+            assert {(r.k0, r.k1): (r.total, r.hits) for r in SE.text_scores(d.dropDuplicates(["text"]), lexicon, modifiers, "text").collect()} == small
+            tables.clear()
+            assert rounded(SE.score(d, lexicon, modifiers, text="text")) == score
+            assert (tables["chunks"].count() == 1) == (size == 2_000_000)
+        assert sum(len(r.words) for r in tables["chunks"].collect()) == 4 + 3 + 20
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert Decimal("-0.041152292181") in {t for t, _ in small.values()}
+
+
 def test_sentiment_score_rules(spark):
     lex = spark.createDataFrame([("good", 0.8), ("bad", -0.6), ("Great", 1.0)], "term string, polarity double")
     mods = spark.createDataFrame([("not", -0.5), ("very", 1.5)], "term string, factor double")
