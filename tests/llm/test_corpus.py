@@ -1,6 +1,7 @@
 """Operators over the whole corpus: exact dedup, sharding, mixing, Jaccard join, nearest neighbours, pipeline."""
 
 import math
+import os
 import re
 import zlib
 from collections import Counter
@@ -207,12 +208,15 @@ def test_jaccard_join_shuffles_large_tables_in_turns(spark, monkeypatch):
         return in_turns(turns, make, name)
 
     whole = sorted(map(str, jaccard_join.linked_components(frame(spark, rows), 5, 80).collect()))
+    forget, gone = jaccard_join.forget, []
+    monkeypatch.setattr(jaccard_join, "forget", lambda table: (gone.append(table.inputFiles()[0].removeprefix("file:")), forget(table)))
     monkeypatch.setattr(jaccard_join, "in_turns", counted)
     monkeypatch.setattr(jaccard_join, "TURN_BYTES", 0)
     assert sorted(map(str, jaccard_join.linked_components(frame(spark, rows), 5, 80).collect())) == whole
     assert set(parts) == {"regions", "sets", "several", "rare-shingles"}
     for name, counts in parts.items():
         assert len(counts) == jaccard_join.TURNS and max(counts) < 0.6 * sum(counts), name
+    assert len(gone) == 1 and gone[0].startswith("/") and not os.path.exists(gone[0])
 
 
 def test_jaccard_join_edges(spark):

@@ -51,6 +51,14 @@ def in_turns(turns: int, make: Callable[[int], DataFrame], name: str) -> DataFra
     return functools.reduce(DataFrame.unionByName, parts)
 
 
+def forget(table: DataFrame) -> None:
+    """Delete the files of a shared table that nothing reads any more."""
+    spark = table.sparkSession
+    for folder in {file.rpartition("/")[0] for file in table.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def uniform(*keys: Column) -> Column:
     """A number in [0, 1) that depends on the keys alone, so that a rerun draws the same."""
     return F.shiftrightunsigned(F.xxhash64(*keys), 11).cast("double") * F.lit(2.0 ** -53)

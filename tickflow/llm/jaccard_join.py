@@ -35,7 +35,8 @@ built; rows in regions are two numbers; components and minima are pre-aggregated
 region or pivot meet one row in a join, which AQE splits.
 
 Disk: regions and shingles are many times the rows that remain of them, so large tables of them are
-shuffled in turns, each stored before the next begins: regions by their hash, sets by their doc_id.
+shuffled in turns, each stored before the next begins: regions by their hash, sets by their doc_id. The regions of single
+sets are deleted when those that sets share are known.
 
 A node is a distinct set, known by the number of one of its rows, so neither null nor repeated doc_ids
 lose a set; doc_ids come in again when components are named.
@@ -64,7 +65,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from tickflow.functions.sides import known_bytes
-from tickflow.llm.common import in_turns, map_in_arrow, read_table, shared_table
+from tickflow.llm.common import forget, in_turns, map_in_arrow, read_table, shared_table
 from tickflow.llm.components import components
 
 #: Sizes of one class differ by less than this factor.
@@ -348,13 +349,14 @@ def _linked_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
 
     ``least``: the smallest doc_id of the set; ``root``: the smallest node of its component.
     """
-    found = shared_table(describe(docs, k, percent).withColumn("row", F.monotonically_increasing_id()), "shingles")
+    described = shared_table(describe(docs, k, percent).withColumn("row", F.monotonically_increasing_id()), "shingles")
+    found = shared_table(described.select("row", "doc_id", "n", "digest"), "rows")
     thin = found.filter("digest is not null").select("row", "doc_id", "digest")
     same = shared_table(thin.groupBy("digest").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("n_copies"), F.min("doc_id").alias("least")), "equal")
     # one row per distinct set: only the numbers of the other rows meet the table with the regions
     others = shared_table(thin.join(same.filter("n_copies > 1"), "digest").filter("row <> node").select("row", "doc_id", "digest"), "copies")
-    nodes = found.filter("digest is not null").join(others.select("row"), "row", "left_anti").select(F.col("row").alias("node"), F.explode("regions").alias("region"))
-    turns = _turns(found)
+    nodes = described.filter("digest is not null").join(others.select("row"), "row", "left_anti").select(F.col("row").alias("node"), F.explode("regions").alias("region"))
+    turns = _turns(described)
 
     def in_regions(turn: int) -> DataFrame:
         mine = nodes.filter(_its_turn("region", turn, turns))
@@ -362,6 +364,7 @@ def _linked_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
         return mine.join(shared, "region").filter("pivot < node").select("region", "node", "pivot")
 
     rows = in_turns(turns, in_regions, "regions")
+    forget(described)
     wanted = rows.select("node").union(rows.select("pivot")).distinct()
     members = shared_table(thin.join(wanted, F.col("row") == F.col("node"), "left_semi").select(F.col("row").alias("node"), F.col("doc_id").alias("id"), "digest"), "nodes")
     twice = others.withColumnRenamed("digest", "_digest").join(members, (F.col("_digest") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
@@ -382,7 +385,7 @@ def _linked_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
     join.compare(rows.join(left.select("region").distinct(), "region", "left_semi").select("node", "pivot").distinct())
     join.search(join.unresolved(left.select("region", "node")))
     named = same.join(join.roots, "node", "left").select("digest", "node", "n_copies", "least", F.coalesce("root", "node").alias("root"))
-    return found.select("row", "doc_id", "n", "digest"), shared_table(named, "linked")
+    return found, shared_table(named, "linked")
 
 
 def linked_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
