@@ -3,6 +3,9 @@
 import hashlib
 import re
 import struct
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -50,6 +53,55 @@ def test_bpe_query_on_whole_table(spark, encoder):
     assert {r.doc_id for r in got} == set(text) and all(r.n_tokens == len(encoder.encode_ordinary(text[r.doc_id])) for r in got)
 
 
+_PEAK = """
+import random, sys, threading, time
+from pathlib import Path
+import pyarrow
+from tickflow.llm import bpe
+
+def held():
+    return int(re.search(r"RssAnon:\\s+(\\d+)", Path("/proc/self/status").read_text())[1]) / 1024
+
+import re
+rng, words = random.Random(7), set()
+while len(words) < 60_000:
+    words.add(" " + "".join(rng.choices("abcdefghiklmnoprstuvwzé", k=rng.randint(5, 12))))
+codec = bpe._Codec(*sys.argv[1:])
+before, most = held(), [0]
+
+def watch():
+    while True:
+        most[0] = max(most[0], held())
+        time.sleep(0.02)
+
+threading.Thread(target=watch, daemon=True).start()
+codec.units(words)
+print("MB", most[0] - before)
+"""
+
+
+@pytest.mark.skipif(sys.platform != "linux", reason="reads /proc")
+def test_bpe_memory_of_a_worker():
+    root = Path(bpe.__file__).resolve().parents[2]
+    done = subprocess.run([sys.executable, "-c", _PEAK, VOCAB, PATTERN], cwd=root, capture_output=True, text=True, timeout=300)
+    assert float(re.search(r"MB (\S+)", done.stdout)[1]) < 100, done.stderr  # 136 MB with 60,000 pre-tokens in a run, 64 with 10,000
+
+
+def test_bpe_rows_sent_and_returned(spark, docs):
+    before = spark.conf.get(bpe.SENT)
+    try:
+        spark.conf.set(bpe.SENT, "64m")
+        whole, thin = bpe.digests(docs, VOCAB, PATTERN), bpe.digests(docs, VOCAB, PATTERN, keep_text=False)
+        assert spark.conf.get(bpe.SENT) == str(bpe.BYTES_SENT)
+        assert thin.columns == [c for c in whole.columns if c != "text"]
+        assert sorted(map(str, thin.collect())) == sorted(map(str, whole.drop("text").collect()))
+        spark.conf.set(bpe.SENT, "1k")
+        assert sorted(map(str, bpe.digests(docs, VOCAB, PATTERN, keep_text=False).collect())) == sorted(map(str, thin.collect()))
+        assert spark.conf.get(bpe.SENT) == "1k"  # a lower setting stays
+    finally:
+        spark.conf.set(bpe.SENT, before)
+
+
 def test_edited_trees_equal_a_full_count(encoder):
     counter, rng = token_counts.Counter(VOCAB, PATTERN), np.random.default_rng(3)
     inserts = ["", "'s", "  ", "\n\n", " x", "ab'll re 12", "'", "é日"]

@@ -37,13 +37,18 @@ from pyspark.sql import types as T
 from tickflow.llm.common import keep, map_in_arrow
 
 #: Pre-tokens of one run of the recursive query: bounds its memory, not what is encoded.
-WORDS_A_RUN = 60_000
+WORDS_A_RUN = 10_000
 #: Pre-tokens of more bytes than this are encoded by the query for long words.
 LONG_WORD = 64
 #: Pre-tokens kept in each of the two generations of a worker's memory; older ones are encoded anew.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 #: Bytes of text handled at once; a longer text is handled alone.
-BYTES_A_BATCH = 6_000_000
+BYTES_A_BATCH = 2_000_000
+#: Bytes of rows that Spark sends to a worker at once (a row at least). Spark's own 64 MB are held by the JVM and by the worker.
+BYTES_SENT = 4_000_000
+
+#: Spark's setting of the bytes of an Arrow batch.
+SENT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 # fixed values: Unicode White_Space, on which the pre-token pattern splits
 _WS = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -269,10 +274,23 @@ def _cut(texts: list[str]) -> tuple[list[list[str]], set[str]]:
     return cut, set(seen)
 
 
-def _map_texts(df: DataFrame, vocab: str, pattern: str, text: str, fields: list[T.StructField], make) -> DataFrame:
+def _bytes(size: str) -> int:
+    """Bytes of a setting such as 67108864b or 64m."""
+    number, unit = re.fullmatch(r"(-?[0-9]+)\s*([a-z]*)", size.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit.rstrip("b") or " ")
+
+
+def _send_less(spark) -> None:
+    """Set the session's Arrow batches to BYTES_SENT at most: the plan that reads the setting runs after this module returned it."""
+    if _bytes(spark.conf.get(SENT)) > BYTES_SENT or _bytes(spark.conf.get(SENT)) <= 0:
+        spark.conf.set(SENT, str(BYTES_SENT))
+
+
+def _map_texts(df: DataFrame, vocab: str, pattern: str, text: str, fields: list[T.StructField], make, keep_text: bool = True) -> DataFrame:
     """Append columns that ``make(ids, decoded)`` computes for each row from its text."""
     path = vocabulary_on_executors(df.sparkSession, vocab)
-    kept = [f for f in df.schema.fields if f.name not in {x.name for x in fields}]
+    _send_less(df.sparkSession)
+    kept = [f for f in df.schema.fields if f.name not in {x.name for x in fields} and (keep_text or f.name != text)]
     schema = T.StructType(kept + fields)
     names = [f.name for f in kept]
 
@@ -322,12 +340,12 @@ def decode(df: DataFrame, vocab: str, pattern: str, ids: str = "ids") -> DataFra
     return map_in_arrow(df, run, T.StructType([*kept, T.StructField("decoded", T.BinaryType())]), "bpe")
 
 
-def digests(docs: DataFrame, vocab: str, pattern: str, text: str = "text") -> DataFrame:
+def digests(docs: DataFrame, vocab: str, pattern: str, text: str = "text", keep_text: bool = True) -> DataFrame:
     """Row digests of encoding and decoding: n_tokens, ids_sha256, decoded_sha256.
 
-    The ids of a row are decoded unit by unit; only digests leave the task.
+    The ids of a row are decoded unit by unit; only digests leave the task, and the text itself unless ``keep_text`` is false.
     """
     def make(ids: bytes, body: bytes):
         return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(body).hexdigest()
     return _map_texts(docs, vocab, pattern, text, [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
-                                                   T.StructField("decoded_sha256", T.StringType())], make)
+                                                   T.StructField("decoded_sha256", T.StringType())], make, keep_text)

@@ -11,7 +11,7 @@ from tickflow.llm.common import read_table
 def op8_byte_bpe(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    found = bpe.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep_text=False)
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
