@@ -101,3 +101,23 @@ def test_cuts_equal_the_intersection():
         cut_a, cut_b = token_align.shared_cuts(ea, np.array(starts[0]), eb, np.array(starts[1]))
         both = np.intersect1d(ea, eb)
         assert ea[cut_a].tolist() == both.tolist() == eb[cut_b].tolist()
+
+
+def test_units_are_encoded_once_and_equal_whole_texts():
+    pair, rng = token_align.Pair(A, B), np.random.default_rng(11)
+    parts = ["a", "b", " ", " ", "\n", "▁", "é", "\u3000", "\x1c", "\x85", "'s", "日本", "<s>", "<|endoftext|>", "\0", "ing", "12", ".", "\t", "\u0308", "<0x0A>"]
+    texts = [t for _, t in EDGE] + ["".join(rng.choice(parts, rng.integers(1, 30))) for _ in range(600)] + ["same words of a text " * 50]
+    asked = []
+    encode = pair.b.encode
+    pair.b = type("Counted", (), {"encode": lambda _, xs, **more: asked.extend(xs) or encode(xs, **more)})()
+    got = token_align.Aligned(pair, texts)
+    model = sentencepiece.SentencePieceProcessor(model_file=B)
+    for text, n_b in zip(texts, got.n_b):
+        whole = model.encode(text) if text else []
+        spelled = b"".join(map(pair.b_bytes.__getitem__, whole)) == b" " + (text or "").encode()
+        assert n_b == (len(whole) if spelled else 0), text
+    assert got.digests()[-1] == token_align.Aligned(pair, texts[-1:]).digests()[0]
+    # encoded whole before: 22,000 characters
+    asked.clear()
+    token_align.Aligned(pair, ["other words of a text " * 1000])
+    assert sum(map(len, asked)) < 100

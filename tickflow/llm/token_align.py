@@ -8,6 +8,12 @@ halves go on with what is left to look at; an interval without a cut is a leaf g
 few ends bisect all of them at once. All intervals of many documents take each step together in numpy,
 and no A end is looked up twice.
 
+The first division needs no search: a blank between two characters that are no white space starts a
+token of A (no pre-token crosses it) and one of B (unless some piece holds a blank after another
+character, or B rewrites characters: then a text stays whole). So a text is cut into units there, and
+of a chunk each distinct unit is encoded, divided on and written out once; documents are put together
+from their units' groups and links.
+
 Linked tokens (an A and a B token whose byte ranges overlap) are counted over the corpus as id pairs,
 by the documents that hold them. Documents are taken in chunks of about ``CHUNK_BYTES`` of text: a
 chunk holds each of its pairs once with the number of its documents, and only these dictionaries are
@@ -28,8 +34,10 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import os
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,8 +51,10 @@ from tickflow.llm.common import _shipped, keep, map_in_arrow, read_table, shared
 
 #: Bytes of text after which a chunk is closed (a longer document is a chunk of its own).
 CHUNK_BYTES = 4_000_000
-#: Entries in each of the two generations of a worker's memory of encoded words.
+#: Entries in each of the two generations of a worker's memory of encoded units.
 WORDS_KEPT = 150_000
+#: Units encoded in one call of a tokenizer.
+RUN = 100
 #: An interval with at most so many A ends left bisects them all at once instead of dividing further.
 SHORT = 16
 #: B ids fit into this many bits (the model's size is checked); a pair is A id << B_BITS | B id.
@@ -52,7 +62,8 @@ B_BITS = 15
 
 # fixed values: Unicode White_Space, on which A's pre-token pattern splits
 _WS = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_WORD = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
+_BORDER = re.compile(f" (?<=[^{_WS}] )(?=[^{_WS}])")
+_WHITE = {c for c in map(chr, range(0x3001)) if re.match(f"[{_WS}]", c)}
 _BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
 
 _COUNTS = [T.StructField(n, T.LongType()) for n in ("n_a", "n_b", "n_groups", "n_links")]
@@ -75,6 +86,7 @@ class Pair:
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
         from tokenizers import Tokenizer
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
@@ -93,43 +105,91 @@ class Pair:
             self.b_bytes.append(bytes([int(one[1], 16)]) if one else piece.replace("▁", " ").encode())
         self.a_len = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
+        model = sentencepiece_model_pb2.ModelProto.FromString(self.b.serialized_model_proto())
+        spec = model.normalizer_spec
+        self.cuts_at_blanks = (spec.add_dummy_prefix and not spec.remove_extra_whitespaces and not spec.precompiled_charsmap
+                               and not model.trainer_spec.treat_whitespace_as_suffix
+                               and not any(re.search("[^▁ ][▁ ]", p.piece) for p in model.pieces))
+        # units met lately, each with its numbers (little-endian int32: how many ids of A, these, ids of B): a new and an old generation
         self.words: list[dict[str, bytes]] = [{}, {}]
         # decimal ids with the sign that follows: next token, end of A's side, end of the group
         self.signs = [f"{i}{s}" for i in range(max(len(self.a_bytes), len(self.b_bytes))) for s in ",|;"]
 
-    def encode_a(self, texts: list[str]) -> list[bytes]:
-        """Ids (little-endian int32) of space + text. Pre-tokens never cross the borders of
-        these words, so that each distinct word is encoded once."""
-        cut = [_WORD.findall(" " + t) for t in texts]
+    def units(self, text: str | None) -> list[str]:
+        """The text cut at the blanks that start a token of A and of B, without these; none of an empty text."""
+        if not text:
+            return []
+        return _BORDER.split(text) if self.cuts_at_blanks else [text]
+
+    def _one_by_one(self, units: list[str]) -> dict[str, bytes]:
+        """As ``_fresh``, where some units are not spelled by their tokens: these have none."""
+        out = {}
+        for u, e, b in zip(units, self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False), self.b.encode(units, num_threads=1)):
+            whole, a = b" " + u.encode(), e.ids
+            if b"".join(map(self.b_bytes.__getitem__, b)) != whole or b"".join(map(self.a_bytes.__getitem__, a)) != whole:
+                a = b = []
+            out[u] = np.array([len(a), *a, *b], "<i4").tobytes()
+        return out
+
+    def _fresh(self, units: list[str]) -> dict[str, bytes]:
+        """Numbers of some units: how many ids of A, these, ids of B. Units are encoded in runs, joined by the blanks
+        that would divide them in a text; if tokens do not spell the units, each is encoded alone."""
+        apart = [u for u in units if u[0] in _WHITE or u[-1] in _WHITE or "▁" in u or not self.cuts_at_blanks]
+        runs = list(units)
+        if len(apart) < len(units):
+            odd = set(apart)
+            plain = [u for u in units if u not in odd]
+            units = plain + apart
+            runs = [" ".join(plain[k:k + RUN]) for k in range(0, len(plain), RUN)] + apart
+        whole = [(" " + u).encode() for u in units]
+        ends = np.cumsum(np.fromiter(map(len, whole), np.int64, len(whole)))
+        coded = ([e.ids for e in self.a.encode_batch_fast([" " + r for r in runs], add_special_tokens=False)], self.b.encode(runs, num_threads=1))
+        ids, counts = [], []
+        for lists, pieces, size in zip(coded, (self.a_bytes, self.b_bytes), (self.a_len, self.b_len)):
+            flat = list(itertools.chain.from_iterable(lists))
+            at = np.cumsum(size[flat]) if flat else np.zeros(1, np.int64)
+            place = np.minimum(np.searchsorted(at, ends), len(at) - 1)
+            if (at[place] != ends).any() or b"".join(map(pieces.__getitem__, flat)) != b"".join(whole):
+                return self._one_by_one(units)
+            ids.append(np.array(flat, "<i4"))
+            counts.append(np.diff(place, prepend=-1))
+        n_a, n_b = counts
+        stop = np.cumsum(1 + n_a + n_b)
+        first = stop - (1 + n_a + n_b)
+        mixed = np.empty(stop[-1], "<i4")
+        mixed[first] = n_a
+        for own, n, before in ((ids[0], n_a, first + 1), (ids[1], n_b, first + 1 + n_a)):
+            mixed[np.arange(len(own)) + np.repeat(before - (np.cumsum(n) - n), n)] = own
+        raw = mixed.tobytes()
+        return {u: raw[i:j] for u, i, j in zip(units, (first * 4).tolist(), (stop * 4).tolist())}
+
+    def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Token ids of space + unit for all (distinct) units one after the other and, per unit, where they start:
+        (a, a_starts, b, b_starts). A unit that its tokens do not spell has none."""
         if len(self.words[0]) > WORDS_KEPT:
             self.words = [{}, self.words[0]]
         new, old = self.words
         known, missing = {}, []
-        for w in set().union(*cut):
-            ids = new.get(w) or old.get(w)
-            if ids is None:
-                missing.append(w)
+        for u in units:
+            numbers = new.get(u) or old.get(u)
+            if numbers is None:
+                missing.append(u)
             else:
-                known[w] = new[w] = ids
-        for w, e in zip(missing, self.a.encode_batch_fast(missing, add_special_tokens=False)):
-            known[w] = np.array(e.ids, "<i4").tobytes()
-            if len(w) <= 64:
-                new[w] = known[w]
-        return [b"".join(map(known.__getitem__, ws)) for ws in cut]
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Token ids of all texts one after the other and, per text, where they start: (a, a_starts, b, b_starts)."""
-        plain = [t or "" for t in texts]
-        a_ids, b_ids = self.encode_a(plain), self.b.encode(plain, num_threads=1)
-        a_all, b_all = [], []
-        for t, a, b in zip(plain, a_ids, b_ids):
-            whole, ids = b" " + t.encode(), np.frombuffer(a, "<i4")
-            if not t or b"".join(map(self.b_bytes.__getitem__, b)) != whole or b"".join(map(self.a_bytes.__getitem__, ids.tolist())) != whole:
-                ids, b = ids[:0], []
-            a_all.append(ids)
-            b_all.append(np.array(b, np.int32))
-        starts = [np.concatenate(([0], np.cumsum([len(x) for x in xs], dtype=np.int64))) for xs in (a_all, b_all)]
-        return np.concatenate([*a_all, np.empty(0, np.int32)]), starts[0], np.concatenate([*b_all, np.empty(0, np.int32)]), starts[1]
+                known[u] = new[u] = numbers
+        for k in range(0, len(missing), 16 * RUN):
+            fresh = self._fresh(missing[k:k + 16 * RUN])
+            known.update(fresh)
+            new.update(fresh if max(map(len, fresh)) <= 64 else {u: x for u, x in fresh.items() if len(u) <= 64})
+        found = [known[u] for u in units]
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = np.cumsum(size) - size
+        mixed = np.frombuffer(b"".join(found), "<i4")
+        n_a = mixed[first].astype(np.int64)
+        side = np.zeros(len(mixed), np.int8)
+        side[first] = 2
+        a_starts, b_starts = (np.concatenate(([0], np.cumsum(n))) for n in (n_a, size - 1 - n_a))
+        side[np.arange(a_starts[-1]) + np.repeat(first + 1 - a_starts[:-1], n_a)] = 1
+        return mixed[side == 1], a_starts, mixed[side == 0], b_starts
 
 
 @functools.lru_cache(maxsize=2)
@@ -183,20 +243,47 @@ def shared_cuts(a_ends: np.ndarray, a_starts: np.ndarray, b_ends: np.ndarray, b_
 
 
 class Aligned:
-    """The groups and links of a list of texts."""
+    """The groups and links of a list of texts: those of their distinct units, put together."""
 
     def __init__(self, pair: Pair, texts: list[str | None]):
         self.pair = pair
-        self.a, self.a_starts, self.b, self.b_starts = pair.encode(texts)
+        number = defaultdict(itertools.count().__next__)
+        of = [list(map(number.__getitem__, pair.units(t))) for t in texts]
+        # of the distinct units
+        self.a, self.a_starts, self.b, self.b_starts = pair.encode(list(number))
         self.a_ends, self.b_ends = np.cumsum(pair.a_len[self.a]), np.cumsum(pair.b_len[self.b])
         self.cut_a, self.cut_b = shared_cuts(self.a_ends, self.a_starts, self.b_ends, self.b_starts)
-        self.n_a, self.n_b = np.diff(self.a_starts), np.diff(self.b_starts)
-        done = np.concatenate(([0], np.cumsum(self.cut_a)))
-        self.g_starts = done[self.a_starts]
-        self.n_groups = np.diff(self.g_starts)
-        # inside a group only its last ends agree
-        self.n_links = self.n_a + self.n_b - self.n_groups
         self.a_last, self.b_last = np.flatnonzero(self.cut_a), np.flatnonzero(self.cut_b)
+        self.g_starts = np.concatenate(([0], np.cumsum(self.cut_a)))[self.a_starts]
+        # inside a group only its last ends agree
+        self.l_starts = self.a_starts + self.b_starts - self.g_starts
+        # the units of each text, one text after the other; none if one of them has no tokens
+        wrong = set(np.flatnonzero(np.diff(self.a_starts) == 0).tolist())
+        self.of = [us if wrong.isdisjoint(us) else [] for us in of] if wrong else of
+        sizes = np.fromiter(map(len, self.of), np.int64, len(of))
+        self.flat = np.fromiter(itertools.chain.from_iterable(self.of), np.int64, sizes.sum())
+        self.starts = np.concatenate(([0], np.cumsum(sizes)))
+        self.n_a, self.n_b, self.n_groups, self.n_links = (self.total(np.diff(x)) for x in (self.a_starts, self.b_starts, self.g_starts, self.l_starts))
+
+    def total(self, values: np.ndarray) -> np.ndarray:
+        """Per text, the sum of its units' values."""
+        done = np.concatenate(([0], np.cumsum(values[self.flat])))
+        return np.diff(done[self.starts])
+
+    def spread(self, values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """For each unit of each text in turn, its values (``starts``: where those of the distinct units start)."""
+        first, size = starts[self.flat], np.diff(starts)[self.flat]
+        return values[np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)]
+
+    def groups(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(end, n_a, n_b) of every group, ``end`` in bytes of space + text."""
+        before = np.concatenate(([0], self.a_ends))
+        ends = before[self.a_last + 1] - np.repeat(before[self.a_starts[:-1]], np.diff(self.g_starts))
+        size = np.diff(before[self.a_starts])[self.flat]
+        done = np.concatenate(([0], np.cumsum(size)))
+        base = done[:-1] - np.repeat(done[self.starts[:-1]], np.diff(self.starts))
+        return (self.spread(ends, self.g_starts) + np.repeat(base, np.diff(self.g_starts)[self.flat]),
+                self.spread(np.diff(self.a_last, prepend=-1), self.g_starts), self.spread(np.diff(self.b_last, prepend=-1), self.g_starts))
 
     def digests(self) -> list[str]:
         """SHA-256 of `a1,a2|b1;a3|b2,b3` per text; empty without tokens."""
@@ -205,9 +292,12 @@ class Aligned:
         order = np.empty(len(self.a) + len(self.b), np.int64)
         order[np.arange(len(self.a)) + b_before[group_a]] = self.a.astype(np.int64) * 3 + self.cut_a
         order[np.arange(len(self.b)) + (self.a_last + 1)[group_b]] = self.b.astype(np.int64) * 3 + 2 * self.cut_b
-        out, signs = [], self.pair.signs
-        for i, j in zip(self.a_starts[:-1] + self.b_starts[:-1], self.a_starts[1:] + self.b_starts[1:]):
-            line = "".join(map(signs.__getitem__, order[i:j].tolist()))[:-1]
+        # a unit's end ends a group, so its line ends with ;
+        signs, at = list(map(self.pair.signs.__getitem__, order.tolist())), (self.a_starts + self.b_starts).tolist()
+        lines = ["".join(signs[i:j]) for i, j in zip(at[:-1], at[1:])]
+        out = []
+        for us in self.of:
+            line = "".join(map(lines.__getitem__, us))[:-1]
             out.append(hashlib.sha256(line.encode()).hexdigest() if line else "")
         return out
 
@@ -216,8 +306,8 @@ class Aligned:
         ends = np.concatenate((self.a_ends, self.b_ends[~self.cut_b]))
         ends.sort(kind="stable")
         i, j = np.searchsorted(self.a_ends, ends), np.searchsorted(self.b_ends, ends)
-        text = np.repeat(np.arange(len(self.n_a)), self.n_a)[i]
-        return text, (self.a[i].astype(np.int64) << B_BITS) | self.b[j]
+        code = (self.a[i].astype(np.int64) << B_BITS) | self.b[j]
+        return np.repeat(np.arange(len(self.n_links)), self.n_links), self.spread(code, self.l_starts)
 
 
 def _sent(spark, a_path: str, b_path: str) -> tuple[str, str]:
@@ -241,11 +331,10 @@ def token_groups(docs: DataFrame, a_path: str, b_path: str, text: str = "text")
             for start, stop in _runs(whole.column(text)):
                 batch = whole.slice(start, stop - start)
                 got = Aligned(pair, batch.column(text).to_pylist())
-                a_lists = pa.ListArray.from_arrays(pa.array(got.a_starts, pa.int32()), pa.array(got.a, pa.int32()))
-                b_lists = pa.ListArray.from_arrays(pa.array(got.b_starts, pa.int32()), pa.array(got.b, pa.int32()))
-                base = np.repeat(np.concatenate(([0], got.a_ends))[got.a_starts[:-1]], got.n_groups)
-                parts = pa.StructArray.from_arrays([got.a_ends[got.a_last] - base, np.diff(got.a_last, prepend=-1), np.diff(got.b_last, prepend=-1)], ["end", "n_a", "n_b"])
-                groups = pa.ListArray.from_arrays(pa.array(got.g_starts, pa.int32()), parts)
+                starts = [pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()) for n in (got.n_a, got.n_b, got.n_groups)]
+                a_lists = pa.ListArray.from_arrays(starts[0], pa.array(got.spread(got.a, got.a_starts), pa.int32()))
+                b_lists = pa.ListArray.from_arrays(starts[1], pa.array(got.spread(got.b, got.b_starts), pa.int32()))
+                groups = pa.ListArray.from_arrays(starts[2], pa.StructArray.from_arrays(list(map(pa.array, got.groups())), ["end", "n_a", "n_b"]))
                 yield pa.RecordBatch.from_arrays([batch.column(f.name) for f in kept] + [a_lists, b_lists, groups], names=[f.name for f in kept + made])
 
     return map_in_arrow(docs, run, T.StructType(kept + made), "token_align")
