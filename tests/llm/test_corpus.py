@@ -10,7 +10,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tickflow.llm import ann, exact_dedup, jaccard_join, mixing, sharding
+from tickflow.llm import ann, common, exact_dedup, jaccard_join, mixing, sharding
+from tickflow.llm import components as components_module
 from tickflow.llm.components import components
 
 SCHEMA = "doc_id bigint, text string, source string, keep_id int"
@@ -240,6 +241,27 @@ def test_jaccard_join_sets_under_shared_ids(spark):
     assert len({(None, c), (None, c + " z")} & set(rows)) == 1
 
 
+def leaves(df):
+    return df._jdf.queryExecution().analyzed().collectLeaves().size()
+
+
+def test_components_plans_do_not_multiply(spark, monkeypatch):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(9)], "u bigint, v bigint")
+    for i in range(4):
+        edges = edges.union(spark.createDataFrame([(20 + i, i)], "u bigint, v bigint"))
+    stored, store = [], common.shared_table
+    monkeypatch.setattr(components_module, "shared_table", lambda df, name: (stored.append(leaves(df)), store(df, name))[1])
+    got = {r.node: r.root for r in components(edges).collect()}
+    assert got == dict.fromkeys([*range(1, 10), *range(20, 24)], 0)
+    assert max(stored) <= leaves(edges) + 1  # 12 times those of the edges, were they not stored
+
+
+def test_turns_are_read_as_one_table(spark):
+    found = common.in_turns(4, lambda turn: spark.range(turn * 10, turn * 10 + turn), "turns")
+    assert leaves(found) == 1
+    assert sorted(r.id for r in found.collect()) == [10, 20, 21, 30, 31, 32]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 7), (60, 61), (61, 62), (62, 60), (5, 5)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}

@@ -270,6 +270,14 @@ def test_toxicity_trains_on_one_row_per_doc_id(spark):
     assert toxicity.training_rows(docs, labels, toxicity.CATEGORIES, 2).count() == 2
 
 
+def test_toxicity_fit_gives_its_memory_back(spark, docs, monkeypatch):
+    labels, gone = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) AS a"), []
+    fitted = toxicity._fitted
+    monkeypatch.setattr(toxicity, "_fitted", lambda *args: (fitted(*args), gone.append("fitted"))[0])
+    monkeypatch.setattr(toxicity, "give_back", lambda: gone.append("given back"))
+    assert len(toxicity.fit(docs, labels, ["a"])) == 1 and gone == ["fitted", "given back"]
+
+
 def test_out_of_fold_chain():
     rng = np.random.default_rng(0)
     rows = [np.unique(rng.integers(0, 500, 20)) for _ in range(600)]

@@ -35,6 +35,10 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     nothing is computed twice, and the planner knows the table's real size. Once it is stored, nobody
     reads the shuffle files that made it, so Spark is told to remove them with the write.
     """
+    return _read_stored([_store(df, name)], df)
+
+
+def _store(df: DataFrame, name: str) -> str:
     spark, path = df.sparkSession, work_path(df.sparkSession, f"llm-{name}")
     before = spark.conf.get(CLEANUP)
     spark.conf.set(CLEANUP, "true")
@@ -42,13 +46,23 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def _read_stored(paths: list[str], like: DataFrame) -> DataFrame:
+    return like.sparkSession.read.schema(like.schema).parquet(*paths)
 
 
 def in_turns(turns: int, make: Callable[[int], DataFrame], name: str) -> DataFrame:
-    """The rows of ``make(0)`` to ``make(turns - 1)``, stored one after the other: only one turn's shuffle files exist at a time."""
-    parts = [shared_table(make(turn), name) for turn in range(turns)]
-    return functools.reduce(DataFrame.unionByName, parts)
+    """The rows of ``make(0)`` to ``make(turns - 1)``, stored one after the other: only one turn's shuffle files exist at a time.
+
+    They are one table again, so that plans that read it hold one scan and not one a turn.
+    """
+    paths = []
+    for turn in range(turns):
+        part = make(turn)
+        paths.append(_store(part, name))
+    return _read_stored(paths, part)
 
 
 def forget(table: DataFrame) -> None:
@@ -95,8 +109,8 @@ def _release_others(name: str) -> None:
         _kept.pop(other)()
 
 
-def _give_back() -> None:
-    """Return free memory to the system: a worker outlives its tasks, and the allocators keep what they freed."""
+def give_back() -> None:
+    """Return free memory to the system: a worker outlives its tasks, the driver its fits, and the allocators keep what they freed."""
     pa.default_memory_pool().release_unused()
     if sys.platform == "linux":
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
@@ -113,7 +127,7 @@ def map_in_arrow(df: DataFrame, run, schema, keeps: str = "") -> DataFrame:
 
     def alone(batches):
         _release_others(keeps)
-        _give_back()
+        give_back()
         yield from run(batches)
-        _give_back()
+        give_back()
     return df.mapInArrow(alone, schema)

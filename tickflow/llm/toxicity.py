@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickflow.llm.common import map_in_arrow, read_table
+from tickflow.llm.common import give_back, map_in_arrow, read_table
 
 #: Labelled rows that models are fitted on, at most.
 SAMPLE = 12_000
@@ -157,6 +157,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, categories: list[str], sam
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int = SAMPLE) -> list[Linear]:
+    chain = _fitted(docs, labels, categories, sample)
+    give_back()  # the training rows: the driver goes on for long
+    return chain
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, categories: list[str], sample: int) -> list[Linear]:
     got = training_rows(docs, labels, categories, sample).toArrow().sort_by("doc_id").combine_chunks()
     features = got["features"].combine_chunks()
     flat, ends = np.asarray(features.values), np.asarray(features.offsets)
