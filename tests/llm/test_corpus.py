@@ -220,6 +220,19 @@ def test_jaccard_join_shuffles_large_tables_in_turns(spark, monkeypatch):
     assert len(gone) == 1 and gone[0].startswith("/") and not os.path.exists(gone[0])
 
 
+def test_jaccard_join_leaves_give_a_link_a_component(spark, monkeypatch):
+    near = [(i, 50, [*range(48), 100 + 2 * i, 101 + 2 * i]) for i in range(20)]
+    chain = [(30 + i, 50, list(range(1000 + 3 * i, 1050 + 3 * i))) for i in range(6)]
+    sets = spark.createDataFrame([*near, *chain, (40, 50, list(range(5000, 5050)))], "node bigint, n bigint, shingles array<bigint>")
+    links, store = [], jaccard_join.shared_table
+    monkeypatch.setattr(jaccard_join, "shared_table", lambda df, name: (found := store(df, name), links.append(found.count()))[0])
+    join = jaccard_join.Join(sets, 80)
+    join.join_leaves(sets.select(F.lit(1).cast("long").alias("region"), "node"))
+    roots = {r.node: r.root for r in join.roots.collect()}
+    assert roots == {**dict.fromkeys(range(1, 20), 0), **dict.fromkeys(range(31, 36), 30)}
+    assert links == [19 + 5]  # a link each pair of the near ones before
+
+
 def test_jaccard_join_edges(spark):
     docs = frame(spark, [(1, "a b c d", "s"), (1, "a b c d", "s"), (None, "a b c d", "s"), (2, None, "s")])
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in jaccard_join.linked_components(docs, 3, 90).collect())

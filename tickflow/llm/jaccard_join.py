@@ -305,15 +305,16 @@ class Join:
             first = np.cumsum(held) - held
             ends = np.cumsum(n)
             roots, sizes = np.unique(root, return_counts=True)
-            u, v = [], []
+            u, v, part = [], [], root.copy()
             for i in np.flatnonzero(root != roots[sizes.argmax()]).tolist():
                 own = number[ends[i] - n[i]:ends[i]]
                 own = own[held[own] > 1]
                 count = held[own]
                 places = np.arange(count.sum()) + np.repeat(first[own] - (np.cumsum(count) - count), count)
                 common = np.bincount(by_shingle[places], minlength=len(n))
-                found = np.flatnonzero((100 * common >= percent * (n[i] + n - common)) & (root != root[i]))
-                found = found[np.unique(root[found], return_index=True)[1]]  # one link to each component
+                found = np.flatnonzero((100 * common >= percent * (n[i] + n - common)) & (part != part[i]))
+                found = found[np.unique(part[found], return_index=True)[1]]  # one link to each component, which is then one with this
+                part[np.isin(part, part[found])] = part[i]
                 u += [node[i]] * len(found)
                 v += node[found].tolist()
             return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
