@@ -233,6 +233,47 @@ def test_jaccard_join_leaves_give_a_link_a_component(spark, monkeypatch):
     assert links == [19 + 5]  # a link each pair of the near ones before
 
 
+def test_jaccard_join_moves_sets_of_many_regions_in_turns(spark, monkeypatch):
+    """Each node is in six regions, so that its set would move six times at once."""
+    monkeypatch.setattr(jaccard_join, "TURN_BYTES", 1)
+    values = np.random.default_rng(3).integers(-2 ** 63, 2 ** 63 - 1, 3000).tolist()
+    chain = [(i, 50, values[3 * i:3 * i + 50]) for i in range(20)]
+    apart = [(100 + i, 50, values[1000 + 60 * i:1050 + 60 * i]) for i in range(20)]
+    size = {node: n for node, n, _ in chain + apart}
+    sets = common.shared_table(spark.createDataFrame(chain + apart, "node bigint, n bigint, shingles array<bigint>"), "test")
+    regions = [(r, node) for r in range(6) for node in size if node != 100 + r]  # no two of the same nodes
+    made, in_turns = {}, common.in_turns
+
+    def counted(turns, make, name):
+        made[name] = turns
+        return in_turns(turns, make, name)
+    monkeypatch.setattr(common, "in_turns", counted)
+    join = jaccard_join.Join(sets, 80)
+    join.join_leaves(spark.createDataFrame(regions, "region bigint, node bigint"))
+    whole = dict.fromkeys(range(1, 20), 0)
+    assert {r.node: r.root for r in join.roots.collect()} == whole
+    moved = 8 * sum(size[node] for _, node in regions)
+    assert made["leaf-links"] >= max(jaccard_join.TURNS, moved // jaccard_join.known_bytes(sets))
+    pairs = [(x, y) for x in size for y in size if x - 9 < y < x]
+    join = jaccard_join.Join(sets, 80)
+    join.compare(spark.createDataFrame(pairs, "node bigint, pivot bigint"))
+    assert {r.node: r.root for r in join.roots.collect()} == whole
+    assert made["distances"] >= max(jaccard_join.TURNS, 8 * 50 * len(pairs) // jaccard_join.known_bytes(sets))
+    assert join.known.count() == len(pairs)
+
+
+def test_jaccard_join_leaves_no_large_tables_behind(spark, monkeypatch):
+    base = " ".join(f"w{i}" for i in range(80))
+    docs = frame(spark, [(i, f"{base} end{i}", "s") for i in range(8)] + [(20 + i, " ".join(f"x{i}y{j}" for j in range(60)), "s") for i in range(8)])
+    stored, store = [], common._store
+    monkeypatch.setattr(common, "_store", lambda df, name: (stored.append((name, path := store(df, name))), path)[1])
+    got = {r.doc_id: r.component_id for r in jaccard_join.linked_components(docs, 5, 80).collect()}
+    assert got == {**dict.fromkeys(range(8), 0), **{20 + i: 20 + i for i in range(8)}}
+    left = {name for name, path in stored if os.path.exists(path.removeprefix("file:"))}
+    assert "rows" in left and "linked" in left
+    assert not left & {"shingles", "regions", "sets", "several", "rare-shingles", "rare", "near-sets", "distances", "nodes", "equal"}
+
+
 def test_jaccard_join_edges(spark):
     docs = frame(spark, [(1, "a b c d", "s"), (1, "a b c d", "s"), (None, "a b c d", "s"), (2, None, "s")])
     got = sorted((r.doc_id or 0, r.n_shingles, r.component_id) for r in jaccard_join.linked_components(docs, 3, 90).collect())

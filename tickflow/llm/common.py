@@ -73,6 +73,12 @@ def forget(table: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def forget_all(*tables: DataFrame) -> None:
+    """The same for tables of which no later step reads any."""
+    for table in tables:
+        forget(table)
+
+
 def uniform(*keys: Column) -> Column:
     """A number in [0, 1) that depends on the keys alone, so that a rerun draws the same."""
     return F.shiftrightunsigned(F.xxhash64(*keys), 11).cast("double") * F.lit(2.0 ** -53)

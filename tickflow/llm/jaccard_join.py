@@ -36,7 +36,10 @@ region or pivot meet one row in a join, which AQE splits.
 
 Disk: regions and shingles are many times the rows that remain of them, so large tables of them are
 shuffled in turns, each stored before the next begins: regions by their hash, sets by their doc_id. The regions of single
-sets are deleted when those that sets share are known.
+sets are deleted when those that sets share are known, and the sets of other texts when the rarest shingles
+are. A node is in many regions and pairs, each of which moves its set: distances are taken and leaves are
+joined in as many turns as keep what one of them moves to about one copy of the sets. What no later step
+reads is deleted.
 
 A node is a distinct set, known by the number of one of its rows, so neither null nor repeated doc_ids
 lose a set; doc_ids come in again when components are named.
@@ -65,7 +68,8 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from tickflow.functions.sides import known_bytes
-from tickflow.llm.common import forget, in_turns, map_in_arrow, read_table, shared_table
+from tickflow.llm import common
+from tickflow.llm.common import forget, forget_all, in_turns, map_in_arrow, read_table, shared_table
 from tickflow.llm.components import components
 
 #: Sizes of one class differ by less than this factor.
@@ -239,7 +243,7 @@ def _its_turn(key: str, turn: int, turns: int):
 
 
 def _rare_regions(sets: DataFrame, percent: int) -> DataFrame:
-    """(region, node, pivot): the sets that share one of their rarest shingles, with the smallest of them.
+    """(region, node, pivot), stored: the sets that share one of their rarest shingles, with the smallest of them.
 
     Of n shingles in one common order, linked sets share one of their first n - ceil(n p / 100) + 1;
     the order here is by how many of the sets hold a shingle, then by its hash.
@@ -256,7 +260,16 @@ def _rare_regions(sets: DataFrame, percent: int) -> DataFrame:
     kept = in_turns(turns, lambda turn: each.filter(_its_turn("node", turn, turns)).join(several, "region")
                     .withColumn("_place", place + alone).filter(F.col("_place") <= first).select("region", "node"), "rare-shingles")
     pivots = kept.groupBy("region").agg(F.min("node").alias("pivot"), F.max("node").alias("_last")).filter("pivot < _last").select("region", "pivot")
-    return kept.join(pivots, "region").filter("pivot < node").select("region", "node", "pivot")
+    found = shared_table(kept.join(pivots, "region").filter("pivot < node").select("region", "node", "pivot"), "rare")
+    forget_all(several, kept)
+    return found
+
+
+def _sets_of(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """The ``sets`` of the nodes and pivots of ``rows``, stored."""
+    turns = _turns(sets)
+    wanted = shared_table(rows.select("node").union(rows.select("pivot")).distinct(), "near-nodes")
+    return common.in_turns(turns, lambda turn: sets.filter(_its_turn("node", turn, turns)).join(wanted, "node", "left_semi"), "near-sets")
 
 
 class Join:
@@ -267,11 +280,23 @@ class Join:
         self.known = None
         self.roots = sets.sparkSession.createDataFrame([], "node bigint, root bigint")
 
+    def _stored(self, rows: DataFrame, key: str, make, name: str) -> DataFrame:
+        """``make`` of ``rows`` (node, ...), stored in turns by ``key``, in each of which the rows move about as much as all sets are, or less."""
+        moved = 8 * (rows.join(self.sets.select("node", "n"), "node").agg(F.sum("n")).first()[0] or 0)
+        whole = known_bytes(self.sets)
+        if moved <= max(whole / TURNS, TURN_BYTES):
+            return shared_table(make(rows), name)
+        turns = max(TURNS, math.ceil(moved / max(whole, TURN_BYTES)))
+        rows = shared_table(rows, "asked")
+        found = common.in_turns(turns, lambda turn: make(rows.filter(_its_turn(key, turn, turns))), name)
+        forget_all(rows)
+        return found
+
     def compare(self, pairs: DataFrame) -> None:
         """Distances of the pairs (node > pivot) that are not known yet; new links join components."""
         if self.known is not None:
             pairs = pairs.join(self.known.select("node", "pivot"), ["node", "pivot"], "left_anti")
-        fresh = shared_table(_distances(pairs, self.sets, self.percent), "distances")
+        fresh = self._stored(pairs, "node", lambda some: _distances(some, self.sets, self.percent), "distances")
         self.known = fresh if self.known is None else self.known.unionByName(fresh)
         links = fresh.filter("linked").select(F.col("node").alias("u"), F.col("pivot").alias("v"))
         if not links.isEmpty():
@@ -292,7 +317,6 @@ class Join:
         nodes = rows.groupBy("region").agg(F.count(F.lit(1)).alias("_c"), F.bit_xor(F.xxhash64("node")).alias("_x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("_y"))
         once = nodes.groupBy("_c", "_x", "_y").agg(F.min("region").alias("region")).select("region")
         labelled = rows.join(once, "region", "left_semi").join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        members = labelled.join(self.sets, "node").select("region", "node", "root", "n", "shingles")
         percent = self.percent
 
         def run(region: pa.Table) -> pa.Table:
@@ -319,7 +343,11 @@ class Join:
                 v += node[found].tolist()
             return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
-        links = shared_table(members.groupBy("region").applyInArrow(run, "u bigint, v bigint"), "leaf-links")
+        def joined(some: DataFrame) -> DataFrame:
+            members = some.join(self.sets, "node").select("region", "node", "root", "n", "shingles")
+            return members.groupBy("region").applyInArrow(run, "u bigint, v bigint")
+
+        links = self._stored(labelled, "region", joined, "leaf-links")
         if not links.isEmpty():
             self.roots = components(links.union(self.roots))
 
@@ -368,6 +396,7 @@ def _linked_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
     forget(described)
     wanted = rows.select("node").union(rows.select("pivot")).distinct()
     members = shared_table(thin.join(wanted, F.col("row") == F.col("node"), "left_semi").select(F.col("row").alias("node"), F.col("doc_id").alias("id"), "digest"), "nodes")
+    forget_all(rows)
     twice = others.withColumnRenamed("digest", "_digest").join(members, (F.col("_digest") == F.col("digest")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     repeated = not twice.isEmpty()
 
@@ -377,16 +406,20 @@ def _linked_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
         return sets.dropDuplicates(["node"]) if repeated else sets
 
     sets = in_turns(turns, in_sets, "sets")
-    rows = shared_table(_rare_regions(sets, percent), "rare")
+    rows = _rare_regions(sets, percent)
     shared = shared_table(rows.select("region", "pivot").distinct(), "pivots")
-    join = Join(sets, percent)
+    near = _sets_of(rows, sets)
+    forget_all(sets)
+    join = Join(near, percent)
     join.compare(rows.groupBy("node").agg(F.min("pivot").alias("pivot")))
     both = rows.select("region", "node").union(shared.select("region", F.col("pivot").alias("node")))
     left = join.unresolved(both)
     join.compare(rows.join(left.select("region").distinct(), "region", "left_semi").select("node", "pivot").distinct())
     join.search(join.unresolved(left.select("region", "node")))
     named = same.join(join.roots, "node", "left").select("digest", "node", "n_copies", "least", F.coalesce("root", "node").alias("root"))
-    return found, shared_table(named, "linked")
+    named = shared_table(named, "linked")
+    forget_all(near, rows, shared, join.known, left, members, others, same)
+    return found, named
 
 
 def linked_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
