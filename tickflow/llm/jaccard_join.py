@@ -38,7 +38,7 @@ Disk: regions and shingles are many times the rows that remain of them, so large
 shuffled in turns, each stored before the next begins: regions by their hash, sets by their doc_id. The regions of single
 sets are deleted when those that sets share are known, and the sets of other texts when the rarest shingles
 are. A node is in many regions and pairs, each of which moves its set: distances are taken and leaves are
-joined in as many turns as keep what one of them moves to about one copy of the sets. What no later step
+joined in as many turns as keep what one of them moves to about half of all sets. What no later step
 reads is deleted.
 
 A node is a distinct set, known by the number of one of its rows, so neither null nor repeated doc_ids
@@ -275,18 +275,19 @@ def _sets_of(rows: DataFrame, sets: DataFrame) -> DataFrame:
 class Join:
     """Distances taken so far, the links found and the components that they make."""
 
-    def __init__(self, sets: DataFrame, percent: int):
+    def __init__(self, sets: DataFrame, percent: int, room: int | None = None):
+        #: bytes of sets that one turn moves
+        self.room = room or known_bytes(sets)
         self.sets, self.percent, self.e = sets, percent, (100 - percent) / 100
         self.known = None
         self.roots = sets.sparkSession.createDataFrame([], "node bigint, root bigint")
 
     def _stored(self, rows: DataFrame, key: str, make, name: str) -> DataFrame:
-        """``make`` of ``rows`` (node, ...), stored in turns by ``key``, in each of which the rows move about as much as all sets are, or less."""
+        """``make`` of ``rows`` (node, ...), stored in turns by ``key``, in each of which the rows move about ``room`` bytes or less."""
         moved = 8 * (rows.join(self.sets.select("node", "n"), "node").agg(F.sum("n")).first()[0] or 0)
-        whole = known_bytes(self.sets)
-        if moved <= max(whole / TURNS, TURN_BYTES):
+        if moved <= max(self.room / TURNS, TURN_BYTES):
             return shared_table(make(rows), name)
-        turns = max(TURNS, math.ceil(moved / max(whole, TURN_BYTES)))
+        turns = max(TURNS, math.ceil(moved / max(self.room, TURN_BYTES)))
         rows = shared_table(rows, "asked")
         found = common.in_turns(turns, lambda turn: make(rows.filter(_its_turn(key, turn, turns))), name)
         forget_all(rows)
@@ -409,8 +410,9 @@ def _linked_sets(docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, Data
     rows = _rare_regions(sets, percent)
     shared = shared_table(rows.select("region", "pivot").distinct(), "pivots")
     near = _sets_of(rows, sets)
+    room = known_bytes(sets) // 2
     forget_all(sets)
-    join = Join(near, percent)
+    join = Join(near, percent, room)
     join.compare(rows.groupBy("node").agg(F.min("pivot").alias("pivot")))
     both = rows.select("region", "node").union(shared.select("region", F.col("pivot").alias("node")))
     left = join.unresolved(both)
