@@ -5,6 +5,7 @@ import os
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -316,6 +317,55 @@ def test_turns_are_read_as_one_table(spark):
     assert sorted(r.id for r in found.collect()) == [10, 20, 21, 30, 31, 32]
 
 
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="memory is read from /proc")
+def test_a_stored_step_gives_back_native_memory_of_the_driver(spark, monkeypatch):
+    jvm = spark._jvm
+    own = f"/proc/{jvm.java.lang.ProcessHandle.current().pid()}/smaps_rollup"
+
+    def held():
+        with open(own) as lines:
+            return sum(int(line.split()[1]) for line in lines if line.startswith("Pss_Anon")) >> 10
+
+    monkeypatch.setattr(common, "GIVE_BACK_S", 0)
+    common.shared_table(spark.range(10), "warm")
+    before = held()
+    made = [jvm.java.util.zip.Deflater() for _ in range(2500)]  # about 0.1 MB each of the JVM's native memory
+    full = held()
+    for i, each in enumerate(made):
+        if i % 10:
+            each.end()
+    common.shared_table(spark.range(10), "step")
+    after = held()
+    for each in made:
+        each.end()
+    assert full - before > 100
+    assert after - before < (full - before) / 2
+
+
+def test_a_heap_of_the_driver_that_has_grown_is_shrunk(monkeypatch):
+    heap, done = {"total": 300, "after": 300}, []
+
+    def gc():
+        done.append("gc")
+        heap["total"] = heap["after"]
+
+    runtime = SimpleNamespace(totalMemory=lambda: heap["total"], maxMemory=lambda: 750)
+    java = SimpleNamespace(lang=SimpleNamespace(Runtime=SimpleNamespace(getRuntime=lambda: runtime), System=SimpleNamespace(gc=gc)))
+    spark = SimpleNamespace(_jvm=SimpleNamespace(java=java), sparkContext=SimpleNamespace(applicationId="heap"))
+    monkeypatch.setattr(common, "_trim_jvm", lambda jvm: done.append("trim"))
+    monkeypatch.setattr(common, "GIVE_BACK_S", 0)
+    for total, after, expected in ((300, 300, ["trim"]), (700, 400, ["gc", "trim"]), (400, 400, ["trim"]), (410, 390, ["gc", "trim"]), (360, 360, ["trim"])):
+        heap.update(total=total, after=after)
+        done.clear()
+        common.give_back_jvm(spark)
+        assert done == expected and heap["total"] == after
+    monkeypatch.setattr(common, "GIVE_BACK_S", 1e9)
+    heap["total"] = 750
+    done.clear()
+    common.give_back_jvm(spark)
+    assert not done
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 7), (60, 61), (61, 62), (62, 60), (5, 5)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}

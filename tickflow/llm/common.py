@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import math
 import sys
 import tempfile
+import time
 import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +25,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: Spark's setting that removes a query's shuffle files when the query ends.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: From this share of its largest heap on, the driver's JVM is asked to shrink a heap that has grown.
+HEAP_SHARE = 0.5
+#: Seconds between two such requests, at least.
+GIVE_BACK_S = 5
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +53,7 @@ def _store(df: DataFrame, name: str) -> str:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
+    give_back_jvm(spark)
     return path
 
 
@@ -124,6 +132,45 @@ def give_back() -> None:
             trim(0)
 
 
+#: When the driver's JVM was last asked to give memory back, and the bytes of heap that it kept, by application.
+_asked: dict[str, tuple[float, int]] = {}
+
+
+def give_back_jvm(spark: SparkSession) -> None:
+    """The same for the driver's JVM: what planned, compiled and ran a step is garbage after it.
+
+    An operator runs hundreds of steps in one driver, and neither a heap that has grown nor the pools of
+    its allocator (one for each few threads) shrink by themselves, so both would stay at their largest.
+    The heap is collected only if it is large and has grown since the last time.
+    """
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is None:  # Spark Connect
+        return
+    application = spark.sparkContext.applicationId
+    last, kept = _asked.get(application, (-math.inf, 0))
+    if time.monotonic() - last < GIVE_BACK_S:
+        return
+    runtime = jvm.java.lang.Runtime.getRuntime()
+    if runtime.totalMemory() > max(HEAP_SHARE * runtime.maxMemory(), kept):
+        jvm.java.lang.System.gc()
+        kept = runtime.totalMemory()
+    _trim_jvm(jvm)
+    _asked[application] = time.monotonic(), kept
+
+
+def _trim_jvm(jvm) -> None:
+    """Have the JVM's native allocator return free memory, where the JVM can (``jcmd`` has it as System.trim_native_heap)."""
+    arguments = jvm.java.util.ArrayList()
+    for value in (jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap", None, None):
+        arguments.add(value)
+    # the server's class is not open to reflection, its interface is
+    invoke = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+    try:
+        invoke.invoke(jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer(), arguments.toArray())
+    except Py4JJavaError:  # another JVM, or another allocator
+        pass
+
+
 def map_in_arrow(df: DataFrame, run, schema, keeps: str = "") -> DataFrame:
     """``df.mapInArrow`` for functions of this package, which executors need not have installed.
 
